@@ -60,8 +60,8 @@ def contains_any(haystack: Column, needles: Iterable[str]) -> Column:
 
 def lookup(mapping: dict[str, str], key: Column, default: str | None = None) -> Column:
     """Literal-map lookup; null (or the default) for an unknown key."""
-    literal = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    hit = F.try_element_at(literal, key)
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in mapping.items())
+    hit = F.try_element_at(F.expr(f"map({pairs})"), key)
     return hit if default is None else F.coalesce(hit, F.lit(default))
 
 

@@ -11,8 +11,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.functions.ids import category_id
 from shelfspark.operators.skew import with_sequence
-from shelfspark.schema import IMPORT_COLUMNS
+from shelfspark.schema import IMPORT_COLUMNS, PRODUCT_TEXT_DEFAULTS
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -132,10 +133,98 @@ _OFFER_SOURCE = (
     "p_name AS noun, p_size AS size, l_extendedprice AS price_unit FROM @lineitem JOIN @part ON l_partkey = p_partkey"
 )
 
+# Product records: same lines, before packaging interpretation.
+PRODUCT_COLUMNS = {
+    "ordinal": "k",
+    "supplier_slug": _SLUG,
+    "product_url": "'https://shop.example.com/' || lower(kind) || '/' || replace(noun, ' ', '-') || '-' || cast(CASE WHEN v % 5 = 0 THEN k - k % 20 ELSE k END AS string) || '.html'",
+    "canonical_url": "'https://shop.example.com/' || lower(kind) || '/' || replace(noun, ' ', '-') || '-' || cast(k - k % 20 AS string) || '.html'",
+    "category_path": "CASE WHEN v % 11 = 0 THEN '' WHEN v % 11 = 1 THEN 'Gastro & Bar > ' || noun WHEN v % 11 = 2 THEN 'Sehr lange Kategorie fuer Lagerung und Transport von ' || kind || ' Artikeln > Unterkategorie mit ausgesprochen langem Namen und noch mehr Text ' || noun WHEN v % 11 = 3 THEN kind || ' > ' || noun WHEN v % 11 = 4 THEN brand || ' > ' || kind || ' > ' || noun ELSE 'Katalog > ' || kind || ' > ' || brand END",
+    "product_name": "noun",
+    "item_name": _NAME_TEXT,
+    "sku": "CASE WHEN v % 4 = 0 THEN '' WHEN v % 10 = 1 THEN 'SKU/' || cast(k % 50 AS string) ELSE 'SKU/' || cast(k AS string) END",
+    "opt_colour": "CASE cast(v % 3 AS int) WHEN 0 THEN 'rot' WHEN 1 THEN 'blau' ELSE '' END",
+    "price": "cast(whole AS string) || '.' || frac",
+    "raw_spec_piece_text": _pack_case(0),
+    "raw_detail_price_unit_text": _pack_case(1),
+    "raw_fill_text": _pack_case(2),
+    "raw_bundle_text": "CASE WHEN v % 29 = 0 THEN '12 Stk. / Karton' ELSE '' END",
+    "description": "CASE WHEN v % 31 = 0 THEN noun || ' 100 Stk. / Karton' WHEN v % 31 = 1 THEN 'Inhalt 0,5 l / Flasche' ELSE '' END",
+    "spec_anzahl": "CASE WHEN v % 37 = 0 THEN '1 Stk.' ELSE '' END",
+    "spec_inhalt": "CASE WHEN v % 41 = 0 THEN '5 l' ELSE '' END",
+    "vessel_size": "CASE cast(v % 5 AS int) WHEN 0 THEN '1' WHEN 1 THEN '' ELSE '2' END",
+    "vessel_unit": "CASE cast(v % 5 AS int) WHEN 0 THEN 'quantity' WHEN 1 THEN '' ELSE 'l' END",
+    "vessel_type": "CASE cast(v % 6 AS int) WHEN 0 THEN 'bottle' WHEN 1 THEN 'box' WHEN 2 THEN 'cup' ELSE '' END",
+    "bundle_size": "CASE WHEN v % 43 = 0 THEN '6' ELSE '' END",
+    "bundle_type": "CASE WHEN v % 43 = 0 THEN 'Karton' ELSE '' END",
+    "labels_text": "CASE cast(v % 3 AS int) WHEN 0 THEN 'VEGAN,BIO,other' WHEN 1 THEN 'NEW' ELSE '' END",
+    "brand": "brand",
+    "country": "CASE cast(v % 4 AS int) WHEN 0 THEN 'ch' WHEN 1 THEN 'Japan' WHEN 2 THEN 'D1' ELSE '' END",
+    "image_url": "CASE WHEN v % 3 = 0 THEN '' ELSE 'https://img.example.com/' || cast(k AS string) || '.jpg' END",
+    "gtin": "CASE WHEN v % 6 = 0 THEN '76' || lpad(cast(k AS string), 9, '0') ELSE '' END",
+}
+
+# Cleaned import rows of a catalogue whose item ids carry the supplier prefix.
+ITEM_COLUMNS = {
+    "Category name": "CASE WHEN v % 11 = 0 THEN '' ELSE 'Katalog > ' || kind || ' > ' || brand END",
+    "Item ID": _SLUG.replace("'hub'", "'hub__item-'").replace("'shop'", "'shop'") + " || CASE WHEN k % 3 = 0 THEN '' ELSE '__item-' END || cast(k AS string)",
+    "Item name": "noun || '  ' || kind || ' mit einem ausgesprochen langen Namen fuer die Kuerzung auf 64'",
+    "Order by": "CASE WHEN v % 5 = 0 THEN '' ELSE 'vessel' END",
+    "Vessel size": "CASE cast(v % 4 AS int) WHEN 0 THEN '0.75' WHEN 1 THEN '16.5' WHEN 2 THEN '' ELSE '500' END",
+    "Vessel unit": "CASE cast(v % 4 AS int) WHEN 0 THEN 'l' WHEN 1 THEN 'g' WHEN 2 THEN 'quantity' ELSE 'ml' END",
+    "Vessel type": "CASE WHEN v % 3 = 0 THEN '' ELSE 'BO' END",
+    "Bundle size": "CASE cast(v % 4 AS int) WHEN 0 THEN '6' WHEN 1 THEN '1' WHEN 2 THEN '2.5' ELSE '' END",
+    "Bundle type": "CASE cast(v % 4 AS int) WHEN 0 THEN 'CT' WHEN 1 THEN 'PK' WHEN 2 THEN 'PK' ELSE '' END",
+    "Price": "CASE WHEN v % 13 = 0 THEN '' ELSE cast(whole AS string) || '.' || frac END",
+    "Price per": "'vessel'",
+    "Minimum order count": "CASE WHEN v % 7 = 0 THEN '2' ELSE '1' END",
+    "Status": "CASE WHEN v % 19 = 0 THEN 'OUT_OF_STOCK' ELSE 'ACTIVE' END",
+    "Image": "CASE WHEN v % 3 = 0 THEN '' ELSE 'https://img.example.com/' || cast(k AS string) || '.jpg' END",
+    "GTIN": "CASE WHEN v % 6 = 0 THEN '76' || lpad(cast(k AS string), 9, '0') ELSE '' END",
+    "Labels": "CASE cast(v % 3 AS int) WHEN 0 THEN 'NEW,BIO' WHEN 1 THEN 'SEASONAL' ELSE '' END",
+    "Allergens": "CASE WHEN v % 5 = 0 THEN 'Soja, Gluten,,' ELSE '' END",
+    "Brand": "CASE WHEN v % 17 = 0 THEN '' ELSE brand END",
+    "Country": "CASE cast(v % 4 AS int) WHEN 0 THEN ' ch' WHEN 1 THEN 'Japan' ELSE '' END",
+    "Description": "CASE WHEN v % 8 = 0 THEN noun ELSE '' END",
+}
+
+
+def _projection(columns: dict[str, str], quote: str = "") -> str:
+    return ", ".join(f"{sql} AS {quote}{name}{quote}" for name, sql in columns.items())
+
+
+_ITEM_ALL = {c: ITEM_COLUMNS.get(c, _EMPTY) for c in IMPORT_COLUMNS}
+# Remote side: most items as last synced, some changed, some gone from the feed, some foreign.
+_REMOTE = (
+    "SELECT k, CASE WHEN k % 16 = 5 THEN replace(iid, 'item-', 'gone-') WHEN k % 16 = 6 THEN 'foreign-' || iid ELSE iid END AS id, "
+    "CASE WHEN k % 32 = 5 THEN 'INACTIVE' ELSE status END AS status, slug, cat, "
+    "CASE WHEN k % 8 = 2 THEN name || ' alt' ELSE name END AS name, order_by, vsize, vunit, vtype, bsize, btype, "
+    "CASE WHEN k % 8 = 1 THEN price + 5 ELSE price END AS price, moq, image, gtin, "
+    "CASE WHEN k % 8 = 3 AND labels = 'NEW,BIO' THEN 'BIO,NEW' ELSE labels END AS labels, allergens, brand, country, description "
+    "FROM (SELECT k, {iid} AS iid, {slug} AS slug, {status} AS status, {cat} AS cat, "
+    "substr(noun || ' ' || kind || ' mit einem ausgesprochen langen Namen fuer die Kuerzung auf 64', 1, 64) AS name, "
+    "'vessel' AS order_by, "
+    "CASE cast(v % 4 AS int) WHEN 0 THEN 750 WHEN 3 THEN 500000 ELSE NULL END AS vsize, "
+    "CASE cast(v % 4 AS int) WHEN 0 THEN 'l' WHEN 3 THEN 'ml' ELSE '' END AS vunit, "
+    "CASE WHEN v % 3 = 0 THEN 'NA' ELSE 'BO' END AS vtype, "
+    "CASE WHEN v % 4 = 0 THEN 6 ELSE NULL END AS bsize, CASE WHEN v % 4 = 0 THEN 'CT' ELSE '' END AS btype, "
+    "CASE WHEN v % 13 = 0 THEN NULL ELSE whole * 100 + cast(frac AS bigint) END AS price, "
+    "CASE WHEN v % 7 = 0 THEN 2 ELSE 1 END AS moq, {image} AS image, {gtin} AS gtin, {labels} AS labels, "
+    "CASE WHEN v % 5 = 0 THEN 'Soja,Gluten' ELSE '' END AS allergens, {brand} AS brand, "
+    "CASE WHEN v % 4 = 0 THEN 'CH' ELSE '' END AS country, {description} AS description FROM @lines WHERE k % 8 <> 0) src"
+).format(
+    iid=ITEM_COLUMNS["Item ID"], slug=_SLUG, status=ITEM_COLUMNS["Status"], cat=ITEM_COLUMNS["Category name"],
+    image=ITEM_COLUMNS["Image"], gtin=ITEM_COLUMNS["GTIN"], labels=ITEM_COLUMNS["Labels"],
+    brand=ITEM_COLUMNS["Brand"], description=ITEM_COLUMNS["Description"],
+)
+
 DERIVED = {
     "lines": _LINES.format(keys="k + 2 AS row_number", source=_PART_SOURCE),
     "offer_lines": _LINES.format(keys=", ".join(OFFER_KEYS), source=_OFFER_SOURCE),
     "feed": f"SELECT row_number, {', '.join(_feed_columns('{q}'))} FROM @lines",
+    "products": f"SELECT {_projection(PRODUCT_COLUMNS)} FROM @lines",
+    "items": f"SELECT row_number, {_SLUG} AS supplier_slug, {_projection(_ITEM_ALL, '{q}')} FROM @lines",
+    "remote": _REMOTE,
     "offer_feed": (
         f"SELECT 1 + row_number() OVER (ORDER BY {', '.join(OFFER_KEYS)}) AS row_number, "
         f"{', '.join(_feed_columns('{q}'))} FROM @offer_lines"
@@ -173,3 +262,52 @@ def offer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = view(spark, sf_dir, "offer_lines")
     numbered = with_sequence(lines, [F.col(c) for c in OFFER_KEYS], "row_number", start=2)
     return numbered.selectExpr("row_number", *_feed_columns("`"))
+
+
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product records with their maps and arrays in place."""
+    df = view(spark, sf_dir, "products")
+    specs = F.map_filter(
+        F.create_map(F.lit("Anzahl"), F.col("spec_anzahl"), F.lit("Inhalt"), F.col("spec_inhalt")), lambda k, v: v != ""
+    )
+    options = F.when(F.col("opt_colour") == "", F.create_map().cast("map<string,string>")).otherwise(
+        F.create_map(F.lit("Farbe"), F.col("opt_colour"), F.lit("Art"), F.col("opt_colour"))
+    )
+    df = df.withColumns({
+        "variant_options": options, "specs": specs, "labels": F.filter(F.split("labels_text", ","), lambda x: x != ""),
+    }).drop("opt_colour", "spec_anzahl", "spec_inhalt", "labels_text")
+    missing = {c: F.lit(d) for c, d in PRODUCT_TEXT_DEFAULTS.items() if c not in df.columns}
+    return df.withColumns(missing)
+
+
+def remote_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remote catalogue as nested products."""
+    r = view(spark, sf_dir, "remote")
+    bundle = F.when(F.col("bsize").isNotNull(), F.array(F.struct(
+        F.concat("id", F.lit("__bundle")).alias("id"), F.col("btype").alias("type"), F.col("bsize").cast("bigint").alias("size"))))
+    vessel = F.when(F.col("vsize").isNotNull(), F.struct(
+        F.concat("id", F.lit("__vessel")).alias("id"), (F.col("vsize") / 1000).alias("size"),
+        F.col("vunit").alias("unit"), F.col("vtype").alias("type")))
+    split = lambda c: F.filter(F.split(c, ","), lambda x: x != "")
+    blank = F.lit("")
+    properties = F.struct(
+        blank.alias("manufacturer"), "brand", blank.alias("region"), "description", blank.alias("ingredients"),
+        split("allergens").alias("allergens"), blank.alias("color"), blank.alias("storage_advice"),
+        split("labels").alias("labels"), "country")
+    return r.select(
+        "id", "status", category_id(F.col("cat"), F.col("slug")).alias("category"), "name", "order_by",
+        vessel.alias("vessel"), bundle.alias("bundles"), F.col("price").cast("bigint").alias("price"),
+        F.lit("vessel").alias("price_per"), F.col("moq").cast("double").alias("min_order_count"), "gtin",
+        properties.alias("custom_properties"), F.struct(F.col("image").alias("url")).alias("image"),
+    )
+
+
+def remote_categories(spark: SparkSession, sf_dir: str, names: DataFrame) -> DataFrame:
+    """Remote category list: every third by id (some renamed), every third by name only."""
+    n = F.pmod(F.conv(F.substring(F.sha1("path"), 1, 4), 16, 10).cast("int"), F.lit(6))
+    return names.withColumn("n", n).filter("n < 4").select(
+        F.when(F.col("n") < 2, F.col("id")).otherwise(F.concat(F.lit("ext-"), F.sha1("id"))).alias("id"),
+        F.when(F.col("n") == 1, F.concat("name", F.lit(" alt"))).when(F.col("n") >= 2, F.upper("name"))
+        .otherwise(F.col("name")).alias("name"),
+        F.sha1("id").alias("ordinal"),
+    )
