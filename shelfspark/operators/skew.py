@@ -36,6 +36,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def landed(df: DataFrame) -> DataFrame:
+    """Job output written once to the shared checkpoint folder.
+
+    A job's output feeds several consumers (export, audit, validation, diff); landing it
+    means one evaluation of the rule ladder, and joins above it plan against plain columns.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on a derived condition without pushing it down.
+
+    Catalyst moves a filter below projections by copying their expressions into it; for a
+    deep rule ladder the copy grows with every stage.  A one-element generator keeps the
+    condition above the ladder, inside the same code stage.
+    """
+    kept = df.select("*", F.explode_outer(F.array(condition)).alias("_keep"))
+    return kept.filter("_keep").drop("_keep")
+
+
 def with_sequence(
     df: DataFrame, order_by: list[Column], name: str, within: list[str] | None = None, start: int = 1
 ) -> DataFrame:

@@ -29,9 +29,9 @@ def _plan(spark, sf, **options):
 def _payload_map(spark, sf):
     return _local(spark, sf).select(
         "id", "status", "category", "name", "order_by", F.col("vessel.id").alias("vessel_id"),
-        (F.col("vessel.size") * 1000).cast("bigint").alias("vessel_milli"), F.col("vessel.unit").alias("vessel_unit"),
-        F.col("vessel.type").alias("vessel_type"), F.col("bundles")[0]["size"].alias("bundle_size"),
-        F.col("bundles")[0]["type"].alias("bundle_type"), "price", F.col("min_order_count").cast("bigint").alias("moq"),
+        (F.col("vessel.size") * 1000).cast("bigint").cast("string").alias("vessel_milli"), F.col("vessel.unit").alias("vessel_unit"),
+        F.col("vessel.type").alias("vessel_type"), F.col("bundles")[0]["size"].cast("string").alias("bundle_size"),
+        F.col("bundles")[0]["type"].alias("bundle_type"), F.col("price").cast("string").alias("price"), F.col("min_order_count").cast("bigint").alias("moq"),
         "gtin", F.col("custom_properties.brand").alias("brand"), F.col("custom_properties.country").alias("country"),
         F.array_join("custom_properties.allergens", "|").alias("allergens"),
         F.array_join("custom_properties.labels", "|").alias("labels"), F.col("image.url").alias("image"),
@@ -140,9 +140,9 @@ _LOCAL = f"""SELECT supplier_slug, "Item ID" AS id, "Status" AS status, {_cat_id
   nullif("GTIN", '') AS gtin, nullif("Brand", '') AS brand, CASE WHEN length(trim("Country")) = 2 THEN upper(trim("Country")) END AS country,
   CASE WHEN "Allergens" <> '' THEN 'Soja|Gluten' END AS allergens, nullif(replace("Labels", ',', '|'), '') AS labels, nullif("Image", '') AS image,
   nullif("Description", '') AS description FROM {I}"""
-_PAYLOAD = f"""SELECT id, status, category, name, order_by, CASE WHEN vessel_milli IS NOT NULL THEN id || '__vessel' END AS vessel_id, vessel_milli,
-  CASE WHEN vessel_milli IS NOT NULL THEN unit END AS vessel_unit, CASE WHEN vessel_milli IS NOT NULL THEN vtype END AS vessel_type, bundle_size,
-  CASE WHEN bundle_size IS NOT NULL THEN btype END AS bundle_type, price, moq, gtin, brand, country, allergens, labels, image FROM ({_LOCAL}) l"""
+_PAYLOAD = f"""SELECT id, status, category, name, order_by, CASE WHEN vessel_milli IS NOT NULL THEN id || '__vessel' END AS vessel_id, cast(vessel_milli AS varchar) AS vessel_milli,
+  CASE WHEN vessel_milli IS NOT NULL THEN unit END AS vessel_unit, CASE WHEN vessel_milli IS NOT NULL THEN vtype END AS vessel_type, cast(bundle_size AS varchar) AS bundle_size,
+  CASE WHEN bundle_size IS NOT NULL THEN btype END AS bundle_type, cast(price AS varchar) AS price, moq, gtin, brand, country, allergens, labels, image FROM ({_LOCAL}) l"""
 _FLAT = ["status", "category", "name", "order_by", "vessel_milli", "vunit", "vtype", "bundle_size", "btype", "price", "moq", "gtin", "brand", "country", "allergens", "labels", "image", "description"]
 _SORT = "(CASE WHEN labels IN ('NEW|BIO', 'NEW,BIO', 'BIO,NEW') THEN 'BIO|NEW' ELSE labels END)"
 _REMOTE_FLAT = f"""SELECT CASE WHEN contains(id, '__') THEN split_part(id, '__', 1) END AS owner, id, status, {_cat_id('cat', 'slug')} AS category, name, order_by,
