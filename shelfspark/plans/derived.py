@@ -218,6 +218,78 @@ _REMOTE = (
     brand=ITEM_COLUMNS["Brand"], description=ITEM_COLUMNS["Description"],
 )
 
+# HTML and JSON renderings of the same lines, for the extraction jobs.
+_TITLE = "noun || ' Becher ' || CASE cast(v % 4 AS int) WHEN 0 THEN '500 ml rot' WHEN 1 THEN '120 x 80 x 30 mm' WHEN 2 THEN 'ø 90 mm Papier' ELSE '60x40 mm' END"
+PAGE_COLUMNS = {
+    "k": "k", "v": "v", "kind": "kind", "noun": "noun", "brand": "brand", "whole": "whole", "frac": "frac", "size": "size",
+    "title": _TITLE,
+    "url": "'https://shop.example.com/de/' || lower(kind) || '/artikel-' || cast(k AS string) || '.html?ref=' || cast(v AS string)",
+    "detail": _pack_case(1), "piece": _pack_case(0),
+}
+SHOP_HTML = (
+    "'<html><head><title>x</title><link rel=\"canonical\" href=\"https://shop.example.com/p/' || cast(k AS string) || '\">"
+    "<meta property=\"og:image\" content=\"/media/' || cast(k AS string) || '.jpg\"></head><body>"
+    "<nav class=\"breadcrumb\"><span class=\"breadcrumb-title\">Home</span><span class=\"breadcrumb-title\">' || kind || '</span>"
+    "<span class=\"small breadcrumb-title\">' || brand || ' &amp; Co</span></nav>"
+    "<div class=\"' || CASE WHEN v % 10 = 9 THEN 'other' ELSE 'product-detail-content' END || '\"><h1 class=\"product-detail-name\">  ' || title || ' </h1>"
+    "<span class=\"badge\">' || CASE WHEN v % 3 = 0 THEN 'NEU' ELSE 'Saison' END || '</span>"
+    "<p class=\"product-detail-price\">CHF ' || cast(whole AS string) || '.' || frac || '*</p><span class=\"price-unit-content\">' || detail || '</span>"
+    "<span class=\"product-detail-ordernumber\">A-' || cast(k AS string) || '</span><p class=\"delivery-information\">' || "
+    "CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END || '</p>"
+    "<legend>Farbe auswählen</legend><input type=\"radio\" id=\"a\" checked><label for=\"a\">' || CASE WHEN v % 2 = 0 THEN 'rot' ELSE 'blau' END || '</label>"
+    "<section class=\"product-detail-description-text\"><script>var a=1;</script>Aus <b>' || noun || '</b>&nbsp;&nbsp;nachhaltig, MwSt 8,1 %</section>"
+    "<table><tr><td>Stückzahl:</td><td>' || piece || '</td></tr><tr><td>Material</td><td>' || CASE WHEN v % 5 = 0 THEN 'Holz' ELSE '' END || '</td></tr>"
+    "<tr><th>EAN</th><td>76 ' || lpad(cast(k AS string), 9, '0') || '</td></tr><tr><td>Land</td><td>Schweiz</td></tr></table>"
+    "<a href=\"/docs/' || cast(k AS string) || '.PDF\">Blatt</a></div></body></html>'"
+)
+ARTICLE_HTML = (
+    "'<html><body><div class=\"opc-breadcrumb\"><ul class=\"breadcrumb-navigation\"><li>Home</li><li>' || kind || '</li><li>' || brand || '</li><li>x</li></ul></div>"
+    "<h1>' || noun || ' ' || CASE cast(v % 4 AS int) WHEN 0 THEN '6 x 500 g' WHEN 1 THEN '1,50 kg' WHEN 2 THEN 'Stück' ELSE 'lose' END || '</h1>"
+    "<div class=\"article-image\"><img alt=\"a\" src=\"../bild/' || cast(k AS string) || '.png\"></div>"
+    "<dl class=\"article-spec-infos\"><dt>Artikelnummer:</dt><dd>' || cast(k AS string) || '</dd><dt>Herkunft</dt><dd>Schweiz</dd>"
+    "<dt>Label</dt><dd>Bio, Fair</dd></dl><div class=\"progressbar-wrapper\" data-amount=\"1''' || lpad(cast(v % 1000 AS string), 3, '0') || '\"></div>"
+    "<div class=\"toolbar-amount\">Artikel 1-30 von 2''' || lpad(cast(k % 1000 AS string), 3, '0') || '</div><li class=\"page-item page-last\"><input name=\"p\" value=\"' || cast(v % 9 + 1 AS string) || '\"></li>"
+    "<div data-listing=\"true\" data-x=\"{&quot;dataUrl&quot;:&quot;/widgets/' || cast(k AS string) || '&quot;}\"></div><div class=\"card product-box\"></div><div class=\"card product-box\"></div></body></html>'"
+)
+EXTERNAL_HTML = (
+    "'<html><head><title>Hersteller ' || brand || '</title><meta name=\"description\" content=\"Text &amp; Bild ' || cast(k AS string) || '\">"
+    "<meta property=\"og:image\" content=\"/i/' || cast(k AS string) || '.jpg\"></head><body><a href=\"/pdf/' || cast(k AS string) || '.pdf\">PDF</a></body></html>'"
+)
+WINE_HTML = (
+    "'<html><head><meta name=\"description\" content=\"Wein\"><meta property=\"og:image\" content=\"/w/' || cast(k AS string) || '.jpg\"></head><body>"
+    "<ul class=\"breadcrumbs\"><li>Shop</li><li>' || kind || '</li></ul><h1>' || noun || '</h1><span class=\"producer__name\">' || brand || '</span>"
+    "<form data-product-sku=\"W' || cast(k AS string) || '\"></form><span data-price-type=\"finalPrice\" data-price-amount=\"' || cast(whole AS string) || '.' || frac || '\"></span>"
+    "<a data-simple-product-id=\"1\">Magnum</a><a data-simple-product-id=\"2\">' || CASE WHEN v % 2 = 0 THEN '75,0 cl' ELSE '1.5 l' END || '</a>"
+    "<div class=\"overlay-flag\"><span>Herkunft</span></div><span class=\"content\">Toskana | Italien</span><div class=\"overlay-flag\"><span>Typ</span></div><span class=\"content\">Rot</span>"
+    "<b class=\"further-info__title\">Ausbau</b><i class=\"further-info__content\">' || cast(size AS string) || ' Monate</i></body></html>'"
+)
+FOOD_HTML = (
+    "'<nav class=\"breadcrumb\"><span class=\"breadcrumb-title\">Shop</span><span class=\"breadcrumb-title\">' || kind || ' &amp; mehr</span></nav><h1>' || noun || '</h1>"
+    "<ul class=\"product-additional-info-list\"><li>' || cast(size AS string) || '.000 kg/l</li><li>1 / Flasche</li></ul><b class=\"product-additional-info__origin\">Japan</b>"
+    "<span class=\"product-box-articlenumber\">' || CASE WHEN v % 3 = 0 THEN '' ELSE 'Art-Nr. ' || cast(k AS string) END || '</span>"
+    "<div class=\"product-detail-description-text\">Sauce ' || brand || '</div><table><tr><td>Allergene A</td><td>Soja</td></tr></table>"
+    "<img class=\"gallery-slider-image\" data-full-image=\"/m/' || cast(k AS string) || '.jpg\">'"
+)
+EMBEDDED_HTML = (
+    "'<html><body><span class=\"breadcrumb__item\">Zurück</span>' || CASE WHEN v % 2 = 0 THEN '<span class=\"breadcrumb__item\">Katalog</span><span class=\"breadcrumb__item\">' || kind || '</span><span class=\"breadcrumb__item\">' || noun || '</span>' ELSE '' END || "
+    "'<script data-store=\"react-components\">not json</script><script data-store=\"react-components\">{\"a\": {\"constructor_type\": \"react_components/catalog_menu$default\", \"props\": {\"catalog\": {\"children\": ["
+    "{\"name\": \"' || kind || '\", \"children\": [{\"catid\": \"' || cast(k AS string) || '\", \"name\": \" ' || brand || ' \", \"link\": \"/c/' || cast(k AS string) || '\"}, {\"catid\": \"t\", \"name\": \"t\", \"link\": \"/t\", \"tag_name\": \"x\"}]},"
+    "{\"name\": \"n\", \"tag_name\": \"x\", \"children\": []}]}}}, \"b\": {\"constructor_type\": \"react_components/detail/detail-intro$default\", \"props\": {\"product\": {\"shorttext\": \"' || noun || '\", \"extartnr\": \"' || cast(k AS string) || '\", "
+    "\"currentdeliverysizetext\": \"' || CASE cast(v % 4 AS int) WHEN 0 THEN 'Karton à 6 Stk (3,5 kg)' WHEN 1 THEN 'Beutel à 2,50 kg' WHEN 2 THEN 'Kiste' ELSE 'Sack à 1 Bund' END || '\", \"mwst\": 2.60, \"description\": \"<p>Gut &amp;amp; frisch</p>\", "
+    "\"status\": ' || cast(v % 2 AS string) || ', \"diet\": \"vegan, bio,vegan\", \"origin\": \"<b>CH</b>\", \"maingroup\": \"' || kind || '\", \"catalog_level_2\": \"' || brand || '\", \"catalog_level_3\": \"' || kind || '\", "
+    "\"barcodes\": [{\"barcode\": \"12\"}, {\"barcode\": \"76-' || lpad(cast(k AS string), 9, '0') || '\"}, {\"barcode\": \"99' || lpad(cast(k AS string), 9, '0') || '\", \"quantity_as\": ' || cast(v % 2 AS string) || '}], "
+    "\"labels\": [{\"desc\": \"\", \"name\": \"Fair\"}], \"product_data_sheet\": \"/s/' || cast(k AS string) || '.pdf\", "
+    "' || CASE cast(v % 3 AS int) WHEN 0 THEN '\"current_delivery_size\": {\"regular_price\": ' || cast(whole AS string) || frac || '}' WHEN 1 THEN '\"current_delivery_size\": {\"regular_price\": 0}, \"sv_standardprice\": ' || cast(whole AS string) || frac ELSE '\"extfields\": {\"uinfo\": {\"u\": [{\"specialprice\": 0, \"baseprice\": ' || cast(whole AS string) || '.' || frac || '}]}}' END || "
+    "'}}}}</script></body></html>'"
+)
+# Listing pages of twenty elements; ids repeat on a later page with another price.
+LISTING_ELEMENT = (
+    "'{\"id\": \"t' || cast(k - k % 2 AS string) || '\", \"productNumber\": \"N' || cast(k AS string) || '\", \"name\": \"' || noun || '\", \"translated\": {\"name\": \"' || CASE WHEN v % 2 = 0 THEN noun || ' (dt)' ELSE '' END || '\", \"packUnit\": \"' || "
+    "CASE cast(v % 3 AS int) WHEN 0 THEN '100 g Beutel' WHEN 1 THEN '12 Stk' ELSE '' END || '\"}, \"active\": true, \"available\": ' || CASE WHEN v % 4 = 0 THEN 'false' ELSE 'true' END || ', \"calculatedPrice\": {\"unitPrice\": ' || cast(whole AS string) || '.' || frac || '}, "
+    "\"tax\": {\"taxRate\": 2.6}, \"weight\": ' || CASE WHEN v % 5 = 0 THEN '0' ELSE '0.25' END || ', \"cover\": {\"media\": {\"url\": \"https://img.example.com/t' || cast(k AS string) || '\"}}, \"categories\": [{\"breadcrumb\": [\"Root\", \"' || kind || '\", \"' || brand || '\"]}], "
+    "\"properties\": [{\"name\": \"Bio\"}, {\"name\": \"x\", \"translated\": {\"name\": \"Bio\"}}, {\"name\": \"Fair\"}], \"extensions\": {\"teaProductExtension\": {\"googleLink\": \"Japan / Uji\"}}}'"
+)
+
 DERIVED = {
     "lines": _LINES.format(keys="k + 2 AS row_number", source=_PART_SOURCE),
     "offer_lines": _LINES.format(keys=", ".join(OFFER_KEYS), source=_OFFER_SOURCE),
@@ -225,6 +297,14 @@ DERIVED = {
     "products": f"SELECT {_projection(PRODUCT_COLUMNS)} FROM @lines",
     "items": f"SELECT row_number, {_SLUG} AS supplier_slug, {_projection(_ITEM_ALL, '{q}')} FROM @lines",
     "remote": _REMOTE,
+    "page_lines": f"SELECT {_projection(PAGE_COLUMNS)} FROM @lines",
+    "shop_pages": f"SELECT *, {SHOP_HTML} AS html FROM @page_lines",
+    "article_pages": f"SELECT *, {ARTICLE_HTML} AS html, CASE WHEN v % 3 = 0 THEN '' ELSE 'https://maker.example.org/a/' || cast(k AS string) END AS external_url FROM @page_lines",
+    "external_pages": f"SELECT 'https://maker.example.org/a/' || cast(k AS string) AS url, {EXTERNAL_HTML} AS html FROM @page_lines WHERE v % 3 = 1",
+    "wine_pages": f"SELECT *, {WINE_HTML} AS html FROM @page_lines",
+    "food_pages": f"SELECT *, {FOOD_HTML} AS html FROM @page_lines",
+    "embedded_pages": f"SELECT *, {EMBEDDED_HTML} AS html FROM @page_lines",
+    "listing_elements": f"SELECT *, {LISTING_ELEMENT} AS element FROM @page_lines",
     "offer_feed": (
         f"SELECT 1 + row_number() OVER (ORDER BY {', '.join(OFFER_KEYS)}) AS row_number, "
         f"{', '.join(_feed_columns('{q}'))} FROM @offer_lines"
