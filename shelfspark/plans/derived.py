@@ -290,6 +290,53 @@ LISTING_ELEMENT = (
     "\"properties\": [{\"name\": \"Bio\"}, {\"name\": \"x\", \"translated\": {\"name\": \"Bio\"}}, {\"name\": \"Fair\"}], \"extensions\": {\"teaProductExtension\": {\"googleLink\": \"Japan / Uji\"}}}'"
 )
 
+# Crawl, job and log inputs.
+_VALUE = "cast(replace(replace(props, '{\"k\": ', ''), '}', '') AS bigint)"
+LISTING_COLUMNS = {
+    "supplier_slug": "CASE WHEN l_suppkey % 3 = 0 THEN 'hub' ELSE 'shop' || cast(l_suppkey % 7 AS string) END",
+    "category": "'/de/' || l_returnflag || l_linestatus || '/'",
+    "page_index": "cast(floor(l_orderkey / 50) AS bigint) + 1",
+    "url": "'https://shop.example.com/de/' || l_returnflag || '/' || CASE WHEN l_partkey % 10 = 0 THEN 'p' || cast(l_partkey AS string) ELSE 'artikel-' || cast(l_partkey AS string) || '.html' END",
+}
+FETCH_COLUMNS = {
+    "ord": "event_id", "url": "'https://shop.example.com/p/' || cast(user_id AS string)",
+    "status_code": "CASE WHEN event_type = 'error' THEN 500 ELSE 200 END",
+    "kind": "'html'", "snapshot_path": "'s' || cast(event_id AS string)",
+}
+JOB_COLUMNS = {
+    "id": "event_id", "supplier_slug": "'supplier' || cast(user_id AS string)",
+    "job_type": "CASE event_type WHEN 'click' THEN 'scrape' WHEN 'view' THEN 'sync' ELSE 'scrape_and_sync' END",
+    "status": "CASE cast(event_id % 9 AS int) WHEN 0 THEN 'running' WHEN 1 THEN 'queued' WHEN 2 THEN 'failed' WHEN 3 THEN 'stopped' ELSE 'succeeded' END",
+    "requested_by": "CASE WHEN event_id % 3 = 0 THEN 'panel' ELSE 'scheduler' END",
+    "error_message": "CASE WHEN event_id % 5 = 0 THEN 'boom ' || cast(k AS string) ELSE '' END",
+    "stop_requested_at": "CASE WHEN event_id % 4 = 0 THEN '2024-01-01T00:00:00+00:00' ELSE '' END",
+    "exit_code": "CASE WHEN event_id % 8 = 0 THEN 3 ELSE NULL END",
+    "sync_error": "CASE WHEN event_id % 11 = 0 THEN 'api ' || cast(k AS string) ELSE '' END",
+    "failure_count": "k % 30", "raw_record_count": "k * 3",
+    "minimum_failures": "CASE WHEN event_id % 6 = 0 THEN 4 ELSE 0 END",
+    "failure_rate_percent": "CASE WHEN event_id % 6 = 1 THEN 12.5 ELSE 0.0 END",
+}
+LOG_COLUMNS = {
+    "job_id": "user_id", "ord": "event_id",
+    "line": (
+        "CASE event_type WHEN 'view' THEN '2024 INFO PROGRESS phase=p' || cast(k % 3 AS string) || ' found=' || cast(k AS string) || CASE WHEN event_id % 2 = 0 THEN ' processed=' || cast(k * 2 AS string) || ' total=500 found=' || cast(k + 1 AS string) ELSE ' scraped=' || cast(k * 3 AS string) END "
+        "WHEN 'click' THEN 'Parsed product ' || cast(k AS string) WHEN 'error' THEN CASE WHEN k % 3 = 0 THEN 'ERROR fetch ' || cast(k % 12 AS string) || '  ' WHEN k % 3 = 1 THEN 'Traceback (most recent call last):' ELSE 'request failed ' || cast(k AS string) END "
+        "WHEN 'signup' THEN 'RESULT_RUN_SUMMARY ' || CASE WHEN k % 4 = 0 THEN '{broken}' ELSE '{\"product_count\":' || cast(k AS string) || '}' END ELSE '   ' END"
+    ),
+}
+CONFIG_COLUMNS = {
+    "supplier_slug": "'supplier' || cast(s_suppkey AS string)", "enabled": "s_suppkey % 2 = 0",
+    "scraper_adapter": "CASE WHEN s_suppkey % 5 = 0 THEN 'generic' ELSE 'shop' END",
+    "archived": "s_suppkey % 10 = 9", "base_url": "'https://' || lower(replace(s_name, '#', '-')) || '.example.com'",
+    "catalog_update_policy": "CASE WHEN s_suppkey % 4 = 0 THEN ' Keep_Existing ' ELSE 'delete_missing' END",
+}
+_EVENT_SOURCE = "(SELECT *, " + _VALUE + " AS k FROM @events) ev"
+
+
+def _events(columns: dict[str, str]) -> str:
+    return f"SELECT {_projection(columns)} FROM {_EVENT_SOURCE}"
+
+
 DERIVED = {
     "lines": _LINES.format(keys="k + 2 AS row_number", source=_PART_SOURCE),
     "offer_lines": _LINES.format(keys=", ".join(OFFER_KEYS), source=_OFFER_SOURCE),
@@ -297,6 +344,11 @@ DERIVED = {
     "products": f"SELECT {_projection(PRODUCT_COLUMNS)} FROM @lines",
     "items": f"SELECT row_number, {_SLUG} AS supplier_slug, {_projection(_ITEM_ALL, '{q}')} FROM @lines",
     "remote": _REMOTE,
+    "listing": f"SELECT {_projection(LISTING_COLUMNS)} FROM @lineitem",
+    "fetches": _events(FETCH_COLUMNS),
+    "jobs": _events(JOB_COLUMNS),
+    "log_lines": _events(LOG_COLUMNS),
+    "configs": f"SELECT {_projection(CONFIG_COLUMNS)} FROM @supplier",
     "page_lines": f"SELECT {_projection(PAGE_COLUMNS)} FROM @lines",
     "shop_pages": f"SELECT *, {SHOP_HTML} AS html FROM @page_lines",
     "article_pages": f"SELECT *, {ARTICLE_HTML} AS html, CASE WHEN v % 3 = 0 THEN '' ELSE 'https://maker.example.org/a/' || cast(k AS string) END AS external_url FROM @page_lines",
@@ -391,3 +443,22 @@ def remote_categories(spark: SparkSession, sf_dir: str, names: DataFrame) -> Dat
         .otherwise(F.col("name")).alias("name"),
         F.sha1("id").alias("ordinal"),
     )
+
+
+def event_stream(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """The events table as a stream, with derived columns."""
+    path = f"{sf_dir}/events.parquet"
+    raw = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    return raw.selectExpr("*", f"{_VALUE} AS k").selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+
+
+def lines_of(parts: DataFrame) -> DataFrame:
+    """Catalogue lines of a batch or streaming `part` frame (same rules as the `lines` view)."""
+    source = parts.selectExpr("p_partkey AS k", "p_brand AS brand", "p_type AS kind", "p_name AS noun", "p_size AS size", "p_retailprice AS price_unit")
+    return source.selectExpr(
+        "k + 2 AS row_number", "k", "k * 7919 % 1000003 AS v", "brand", "kind", "noun", "size",
+        f"cast(floor({_CENTS} / 100) AS bigint) AS whole", f"lpad(cast({_CENTS} % 100 AS string), 2, '0') AS frac")
+
+
+def items_of(lines: DataFrame) -> DataFrame:
+    return lines.selectExpr("row_number", f"{_SLUG} AS supplier_slug", *[f"{sql} AS `{name}`" for name, sql in _ITEM_ALL.items()])

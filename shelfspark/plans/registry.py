@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from shelfspark.plans import catalog_queries, extract_queries, packaging_queries, relational_queries
+from shelfspark.plans import catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries
 
-_MODULES = [catalog_queries, extract_queries, packaging_queries, relational_queries]
+_MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries]
 
 
 def queries() -> dict:
