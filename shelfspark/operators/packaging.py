@@ -124,57 +124,60 @@ def _texts(products: DataFrame) -> DataFrame:
     )
 
 
-def _first_source(name: str, order: list[str]) -> Column:
-    """Name of the first text the pattern occurs in, null when in none."""
-    chain = None
-    for source in order:
-        hit = F.col(f"_{source}").rlike(_pattern(name))
-        chain = F.when(hit, source) if chain is None else chain.when(hit, source)
-    return chain
+LADDER = ["nested_count", "nested_named", "physical", "physical_count", "leading_named", "simple"]
+NOT_DETAIL = [s for s in SOURCES if s != "detail_price_unit"]
+# capture groups per pattern
+GROUPS = {"measure": 2, "fill": 3, "simple": 3, "nested_count": 4, "nested_named": 5, "physical": 5,
+          "physical_count": 4, "leading_named": 6}
 
 
-def _text_of(source: Column) -> Column:
-    chain = None
-    for name in SOURCES:
-        hit = source == name
-        chain = F.when(hit, F.col(f"_{name}")) if chain is None else chain.when(hit, F.col(f"_{name}"))
-    return chain.otherwise("")
+def _texts_array(names: list[str]) -> Column:
+    """The non-empty texts among the named ones, in order, each with its name."""
+    pairs = ", ".join(f"named_struct('name', '{n}', 'text', _{n})" for n in names)
+    return F.expr(f"filter(array({pairs}), t -> t.text <> '')")
 
 
-LADDER = ["nested_count", "nested_named", "physical", "physical_count", "leading_named", "simple"]
-NOT_DETAIL = [s for s in SOURCES if s != "detail_price_unit"]
+def _first_text(texts: str, name: str) -> Column:
+    """First text the pattern occurs in, as (name, text); null when in none."""
+    return F.try_element_at(F.filter(texts, lambda t: t["text"].rlike(_pattern(name))), F.lit(1))
 
 
 def _matches(texts: DataFrame) -> DataFrame:
-    found = texts.select(
-        "*",
-        *[_first_source(p, SOURCES).alias(f"{p}_source") for p in LADDER],
+    fill_order = ["fill_text", *NOT_DETAIL, "detail_price_unit"]
+    sourced = texts.select(
+        "*", _texts_array(SOURCES).alias("_texts"), _texts_array(NOT_DETAIL).alias("_other_texts"),
         # the fill text itself speaks first, then the other texts, the price block last
-        F.when(F.col("_fill_text").rlike(_pattern("fill")), "spec_fill")
-        .otherwise(F.coalesce(_first_source("fill", NOT_DETAIL), _first_source("fill", ["detail_price_unit"])))
-        .alias("fill_source"),
-        _first_source("measure", NOT_DETAIL).alias("measure_source"),
+        _texts_array(fill_order).alias("_fill_texts"),
     )
-    pieces = [
-        F.regexp_extract(_text_of(F.col(f"{p}_source")), _pattern(p), 0).alias(f"{p}_hit")
-        for p in [*LADDER, "fill", "measure"]
-    ]
-    spec_or_description = first_non_empty(F.col("_spec_stueckzahl"), F.col("_description"))
-    return found.select(
-        "*", *pieces,
-        F.regexp_extract("_detail_price_unit", _pattern("simple"), 0).alias("detail_hit"),
-        F.regexp_extract(spec_or_description, _pattern("simple"), 0).alias("spec_hit"),
+    found = sourced.select(
+        "*",
+        *[_first_text("_texts", p).alias(f"_first_{p}") for p in LADDER],
+        _first_text("_fill_texts", "fill").alias("_first_fill"),
+        _first_text("_other_texts", "measure").alias("_first_measure"),
     )
 
+    def captured(hit: Column, pattern: str) -> Column:
+        """Captures of the matched piece; the piece itself is cut out of the long text once."""
+        groups = F.sequence(F.lit(1), F.lit(GROUPS[pattern]))
+        return F.transform(groups, lambda i: F.call_function("regexp_extract", hit, F.lit(_pattern(pattern)), i))
+
+    spec_or_description = first_non_empty(F.col("_spec_stueckzahl"), F.col("_description"))
+    hits = {p: (F.col(f"_first_{p}.text"), p) for p in [*LADDER, "fill", "measure"]}
+    hits |= {"detail": (F.col("_detail_price_unit"), "simple"), "spec": (spec_or_description, "simple")}
+    cut = found.select("*", *[
+        F.regexp_extract(text(source), _pattern(p), 0).alias(f"_hit_{name}") for name, (source, p) in hits.items()
+    ])
+    return cut.select("*", *[captured(F.col(f"_hit_{name}"), p).alias(f"{name}_cap") for name, (_, p) in hits.items()])
+
 
 def _captures(found: DataFrame) -> DataFrame:
     def cap(hit: str, pattern: str, index: int) -> Column:
-        return F.regexp_extract(f"{hit}_hit", _pattern(pattern), index)
+        return F.col(f"{hit}_cap")[index - 1]
 
     def number(hit: str, index: int, pattern: str | None = None) -> Column:
         return plain_number(cap(hit, pattern or hit, index))
 
-    measured = F.col("fill_hit") != ""
+    measured = F.col("_hit_fill") != ""
     found = found.select(
         "*",
         F.when(measured, number("fill", 1)).otherwise(number("measure", 1)).alias("fill_size"),
@@ -214,9 +217,9 @@ def _rule() -> Column:
     c = F.col
     named_unit = lambda unit: unit.isin(list(NAMED_UNIT_VESSELS))
     piece_unit = lambda unit: unit.isin(PIECE_UNITS)
-    both = (c("detail_hit") != "") & (c("spec_hit") != "")
+    both = (c("_hit_detail") != "") & (c("_hit_spec") != "")
     detail_known = c("_unit_context").contains(c("detail_unit"))
-    simple = c("simple_hit") != ""
+    simple = c("_hit_simple") != ""
     box_of = c("si_container").isin("Beutel", "Box", "Pack") & c("known_vessel").isin("roll", "bag", "box", "pack")
     roll_of = (c("si_container") == "Rolle") & (
         c("known_vessel").isin("roll", "bag", "")
@@ -228,11 +231,11 @@ def _rule() -> Column:
               & ~detail_known, "detail_contradicts")
         .when(both & (c("detail_count") == "1") & ~c("spec_count").isin("", "1") & c("has_fill")
               & c("known_vessel").isin("bag", "bottle", "can", "canister"), "single_filled")
-        .when(c("physical_hit") != "", "physical")
-        .when(c("physical_count_hit") != "", "physical_count")
-        .when(c("nested_named_hit") != "", "nested_named")
-        .when(c("leading_named_hit") != "", "leading_named")
-        .when(c("nested_count_hit") != "", "nested_count")
+        .when(c("_hit_physical") != "", "physical")
+        .when(c("_hit_physical_count") != "", "physical_count")
+        .when(c("_hit_nested_named") != "", "nested_named")
+        .when(c("_hit_leading_named") != "", "leading_named")
+        .when(c("_hit_nested_count") != "", "nested_count")
         .when(simple & (c("si_count") == "1") & c("descriptive"), "one_descriptive")
         .when(simple & (c("si_count") == "1") & c("has_fill"), "one_filled")
         .when(simple & (c("si_count") == "1"), "one_plain")
@@ -324,13 +327,14 @@ def _decide(captured: DataFrame) -> DataFrame:
                     "unit_contradicts unit_flatten unit_divide")
     source = _by_rule({
         "equal_pack descriptive": lit("spec_stueckzahl"), "detail_contradicts single_filled": lit("detail_price_unit"),
-        **{p: c(f"{p}_source") for p in LADDER if p != "simple"}, simple_rules: c("simple_source"),
+        **{p: c(f"_first_{p}.name") for p in LADDER if p != "simple"}, simple_rules: c("_first_simple.name"),
         "filled": lit("spec_fill"),
     }, lit(""))
     evidence = _by_rule({
         "equal_pack": c("_spec_stueckzahl"), "detail_contradicts single_filled": c("_detail_price_unit"),
-        "descriptive": c("_piece_text"), "filled": c("_fill_text"), "one_plain none": lit(""),
-    }, _text_of(source))
+        "descriptive": c("_piece_text"), "filled": c("_fill_text"),
+        **{p: c(f"_first_{p}.text") for p in LADDER if p != "simple"}, simple_rules: c("_first_simple.text"),
+    }, lit(""))
     return staged.select(
         "*",
         F.struct(

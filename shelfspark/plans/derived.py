@@ -445,11 +445,16 @@ def remote_categories(spark: SparkSession, sf_dir: str, names: DataFrame) -> Dat
     )
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base table as a file stream."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def event_stream(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
     """The events table as a stream, with derived columns."""
-    path = f"{sf_dir}/events.parquet"
-    raw = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    return raw.selectExpr("*", f"{_VALUE} AS k").selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+    raw = table_stream(spark, sf_dir, "events").selectExpr("*", f"{_VALUE} AS k")
+    return raw.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 def lines_of(parts: DataFrame) -> DataFrame:

@@ -117,9 +117,10 @@ def _money(e_whole: str = "whole", e_frac: str = "frac") -> str:
 
 
 _ORIGIN = "regexp_extract(url, '^(https?://[^/?#]+)', 1)"
-_PAGES_OK = "v % 4"
 _PC = duck("page_lines") + " pl"
 _BARE = "'https://shop.example.com/de/' || lower(kind) || '/artikel-' || cast(k AS varchar) || '.html'"
+_COLOUR = " ".join(f"WHEN contains(lower(title), '{w}') THEN '{c}'" for w, c in extract.COLOURS)
+_MATERIAL = " ".join(f"WHEN contains(lower(title), '{m.lower()}') THEN '{m}'" for m in extract.MATERIALS)
 ORACLES = {
     "page_titles": rf"SELECT page_id, coalesce(nullif({_text('regexp_extract(html, ' + chr(39) + r'(?is)<h1\b[^>]*>(.*?)</h1\s*>' + chr(39) + ', 1)')}, ''), {_text('regexp_extract(html, ' + chr(39) + r'(?is)<title\b[^>]*>(.*?)</title\s*>' + chr(39) + ', 1)')}) AS title FROM pages",
     "page_text": f"SELECT page_id, {_text(_drop('html'))} AS body_text FROM pages",
@@ -130,8 +131,7 @@ ORACLES = {
   UNION ALL SELECT sku, 'EAN', '76 ' || lpad(cast(k AS varchar), 9, '0') FROM {_SHOP} UNION ALL SELECT sku, 'Land', 'Schweiz' FROM {_SHOP}""",
     "category_path": f"SELECT sku, kind || ' > ' || brand || ' & Co' AS category_path FROM {_SHOP}",
     "item_name": f"SELECT sku, title AS product_name, CASE WHEN contains(lower(title), {_OPT}) THEN title ELSE title || ' - ' || {_OPT} END AS item_name, {_OPT} AS variant_name FROM {_SHOP}",
-    "keyword_infer": f"""SELECT sku, CASE WHEN contains(title, 'rot') THEN 'rot' WHEN contains(title, 'blau') OR contains(title, 'blue') AND false THEN 'blau' WHEN contains(lower(title), 'gold') THEN 'gold' ELSE '' END AS color,
-  CASE WHEN v % 5 = 0 THEN 'Holz' WHEN v % 4 = 2 THEN 'Papier' ELSE '' END AS material, 'cup' AS vessel_type,
+    "keyword_infer": f"""SELECT sku, CASE {_COLOUR} ELSE '' END AS color, CASE WHEN v % 5 = 0 THEN 'Holz' {_MATERIAL} ELSE '' END AS material, 'cup' AS vessel_type,
   CASE WHEN v % 7 = 0 THEN 'OUT_OF_STOCK' WHEN v % 7 = 1 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, CASE WHEN v % 3 = 0 THEN 'BIO|NEW' ELSE 'BIO|SEASONAL' END AS labels FROM {_SHOP}""",
     "gtin_pick": f"SELECT sku, '76' || lpad(cast(k AS varchar), 9, '0') AS gtin, '8.1' AS vat FROM {_SHOP}",
     "extract_pages": f"SELECT sku, 'Aus ' || noun || ' nachhaltig, MwSt 8,1 %' AS description, CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END AS raw_availability_text, 'Schweiz' AS country, piece AS raw_spec_piece_text, detail AS raw_detail_price_unit_text FROM {_SHOP}",

@@ -91,7 +91,7 @@ def _health(spark, sf):
     jobs = view(spark, sf, "jobs")
     states = jobs.filter("status = 'succeeded'").groupBy("supplier_slug").agg(F.max("id").alias("i")).select(
         "supplier_slug", F.concat(F.lit("run"), "i").alias("last_successful_run_at"))
-    reports = jobs.filter("job_type = 'sync'").groupBy("supplier_slug").agg(F.count_if("sync_error <> ''").alias("sync_error_count"))
+    reports = jobs.filter("job_type = 'sync'").groupBy("supplier_slug").agg(F.count_if(F.col("sync_error") != "").alias("sync_error_count"))
     return ops.supplier_health(view(spark, sf, "configs"), states, _summaries(jobs), reports, jobs, _scheduler(spark, sf).select("supplier_slug", "next_run_at"))
 
 
@@ -157,13 +157,15 @@ def _policy(spark, sf):
 def _remote_pages(spark, sf):
     folder = streams.workspace(spark, "remote")
     remote_products(spark, sf).select(F.array(F.struct("*")).alias("products"), F.lit("").alias("cursor")).write.json(folder)
-    return readers.read_remote_pages(spark, folder).select("id", "status", "price", F.size("custom_properties.labels").alias("labels"))
+    return readers.read_remote_pages(spark, folder).select(
+        "id", "status", F.col("price").cast("string").alias("price"), F.size("custom_properties.labels").alias("labels"))
 
 
 def _sitemap(spark, sf):
     folder = streams.workspace(spark, "sitemap")
-    image = F.when(F.col("image_url") != "", F.concat(F.lit("<image:image><image:loc>"), "image_url", F.lit("</image:loc></image:image>"))).otherwise("")
-    products(spark, sf).select(F.concat(F.lit("<url><loc> "), "product_url", F.lit("?s=1 </loc>"), image, F.lit("</url>"))).write.option("compression", "gzip").text(folder)
+    image = F.when(F.col("image_url") != "", F.struct(F.col("image_url").alias("loc")))
+    entries = products(spark, sf).select(F.concat(F.lit(" "), "product_url", F.lit("?s=1 ")).alias("loc"), image.alias("image"))
+    entries.write.format("xml").option("rootTag", "urlset").option("rowTag", "url").option("compression", "gzip").save(folder)
     return readers.sitemap_products(readers.read_sitemap(spark, folder), "https://shop.example.com/")
 
 
@@ -179,9 +181,7 @@ def _config_load(spark, sf):
 
 
 def _stream_diff(spark, sf):
-    path = f"{sf}/part.parquet"
-    parts = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    rows = derived.items_of(derived.lines_of(parts))
+    rows = derived.items_of(derived.lines_of(derived.table_stream(spark, sf, "part")))
     out = streams.run_diff(diff.payload_from_rows(rows), remote_products(spark, sf), streams.workspace(spark, "diff"))
     return out.select("supplier_slug", "id", "action", "origin")
 
@@ -318,9 +318,9 @@ ORACLES = {
     "page_expand": r"SELECT url, cast(page AS int) AS page, regexp_replace(url, '[?#].*$', '') || '?' || CASE WHEN contains(url, '?') THEN " + _QUERY + r" || '&' ELSE '' END || 'p=' || cast(page AS varchar) AS page_url FROM pages, generate_series(2, 4) t(page) WHERE page <= page_id % 5",
     "url_normalize": rf"""SELECT page_id, regexp_replace(url, '[?#].*$', '') AS canonical, rtrim(url, '/') || '/' AS normalized,
   regexp_replace(url, '[?#].*$', '') || CASE WHEN regexp_matches(url, '[?&]page=[^&]') THEN '?p=' || regexp_extract(url, 'page=([^&#]+)', 1) ELSE '' END AS page_only,
-  CASE WHEN contains(url, '?page=') THEN regexp_replace(replace(url, '?page=', '?p='), 'p=[^&]+', 'p=3') WHEN contains(url, '?') THEN url || '&p=3' ELSE url || '?p=3' END AS page_three,
+  CASE WHEN contains(url, '?page=') THEN regexp_replace(replace(bare, '?page=', '?p='), 'p=[^&]+', 'p=3') WHEN contains(url, '?') THEN bare || '&p=3' ELSE bare || '?p=3' END AS page_three,
   regexp_extract(url, '^(https?://[^/]+)', 1) || regexp_replace(regexp_replace({_PATH}, '[^/]*$', ''), '/[^/]+/$', '/') || 'x/y.html' AS relative,
-  regexp_extract(url, '^(https?:)', 1) || '//cdn.example.com/a' AS protocol_relative, regexp_extract({_PATH}, '([^/]+)/*$', 1) AS identifier FROM pages""",
+  regexp_extract(url, '^(https?:)', 1) || '//cdn.example.com/a' AS protocol_relative, regexp_extract({_PATH}, '([^/]+)/*$', 1) AS identifier FROM (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM pages) p""",
     "url_classify": rf"""SELECT u, {_ROOT_PRODUCT} AS root_product, {_ART} AS article, regexp_matches(u, '(?i)^https?://[^/]+/catalog2/products/\d+/[^/?#]+/?$') AS catalog_product, {_EXCL} AS excluded,
   CASE WHEN {_EXCL} THEN 'excluded' WHEN {_ROOT_PRODUCT} THEN 'product' WHEN split_part(regexp_replace({_CLASS_PATH}, '^/+', ''), '/', 1) IN ('economy', 'small') THEN 'category' ELSE 'other' END AS kind,
   starts_with({_CLASS_PATH}, '/de/') AND ends_with({_CLASS_PATH}, '/') AND NOT contains(u, '?') AS listing_category, false AS shop_category FROM (
@@ -357,7 +357,7 @@ ORACLES = {
     "stable_ids": f"""SELECT ordinal, {_SLUG.format(e='category_path', f='item')} AS slug, substr(sha1(category_path), 1, 10) AS hash, supplier_slug || '__cat__' || {_SLUG.format(e=_CSRC, f='uncategorized')} || '__' || substr(sha1({_CSRC}), 1, 10) AS category_id,
   substr(sha1(product_url), 1, 12) || '_' || substr(regexp_replace(replace(product_url, 'https://', ''), '[^A-Za-z0-9._-]+', '-', 'g'), 1, 120) || '.html' AS snapshot,
   substr(sha1(product_url), 1, 12) || '_' || substr(replace(replace(product_url, 'https://shop.example.com/', ''), '/', '__'), 1, 120) || '.html' AS path_snapshot FROM {P}""",
-    "remote_pages_explode": f"SELECT id, status, CASE WHEN price IS NULL THEN NULL ELSE cast(price AS bigint) END AS price, CASE WHEN labels = '' THEN 0 ELSE len(string_split(labels, ',')) END AS labels FROM {duck('remote')} r",
+    "remote_pages_explode": f"SELECT id, status, cast(price AS varchar) AS price, CASE WHEN labels = '' THEN 0 ELSE len(string_split(labels, ',')) END AS labels FROM {duck('remote')} r",
     "sitemap_products": f"SELECT DISTINCT product_url AS url FROM {P} WHERE image_url <> ''",
     "config_load": f"SELECT supplier_slug, enabled, scraper_adapter, 'delete_missing' AS catalog_update_policy, false AS archived FROM {C}",
     "stream_progress": f"SELECT job_id, {_PROG_SQL} FROM {LG} GROUP BY 1",

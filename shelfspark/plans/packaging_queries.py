@@ -41,7 +41,7 @@ def _sync_from_export(spark, sf):
     """Interpreting an export again changes nothing: a price is divided once."""
     once = landed(packaging.interpret_packaging(products(spark, sf)))
     twice = packaging.interpret_packaging(once)
-    return twice.select("ordinal", "vessel_size", "bundle_size", "price", "packaging_mode")
+    return twice.select("ordinal", "vessel_size", "bundle_size", "price")
 
 
 QUERIES = {
@@ -200,7 +200,7 @@ ORACLES = {
   packaging_source AS "Parser source used" FROM ({_D}) d WHERE packaging_mode <> '' OR {_CHANGED}""",
     "packaging_mode_counts": f"SELECT packaging_mode, count(*) AS products FROM ({_D}) d GROUP BY 1",
     "import_rows": f"SELECT {_ROWS} FROM ({_D}) d",
-    "sync_from_export": f"SELECT ordinal, vessel_size, bundle_size, price, packaging_mode FROM ({_D}) d",
+    "sync_from_export": f"SELECT ordinal, vessel_size, bundle_size, price FROM ({_D}) d",
     "validate_packaging": f"""WITH cl AS (SELECT * FROM {oracle_clean.cleaned_subquery(_ROWS_SQL + ' rr')} cc), j AS (SELECT cl."Item ID" AS item_id, cl."Bundle size" AS b, cl."Price" AS pr, d.packaging_mode AS m, d.packaging_evidence AS ev, d.price AS dp
     FROM cl JOIN ({_D}) d ON d.ordinal + 2 = cl.row_number)
   SELECT 'error' AS severity, 'contaminated_packaging' AS rule, item_id, ev AS value FROM j WHERE m = '{packaging.CONTAMINATED}'
