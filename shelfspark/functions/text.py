@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 # Source texts are Unicode, so classes such as \s and \b must be Unicode-aware.
 UNICODE = "(?U)"
 UNICODE_CI = "(?iU)"
+# Characters that count as whitespace at the ends of a text.
+WHITESPACE = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def blank_to_null(c: Column) -> Column:
@@ -30,7 +35,8 @@ def has_text(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, UNICODE + r"^\s+|\s+$", "")
+    """Trim every kind of Unicode whitespace (a plain character trim, no regex)."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def collapse_space(c: Column) -> Column:

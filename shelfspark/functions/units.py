@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfspark.functions.text import keyword_value, lookup, strip, text
+from shelfspark.functions.text import WHITESPACE, keyword_value, lookup, strip, text
 
 # ---------------------------------------------------------------------------
 # Fixed values of the import format: enums, type codes and vocabularies.
@@ -97,7 +97,7 @@ def drop_sentinel(c: Column, keep_na: bool = False) -> Column:
 
 def drop_sentinel_sql(name: str, keep_na: bool = False) -> str:
     """drop_sentinel of a named column as one SQL expression (cheap to build many times)."""
-    trimmed = rf"regexp_replace(coalesce(`{name}`, ''), r'(?U)^\s+|\s+$', '')"
+    trimmed = f"trim(BOTH '{WHITESPACE}' FROM coalesce(`{name}`, ''))"
     sentinels = EMPTY_SENTINELS if keep_na else [*EMPTY_SENTINELS, "na"]
     listed = ", ".join(f"'{word}'" for word in sentinels)
     return f"if(lower({trimmed}) IN ({listed}), '', {trimmed})"

@@ -17,7 +17,7 @@ from shelfspark.functions.numbers import (
     as_double, digits_only, feed_number, is_integral, six_significant, two_decimals,
 )
 from shelfspark.functions.text import UNICODE, UNICODE_CI, blank_to_null, has_text, join_non_empty, strip, text
-from shelfspark.operators.skew import salted_join
+from shelfspark.operators.skew import join_checked, landed, salted_join
 from shelfspark.schema import CORRECTION_COLUMNS, IMPORT_COLUMNS
 
 # Patterns of the import format.
@@ -74,14 +74,15 @@ def with_unique_ids(rows: DataFrame, row_number: str = "row_number") -> DataFram
 
     Only (row number, id) travels through the repeat search: first row numbers per id are
     map-side aggregates, so an id shared by a third of the rows costs one buffer entry per
-    task.  The wide rows meet the resulting rename table on the unique row number.
+    task.  The wide rows meet the resulting rename table on the unique row number, without
+    a shuffle when few ids repeat.
     """
-    clean = F.when(sanitize_id(F.col("Item ID")) == "", row_tag(F.col(row_number))).otherwise(
-        sanitize_id(F.col("Item ID"))
-    )
-    rows = rows.withColumn("clean_id", clean)
-    renames = _renamed_ids(rows.select(row_number, "clean_id"), row_number)
-    return rows.join(renames, row_number, "left").withColumn(
+    ids = landed(rows.select(row_number, sanitize_id(F.col("Item ID")).alias("clean_id")).withColumn(
+        "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id"))), "ids")
+    sanitized = rows.withColumn("clean_id", sanitize_id(F.col("Item ID")))
+    tagged = sanitized.withColumn(
+        "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id")))
+    return join_checked(tagged, _renamed_ids(ids, row_number), row_number).withColumn(
         "final_id", F.coalesce("renamed_id", "clean_id")
     ).drop("renamed_id")
 

@@ -355,17 +355,21 @@ def decide_packaging(products: DataFrame) -> DataFrame:
     return decided.select(*products.columns, "decision")
 
 
-def interpret_packaging(products: DataFrame) -> DataFrame:
-    """Products with the decided fields in place."""
+def apply_decisions(decided: DataFrame) -> DataFrame:
+    """Put the decided fields in place of the record's own."""
     replaced = [*DECIDED, *EVIDENCE]
-    return decide_packaging(products).select(*[
-        F.col(f"decision.{name}").alias(name) if name in replaced else F.col(name) for name in products.columns
+    return decided.select(*[
+        F.col(f"decision.{name}").alias(name) if name in replaced else F.col(name)
+        for name in decided.columns if name != "decision"
     ])
 
 
-def packaging_audit(products: DataFrame, item_id: str = "item_id") -> DataFrame:
-    """Old and new values of every product that changed or got a mode."""
-    decided = decide_packaging(products)
+def interpret_packaging(products: DataFrame) -> DataFrame:
+    return apply_decisions(decide_packaging(products))
+
+
+def audit_of(decided: DataFrame, item_id: str = "item_id") -> DataFrame:
+    """Old and new values of every decided product that changed or got a mode."""
     changed = F.col("decision.packaging_mode") != ""
     for name in DECIDED:
         changed = changed | (text(F.col(name)) != F.col(f"decision.{name}"))
@@ -380,6 +384,10 @@ def packaging_audit(products: DataFrame, item_id: str = "item_id") -> DataFrame:
     )
 
 
+def packaging_audit(products: DataFrame, item_id: str = "item_id") -> DataFrame:
+    return audit_of(decide_packaging(products), item_id)
+
+
 def mode_counts(products: DataFrame) -> DataFrame:
     decided = decide_packaging(products)
     return decided.groupBy(F.col("decision.packaging_mode").alias("packaging_mode")).agg(

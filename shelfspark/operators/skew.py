@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SALTS = 8
+# Lookup rows (a few short columns each) that may be sent to every executor.
+BROADCAST_ROWS = 200_000
 
 
 def salted_join(
@@ -36,14 +39,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
-def landed(df: DataFrame) -> DataFrame:
-    """Job output written once to the shared checkpoint folder.
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-    A job's output feeds several consumers (export, audit, validation, diff); landing it
-    means one evaluation of the rule ladder, and joins above it plan against plain columns.
+
+def landed(df: DataFrame, name: str = "landed") -> DataFrame:
+    """Job output written once as a table in the shared checkpoint folder.
+
+    A job's output feeds several consumers (export, audit, validation, diff).  Landing it
+    evaluates the rule ladder once, survives lost executors, lets each consumer read only
+    its columns, and keeps joins above it planning against plain columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def join_checked(rows: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join with a lookup that is usually, but not provably, small.
+
+    The lookup is landed and counted first; only below the limit is it broadcast, so the
+    wide rows are not shuffled.  A larger lookup takes the ordinary shuffled join.
+    """
+    lookup = landed(lookup, "lookup")
+    small = lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
@@ -63,21 +85,20 @@ def with_sequence(
     """Consecutive numbers in sort order, per `within` group, without a one-task window.
 
     Rows are range-partitioned and sorted, so a group of any size spans many tasks.  The
-    sorted rows are checkpointed to freeze their partition and position; only one row per
+    sorted rows are landed to freeze their partition and position; only one row per
     (partition, group) is then needed to turn local positions into global numbers.
     """
     within = within or []
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
     keys = [F.col(c) for c in within] + list(order_by)
-    frozen = (
-        df.repartitionByRange(*keys)
+    frozen = landed(
+        df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_position", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftrightunsigned("_position", 33).cast("int"))
-        .checkpoint()
-    )
+        .withColumn("_position", F.monotonically_increasing_id()), "sequence",
+    ).withColumn("_part", F.shiftrightunsigned("_position", 33).cast("int"))
     earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     groups = [F.col(c).alias(f"_g_{c}") for c in within]
+    # at most (partitions + groups) rows: neighbouring groups share a partition
     offsets = (
         frozen.groupBy("_part", *within)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"))
@@ -88,4 +109,4 @@ def with_sequence(
     for c in within:
         on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     number = F.col("_before") + F.col("_position") - F.col("_first") + start
-    return frozen.join(offsets, on).select(*df.columns, number.alias(name))
+    return join_checked(frozen, offsets, on, "inner").select(*df.columns, number.alias(name))

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import functools
+
 from shelfspark.plans import catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries
+from shelfspark.session import configure
 
 _MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries]
 
 
+def _configured(query):
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        return query(configure(spark), sf_dir)
+    return run
+
+
 def queries() -> dict:
-    return {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
+    return {name: _configured(fn) for module in _MODULES for name, fn in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

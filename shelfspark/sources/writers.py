@@ -22,7 +22,10 @@ def artifact_path(root: str, artifact: str) -> str:
 
 def _csv(df: DataFrame, path: str, columns: list[str], supplier: str | None) -> None:
     kept = df.select(*([supplier] if supplier else []), *columns)
-    writer = kept.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
+    writer = (
+        kept.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    )
     (writer.partitionBy(supplier) if supplier else writer).csv(path)
 
 

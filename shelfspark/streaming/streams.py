@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators import operations as ops
 from shelfspark.operators.diff import catalog_plan
-from shelfspark.operators.skew import ensure_checkpoint_dir
+from shelfspark.operators.skew import scratch_folder
 
 # A job or URL is dropped from the streaming state this long after its last event.
 STATE_DELAY = "7 days"
@@ -17,8 +15,7 @@ STATE_DELAY = "7 days"
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/streams/{name}-{uuid.uuid4().hex}"
+    return scratch_folder(spark, f"stream-{name}")
 
 
 def progress_stream(lines: DataFrame) -> DataFrame:
