@@ -68,6 +68,16 @@ def join_checked(rows: DataFrame, lookup: DataFrame, on, how: str = "left") -> D
     return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for heavy per-row rules over an input of few splits.
+
+    An input that already has at least as many splits as cores is left alone, so nothing
+    is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """Filter on a derived condition without pushing it down.
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.ids import category_id
-from shelfspark.operators.skew import with_sequence
+from shelfspark.operators.skew import spread, with_sequence
 from shelfspark.schema import IMPORT_COLUMNS, PRODUCT_TEXT_DEFAULTS
 
 BASE_TABLES = [
@@ -364,6 +364,10 @@ DERIVED = {
 }
 
 
+# Inputs of jobs with expensive per-row rules.
+HEAVY = {"feed", "products", "shop_pages", "article_pages", "wine_pages", "food_pages", "embedded_pages"}
+
+
 def sql_text(name: str, resolve, quote: str) -> str:
     """SQL of a derived view with every @reference resolved."""
     body = DERIVED[name].replace("{q}", quote)
@@ -386,7 +390,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a Spark DataFrame over the parquet tables."""
-    return spark.sql(sql_text(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet` {t}", "`"))
+    df = spark.sql(sql_text(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet` {t}", "`"))
+    return spread(df) if name in HEAVY else df
 
 
 def offer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
