@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import blank_to_null, first_non_empty, has_text, text
+from shelfspark.operators.skew import side_by_side
 
 # Job states, log markers and messages.
 ACTIVE_STATES = ["queued", "running"]
@@ -183,15 +184,16 @@ def run_summary(products: DataFrame, failures: DataFrame, discovered: DataFrame,
     def one(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
-    # one-row aggregates side by side
-    row = one(products, "product_count").crossJoin(one(failures, "failure_count"))
-    row = row.crossJoin(discovered.agg(F.count_distinct("url").alias("discovered_product_url_count")))
-    row = row.crossJoin(gate).crossJoin(one(corrections, "correction_count"))
+    parts = [
+        one(products, "product_count"), one(failures, "failure_count"),
+        discovered.agg(F.count_distinct("url").alias("discovered_product_url_count")), gate, one(corrections, "correction_count"),
+    ]
     counters = ["created_products", "updated_products", "unchanged_products", "inactivated_products"]
+    if plan_counts is not None:
+        parts.append(plan_counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters]))
+    row = side_by_side(*parts)
     if plan_counts is None:
         row = row.select("*", *[F.lit(0).alias(c) for c in counters])
-    else:
-        row = row.crossJoin(plan_counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters]))
     return row.select(
         F.lit(mode).alias("mode"), F.lit(generated_at).alias("generated_at"), F.lit(dry_run).alias("dry_run"), "*",
         F.lit(mode in SCRAPE_MODES).alias("scrape_performed"), F.lit(plan_counts is not None).alias("sync_performed"),

@@ -78,6 +78,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """One row holding the columns of several one-row aggregates (stacked, then merged)."""
+    stacked = one_row[0]
+    for other in one_row[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     """Filter on a derived condition without pushing it down.
 

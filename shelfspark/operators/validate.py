@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions import units as U
 from shelfspark.functions.text import has_text
+from shelfspark.operators.skew import side_by_side
 from shelfspark.schema import IMPORT_COLUMNS
 
 DUPLICATES_REPORTED = 20
@@ -85,10 +86,8 @@ def coverage(rows: DataFrame, discovered: DataFrame, failures: DataFrame) -> Dat
         F.when(F.col("failures") > 0, F.lit("failed_urls")),
         F.when(F.col("images") == 0, F.lit("no_images")),
     )
-    # three one-row aggregates side by side
-    one = exported.crossJoin(failed).crossJoin(found)
     return (
-        one.select(covered.alias("covered"), "discovered", "failures", F.explode(warnings).alias("rule"))
+        side_by_side(exported, failed, found).select(covered.alias("covered"), "discovered", "failures", F.explode(warnings).alias("rule"))
         .filter("rule IS NOT NULL")
         .select(F.lit("warning").alias("severity"), "rule", "covered", "discovered", "failures")
     )
@@ -100,7 +99,7 @@ def validation_gate(rows: DataFrame, findings: DataFrame, duplicates: DataFrame)
     repeated = duplicates.agg(F.when(F.count(F.lit(1)) > 0, 1).otherwise(0).alias("duplicate_errors"))
     counted = rows.agg(F.count(F.lit(1)).alias("row_count"))
     error_count = F.col("row_errors") + F.col("duplicate_errors")
-    return counted.crossJoin(errors).crossJoin(repeated).select(
+    return side_by_side(counted, errors, repeated).select(
         "row_count", error_count.alias("error_count"), (error_count == 0).alias("is_valid"),
         F.when(error_count == 0, F.col("row_count")).otherwise(0).alias("passed_row_count"),
     )
