@@ -365,7 +365,7 @@ DERIVED = {
 
 
 # Inputs of jobs with expensive per-row rules.
-HEAVY = {"feed", "products", "shop_pages", "article_pages", "wine_pages", "food_pages", "embedded_pages"}
+HEAVY = {"feed", "products", "listing", "shop_pages", "article_pages", "wine_pages", "food_pages", "embedded_pages"}
 
 
 def sql_text(name: str, resolve, quote: str) -> str:
