@@ -2,7 +2,7 @@
 
 Training takes at most `per_language` labelled documents of each language (a documented
 bound; which ones depends on a hash of the id alone), turns each whole text into a unit vector
-of log-scaled, IDF-weighted counts of hashed character 1- to 3-grams, and clusters every
+of log-scaled, IDF-weighted counts of hashed 1- to 3-grams of letters (anything else is one space), and clusters every
 language's vectors by spherical k-means into up to `clusters` centroids.  A text gets the
 language of the centroid with the greatest cosine.  It is marked `rejected` if it lies further
 from that centroid than `quantile` of that language's own training texts do, with a slack.
@@ -15,7 +15,7 @@ memory does not grow with their length.  Extra columns stay, clashing names get
 
 from __future__ import annotations
 
-import re
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,22 +32,36 @@ CLUSTERS = 4
 ROUNDS = 12
 QUANTILE, SLACK = 0.01, 0.05
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 20
 
 
+@functools.lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
+
+
+def letters_only(text: str) -> np.ndarray:
+    """Code points of the lower-cased text, every run without letters being one space."""
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[c]
+    c = np.where(letter, c, np.uint32(32))
+    return c[letter | np.concatenate(([True], letter[:-1]))]
+
+
 def counts(text: str) -> np.ndarray:
-    """Hashed counts of 1- to 3-grams of a whole lower-cased text, digits folded together."""
+    """Hashed counts of 1- to 3-grams of a whole text."""
     total = np.zeros(BUCKETS)
+    before = np.array([32, 32], np.uint32)
     for low in range(0, len(text), _PIECE):
-        piece = text[max(0, low - 2):low + _PIECE].lower()
-        c = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        skip = min(low, 2)  # the two characters read again only open n-grams that reach into this piece
+        # two characters of the piece before open the n-grams that reach into this one
+        c = np.concatenate((before, letters_only(text[low:low + _PIECE])))
+        before = c[-2:]
+        c = c.astype(np.uint64)
         one = c * np.uint64(0x9E3779B97F4A7C15)
-        two = (one[:-1] ^ (c[1:] * np.uint64(0xC2B2AE3D27D4EB4F))) if len(c) > 1 else one[:0]
-        three = ((two[:-1] * np.uint64(0x165667B19E3779F9)) ^ (c[2:] * np.uint64(0x27D4EB2F165667C5))) if len(c) > 2 else one[:0]
-        for grams, size in ((one, 1), (two, 2), (three, 3)):
-            grams = grams[max(0, skip - size + 1):]
+        two = one[:-1] ^ (c[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+        three = (two[:-1] * np.uint64(0x165667B19E3779F9)) ^ (c[2:] * np.uint64(0x27D4EB2F165667C5))
+        for grams in (one[2:], two[1:], three):
             mixed = (grams * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(52)
             total += np.bincount(mixed.astype(np.int64), minlength=BUCKETS)
     return total
@@ -68,7 +82,7 @@ class Centroids:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         out: list[tuple[str, float, bool]] = [(UNDETERMINED, 0.0, True)] * len(texts)
-        at = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.languages else []
+        at = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if self.languages else []
         if at:
             cosines = unit(np.stack([counts(texts[i]) for i in at]), self.idf) @ self.rows.T
             best = np.round(cosines, 12).argmax(axis=1)
