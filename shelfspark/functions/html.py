@@ -1,109 +1,217 @@
-"""Reading HTML held in a string column with native regex expressions."""
+"""Reading HTML held in a string column.
+
+Elements nest, attributes come in three quote styles and texts hold character references;
+regular expressions on columns cannot follow that.  Each rule here is a small
+Python function over one page, run over Arrow batches; everything that follows (numbers, units,
+paths) stays with native expressions.
+"""
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Callable, Iterator
+from html import unescape as resolve
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfspark.functions.text import collapse_space
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
+_MARKUP = re.compile(r"<!--.*?-->|<[^>]*>", re.S)
+_HREF = re.compile(rf"<a\b[^>]*?\shref\s*=\s*{_VALUE}", re.I)
+
+
+def _rule(returns: str, rule: Callable) -> Callable[[Column], Column]:
+    """A rule over one page as a column function; a missing page is an empty one."""
+    return F.udf(lambda page: rule(page or ""), returns, useArrow=True)
+
+
+# --- one page ------------------------------------------------------------------
+def plain(html: str) -> str:
+    """Tags to blanks, references resolved, whitespace collapsed."""
+    return " ".join(resolve(_MARKUP.sub(" ", html)).split())
+
+
+@functools.lru_cache(maxsize=256)
+def by_tag(name: str) -> re.Pattern:
+    return re.compile(rf"<{name}\b[^>]*>", re.I)
+
+
+@functools.lru_cache(maxsize=256)
+def by_class(name: str) -> re.Pattern:
+    own = re.escape(name)
+    return re.compile(
+        rf"""<\w+\b[^>]*\sclass\s*=\s*(?:"(?:[^"]*\s)?{own}(?:\s[^"]*)?"|'(?:[^']*\s)?{own}(?:\s[^']*)?'|{own}(?=[\s>]))[^>]*>""", re.I)
+
+
+@functools.lru_cache(maxsize=256)
+def _edges(name: str) -> re.Pattern:
+    return re.compile(rf"<(/?){name}(?=[\s/>])[^>]*>", re.I)
+
+
+def _end(html: str, start: re.Match) -> tuple[int, int] | None:
+    """Where the end tag that closes this start tag begins and ends; None if nothing closes it."""
+    depth = 1
+    for edge in _edges(re.match(r"<(\w+)", start.group())[1]).finditer(html, start.end()):
+        depth += -1 if edge[1] else 1
+        if depth == 0:
+            return edge.span()
+    return None
+
+
+def inner(html: str, start: re.Pattern) -> str:
+    """Inner HTML of the first such element that is closed, '' if none."""
+    for found in start.finditer(html):
+        end = _end(html, found)
+        if end:
+            return html[found.end():end[0]]
+    return ""
+
+
+def inners(html: str, start: re.Pattern) -> Iterator[str]:
+    """Inner HTML of all such elements, in page order; one that never ends stops at the next of its kind."""
+    starts = list(start.finditer(html))
+    for found, after in zip(starts, [*starts[1:], None]):
+        end = _end(html, found)
+        yield html[found.end():end[0] if end else after.start() if after else len(html)]
+
+
+def without(html: str, *tags: str) -> str:
+    """The page without these elements; one that never ends takes only its start tag with it."""
+    start, out, at = re.compile(rf"<(?:{'|'.join(tags)})(?=[\s/>])[^>]*>", re.I), [], 0
+    while found := start.search(html, at):
+        end = _end(html, found)
+        out += [html[at:found.start()], " "]
+        at = end[1] if end else found.end()
+    return "".join(out) + html[at:]
 
-# Character references that occur in shop pages ('&amp;' is resolved last).
-ENTITIES = {
-    "&nbsp;": " ", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">",
-    "&auml;": "ä", "&ouml;": "ö", "&uuml;": "ü", "&Auml;": "Ä", "&Ouml;": "Ö", "&Uuml;": "Ü",
-    "&szlig;": "ß", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&amp;": "&",
-}
 
+def value(html: str, element: str, name: str) -> str:
+    tag = re.search(rf"<[a-z]\w*(?=[^>]*{element})[^>]*>", html, re.I)
+    found = re.search(rf"\s{re.escape(name)}\s*=\s*{_VALUE}", tag.group(), re.I) if tag else None
+    return resolve(re.sub(r"""^["']|["']$""", "", found[1])) if found else ""
 
+
+def _pairs(keys: list[str], values: list[str]) -> dict[str, str]:
+    return {key: value for key, value in zip(keys, values) if key and value}
+
+
+def _cells(pattern: str, html: str) -> dict[str, str]:
+    found = re.findall(pattern, html, re.I | re.S)
+    return _pairs([plain(key).rstrip(":") for key, _ in found], [plain(value) for _, value in found])
+
+
+def chosen_options(html: str) -> dict[str, str]:
+    """Legend -> label of the checked option, inside each configurator group; groups without a choice are left out."""
+    chosen = {}
+    for group in inners(html, by_class("product-detail-configurator-group")):
+        field = value(group, r"\schecked[\s=>/]", "id")
+        label = re.compile(rf"""<label\b[^>]*\sfor\s*=\s*["']?{re.escape(field)}(?=["'\s>])[^>]*>""", re.I)
+        chosen |= _pairs([re.sub("[  ]auswählen", "", plain(inner(group, by_tag("legend"))))], [plain(inner(group, label)) if field else ""])
+    return chosen
+
+
+def flagged_attributes(html: str) -> dict[str, str]:
+    """Flag -> values of each attribute item, several joined by ' | '; without value elements, the rest of the item."""
+    found = {}
+    for item in inners(inner(html, by_class("product-detail__attributes")), by_tag("li")):
+        flag = inner(item, by_class("overlay-flag"))
+        values = dict.fromkeys(v for v in map(plain, inners(item, by_class("content"))) if v)
+        rest = plain(without(item, "svg").replace(flag, " ", 1)) if flag else ""
+        found |= _pairs([plain(inner(flag, by_tag("span")))], [" | ".join(values) or rest])
+    return found
+
+
+# --- columns --------------------------------------------------------------------
 def unescape(c: Column) -> Column:
-    for name, char in ENTITIES.items():
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
+    return _rule("string", resolve)(c)
 
 
 def text_of(html: Column) -> Column:
-    """Tags to blanks, references resolved, whitespace collapsed."""
-    return collapse_space(unescape(F.regexp_replace(html, r"(?s)<!--.*?-->|<[^>]*>", " ")))
+    return _rule("string", plain)(html)
 
 
-def drop_blocks(html: Column, *tags: str) -> Column:
-    names = "|".join(tags)
-    return F.regexp_replace(html, rf"(?is)<({names})\b[^>]*>.*?</\1\s*>", " ")
+def body_text(html: Column, *tags: str) -> Column:
+    """Text of the page without these elements."""
+    return _rule("string", lambda page: plain(without(page, *tags)))(html)
 
 
 def tag_html(html: Column, tag: str) -> Column:
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
+    return _rule("string", lambda page: inner(page, by_tag(tag)))(html)
 
 
 def tag_text(html: Column, tag: str) -> Column:
-    return text_of(tag_html(html, tag))
-
-
-def _class(name: str) -> str:
-    return rf'\sclass="(?:[^"]*\s)?{re.escape(name)}(?:\s[^"]*)?"'
+    return _rule("string", lambda page: plain(inner(page, by_tag(tag))))(html)
 
 
 def class_html(html: Column, name: str) -> Column:
-    """Inner HTML of the first element with the class (up to its first same-name end tag)."""
-    return F.regexp_extract(html, rf"(?is)<(\w+)\b[^>]*{_class(name)}[^>]*>(.*?)</\1\s*>", 2)
+    """Inner HTML of the first element with the class."""
+    return _rule("string", lambda page: inner(page, by_class(name)))(html)
 
 
 def class_text(html: Column, name: str) -> Column:
-    return text_of(class_html(html, name))
+    return _rule("string", lambda page: plain(inner(page, by_class(name))))(html)
+
+
+def class_body_text(html: Column, name: str, *tags: str) -> Column:
+    """Text of the first element with the class, without these elements in it."""
+    return _rule("string", lambda page: plain(without(inner(page, by_class(name)), *tags)))(html)
 
 
 def class_texts(html: Column, name: str) -> Column:
     """Non-empty texts of all elements with the class, in page order."""
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<(\w+)\b[^>]*{_class(name)}[^>]*>(.*?)</\1\s*>"), F.lit(2))
-    return F.filter(F.transform(found, text_of), lambda x: x != "")
+    return _rule("array<string>", lambda page: [t for t in map(plain, inners(page, by_class(name))) if t])(html)
+
 
+def tag_texts(html: Column, tag: str, within: str = "") -> Column:
+    """Non-empty texts of all such elements, of the page or of its first element with class `within`."""
+    return _rule("array<string>", lambda page: [
+        t for t in map(plain, inners(inner(page, by_class(within)) if within else page, by_tag(tag))) if t])(html)
 
-def tag_texts(html: Column, tag: str) -> Column:
-    found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-    return F.filter(F.transform(found, text_of), lambda x: x != "")
 
+def attributed_texts(html: Column, tag: str, name: str) -> Column:
+    """Texts of all elements of a tag that have an attribute."""
+    start = re.compile(rf"<{tag}\b[^>]*\s{re.escape(name)}[\s=>][^>]*>?", re.I)
+    return _rule("array<string>", lambda page: [plain(t) for t in inners(page, start)])(html)
 
-def attribute(html: Column, element: str, name: str) -> Column:
+
+def attribute(html: Column, element: str, name: str, within: str = "") -> Column:
     """Attribute of the first element whose start tag matches `element` in any attribute order."""
-    tag = F.regexp_extract(html, rf"(?is)<[a-z]\w*(?=[^>]*{element})[^>]*>", 0)
-    return unescape(F.regexp_extract(tag, rf'(?is)\s{re.escape(name)}="([^"]*)"', 1))
+    return _rule("string", lambda page: value(inner(page, by_class(within)) if within else page, element, name))(html)
 
 
-def meta(html: Column, key: str, value: str) -> Column:
-    return attribute(html, rf'\s{key}="{re.escape(value)}"', "content")
+def meta(html: Column, key: str, named: str) -> Column:
+    own = re.escape(named)
+    return attribute(html, rf"""\s{key}\s*=\s*(?:"{own}"|'{own}'|{own}(?=[\s/>]))""", "content")
 
 
 def links(html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(r'(?is)<a\b[^>]*?\shref="([^"]*)"'), F.lit(1)), unescape)
+    return _rule("array<string>", lambda page: [resolve(re.sub(r"""^["']|["']$""", "", h)) for h in _HREF.findall(page)])(html)
 
 
-def last_wins_map(keys: Column, values: Column) -> Column:
-    """Map of two parallel arrays without empty keys or values; the later key wins."""
-    pairs = F.filter(
-        F.zip_with(keys, values, lambda k, v: F.struct(k.alias("k"), v.alias("v"))),
-        lambda e: (e["k"] != "") & (e["v"] != ""),
-    )
-    names = F.array_distinct(F.transform(pairs, lambda e: e["k"]))
-    picked = F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda e: e["k"] == n), -1)["v"])
-    return F.map_from_arrays(names, picked)
+def item_pairs(html: Column, item: str, key: str, named: str) -> Column:
+    """Key text -> value text of each item, all three given by class; the later key wins."""
+    return _rule("map<string,string>", lambda page: _pairs(*[
+        [plain(inner(own, by_class(name))) for own in inners(page, by_class(item))] for name in (key, named)]))(html)
 
 
 def table_specs(html: Column) -> Column:
     """Two-cell table rows as a map; the key loses its colon."""
-    row = r"(?is)<tr\b[^>]*>\s*<t[dh]\b[^>]*>(.*?)</t[dh]>\s*<t[dh]\b[^>]*>(.*?)</t[dh]>"
-    keys = F.transform(F.regexp_extract_all(html, F.lit(row), F.lit(1)), lambda x: F.regexp_replace(text_of(x), ":+$", ""))
-    values = F.transform(F.regexp_extract_all(html, F.lit(row), F.lit(2)), text_of)
-    return last_wins_map(keys, values)
+    row = r"<tr\b[^>]*>\s*<t[dh]\b[^>]*>(.*?)</t[dh]>\s*<t[dh]\b[^>]*>(.*?)</t[dh]>"
+    return _rule("map<string,string>", lambda page: _cells(row, page))(html)
 
 
 def definition_specs(html: Column) -> Column:
     """dt/dd pairs as a map."""
-    pair = r"(?is)<dt\b[^>]*>(.*?)</dt>\s*<dd\b[^>]*>(.*?)</dd>"
-    keys = F.transform(F.regexp_extract_all(html, F.lit(pair), F.lit(1)), lambda x: F.regexp_replace(text_of(x), ":+$", ""))
-    values = F.transform(F.regexp_extract_all(html, F.lit(pair), F.lit(2)), text_of)
-    return last_wins_map(keys, values)
+    return _rule("map<string,string>", lambda page: _cells(r"<dt\b[^>]*>(.*?)</dt>\s*<dd\b[^>]*>(.*?)</dd>", page))(html)
+
+
+def variant_options(html: Column) -> Column:
+    return _rule("map<string,string>", chosen_options)(html)
+
+
+def wine_attributes(html: Column) -> Column:
+    return _rule("map<string,string>", flagged_attributes)(html)
 
 
 def spec_key(c: Column) -> Column:

@@ -1,4 +1,4 @@
-"""URL rules: joining, canonical forms, classification and crawl policy."""
+"""URL rules: joining, canonical forms and classification."""
 
 from __future__ import annotations
 
@@ -25,11 +25,15 @@ ARTICLE_NUMBER = r"(?i)-(\d+)\.html$"
 
 
 def _dot_segments(path: Column) -> Column:
-    """Resolve './' and up to four levels of '../' in an absolute path."""
-    path = F.regexp_replace(path, r"/(\./)+", "/")
-    for _ in range(4):
-        path = F.regexp_replace(path, r"/(?!\.\./)[^/?#]+/\.\./", "/")
-    return F.regexp_replace(path, r"^(/\.\.)+/", "/")
+    """Resolve '.' and '..' segments of an absolute path, as many as there are; query and fragment stay."""
+    tail = F.regexp_extract(path, r"[?#].*$", 0)
+    segments = F.split(F.regexp_replace(path, r"[?#].*$", ""), "/")
+    resolved = F.aggregate(segments, F.array().cast("array<string>"), lambda done, segment: (
+        F.when(segment == ".", done)
+        .when(segment == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+        .otherwise(F.concat(done, F.array(segment)))))
+    ends_in_folder = F.element_at(segments, -1).isin(".", "..")
+    return F.concat(F.array_join(resolved, "/"), F.when(ends_in_folder, "/").otherwise(""), tail)
 
 
 def absolute_url(base: Column, href: Column) -> Column:
@@ -60,7 +64,7 @@ def normalized_url(url: Column, bare_host: str = "", full_host: str = "") -> Col
     if bare_host:
         trimmed = F.when(
             trimmed.startswith(f"https://{bare_host}/"),
-            F.concat(F.lit(f"https://{full_host}/"), F.substring(trimmed, len(bare_host) + 10, 100000)),
+            F.concat(F.lit(f"https://{full_host}/"), F.substr(trimmed, F.lit(len(bare_host) + 10))),
         ).otherwise(trimmed)
     return F.concat(F.regexp_replace(trimmed, "/+$", ""), F.lit("/"))
 
@@ -141,32 +145,6 @@ def last_segment(url: Column) -> Column:
     return F.regexp_extract(url_path(url), r"([^/]+)/*$", 1)
 
 
-def policy_rules(lines: list[str]) -> list[tuple[bool, str]]:
-    """(allow?, pattern) of the rules a crawl-policy file gives to every agent."""
-    rules, applies = [], True
-    for line in (raw.strip() for raw in lines):
-        if line.startswith("#") or ":" not in line:
-            continue
-        field, value = (part.strip() for part in line.split(":", 1))
-        if field.lower() == "user-agent":
-            applies = value == "*"
-        elif applies and field.lower() in ("allow", "disallow"):
-            rules.append((field.lower() == "allow", value))
-    return rules
-
-
-def is_allowed(url: Column, rules: list[tuple[bool, str]]) -> Column:
-    """Longest matching pattern decides; an allow rule wins a tie; no match is allowed.
-
-    A policy file is a short configuration, so its rules become one expression instead of
-    a join of every URL with every rule.
-    """
-    path = F.concat(url_path(url), F.when(url_query(url) == "", "").otherwise(F.concat(F.lit("?"), url_query(url))))
-    longest = {True: [F.lit(-1), F.lit(-1)], False: [F.lit(-1), F.lit(-1)]}
-    for allow, pattern in rules:
-        regex = "$^"
-        if pattern:
-            body = re.escape(pattern).replace(r"\*", ".*")
-            regex = "^" + (body[:-2] + "$" if body.endswith(r"\$") else body + ".*")
-        longest[allow].append(F.when(path.rlike(regex), len(regex)).otherwise(-1))
-    return F.greatest(*longest[True]) >= F.greatest(*longest[False])
+def path_and_query(url: Column) -> Column:
+    query = url_query(url)
+    return F.concat(url_path(url), F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)))

@@ -100,17 +100,17 @@ def _renamed_ids(ids: DataFrame, n: str) -> DataFrame:
         .filter(F.col(n) > F.col("first_row"))
         .select(n, suffixed.alias("renamed_id"))
     )
-    # A raw id may already look like the suffixed name an earlier row has just been given.
-    # Two rounds also cover a suffixed name that was itself built on such an id.
-    lookalikes = ids.filter(F.col("clean_id").rlike(r"-row\d{5,}$"))
-    taken = renames
-    for _ in range(2):
+    # A raw id may already look like the suffixed name an earlier row has just been given, and
+    # so on for names built on such an id.  Every round adds one suffix, so the rounds end.
+    lookalikes = landed(ids.filter(F.col("clean_id").rlike(r"-row\d{5,}$")), "lookalikes")
+    taken = renames = landed(renames, "renames")
+    while lookalikes.take(1):
         names = taken.select(F.col("renamed_id").alias("clean_id"), F.col(n).alias("taken_row"))
-        taken = (
-            lookalikes.join(names, "clean_id")
-            .filter(F.col("taken_row") < F.col(n))
-            .select(n, suffixed.alias("renamed_id"))
-        )
+        taken = landed(
+            lookalikes.join(names, "clean_id").filter(F.col("taken_row") < F.col(n))
+            .select(n, suffixed.alias("renamed_id")).distinct(), "renames")
+        if not taken.take(1):
+            break
         renames = renames.unionByName(taken)
     return renames.dropDuplicates([n])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.urls import article_number
 from shelfspark.functions.text import first_non_empty
+from shelfspark.operators.identity import latest_per_key
 
 PAGE_BLOCK = 1024
 
@@ -43,14 +44,15 @@ def crawl_cumulative(links: DataFrame, within: list[str]) -> DataFrame:
     return running_total(pages, "added", "page_index", within, "cumulative")
 
 
-def category_counts(links: DataFrame) -> DataFrame:
-    """Distinct pages and products per category; pairs are deduplicated before counting."""
-    pages = links.select("category", "page_index").distinct().groupBy("category").agg(F.count(F.lit(1)).alias("pages"))
+def category_counts(links: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """Distinct pages and products per category (of a supplier); pairs are deduplicated before counting."""
+    keys = [*(within or []), "category"]
+    pages = links.select(*keys, "page_index").distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("pages"))
     products = (
-        with_identity(links).select("category", "identity").distinct()
-        .groupBy("category").agg(F.count(F.lit(1)).alias("products"))
+        with_identity(links).select(*keys, "identity").distinct()
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("products"))
     )
-    return pages.join(products, "category")
+    return pages.join(products, keys)
 
 
 def scrape_counters(outcomes: DataFrame, within: list[str]) -> DataFrame:
@@ -64,11 +66,9 @@ def scrape_counters(outcomes: DataFrame, within: list[str]) -> DataFrame:
     )
 
 
-def latest_fetch(manifest: DataFrame, order: Column) -> DataFrame:
+def latest_fetch(manifest: DataFrame, order: str) -> DataFrame:
     """Newest fetch per URL."""
-    rest = [c for c in manifest.columns if c != "url"]
-    return manifest.groupBy("url").agg(F.max_by(F.struct(*rest), order).alias("f"), F.count(F.lit(1)).alias("fetches")).select(
-        "url", "f.*", "fetches")
+    return latest_per_key(manifest, ["url"], order, "fetches")
 
 
 def pending_urls(frontier: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

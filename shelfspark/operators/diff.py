@@ -9,6 +9,7 @@ from shelfspark.functions.ids import category_id, product_id
 from shelfspark.functions.numbers import cents, is_integral, payload_number
 from shelfspark.functions.text import blank_to_null, collapse_space, first_non_empty, has_text, split_clean, strip, text
 from shelfspark.functions.units import PAYLOAD_LABELS, payload_bundle_code, payload_vessel_code
+from shelfspark.operators.skew import join_checked, landed
 
 NAME_LENGTH = 64
 PAYLOAD_FIELDS = [
@@ -135,53 +136,65 @@ def fingerprint(payloads: DataFrame) -> Column:
     return F.sha2(F.to_json(canonical), 256)
 
 
+def _owner(owner: Column | None) -> Column:
+    """The supplier a remote product belongs to: by default its id up to '__'."""
+    return owner if owner is not None else F.when(F.col("id").contains("__"), F.substring_index("id", "__", 1))
+
+
+def _of_run(remote: DataFrame, local: DataFrame, suppliers: DataFrame | None, supplier: str) -> DataFrame:
+    """Add `_ours`: whether the row's `_owner` is a supplier of this run (by default one with a feed)."""
+    run = (suppliers if suppliers is not None else local).select(F.col(supplier).alias("_owner")).distinct()
+    return join_checked(remote, run.withColumn("_ours", F.lit(True)), "_owner")
+
+
 def catalog_plan(
-    local: DataFrame, remote: DataFrame, supplier: str = "supplier_slug",
-    owner: Column | None = None, skip_inactivate: Column | bool = False, limit: int | None = None,
+    local: DataFrame, remote: DataFrame, supplier: str = "supplier_slug", owner: Column | None = None,
+    skip_inactivate: Column | bool = False, limit: int | None = None, suppliers: DataFrame | None = None,
 ) -> DataFrame:
     """One row per product to create, update or inactivate, and per unchanged product.
 
-    Only (id, status, fingerprint) of the remote side is shuffled.  `owner` names the
-    supplier a remote product belongs to; by default the id prefix before '__'.
+    Only (id, status, fingerprint) of both sides meets in the join; payloads are attached to
+    the rows that need one.  A product that left the feed is touched only if its owner is a
+    supplier of this run.  Of several feed rows with one id the last counts.
     `skip_inactivate` keeps products that disappeared from the feed.
     """
     if limit is not None:
         local = local.orderBy("id").limit(limit)
-    if owner is None:
-        owner = F.when(F.col("id").contains("__"), F.substring_index("id", "__", 1))
-    ours = local.select(
-        F.col(supplier), "id", fingerprint(local).alias("_local"), F.lit(True).alias("_in_feed"),
-        F.struct(*PAYLOAD_FIELDS).alias("payload"),
-    )
-    theirs = remote.select(
-        owner.alias("_owner"), "id", F.col("status").alias("remote_status"),
-        fingerprint(remote).alias("_remote"), F.lit(True).alias("_known"),
-    )
+    feed = landed(local.select(
+        F.col(supplier), "id", fingerprint(local).alias("_local"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("_payload"),
+        F.monotonically_increasing_id().alias("_row")), "feed")
+    last = feed.groupBy("id").agg(F.max("_row").alias("_row"))
+    ours = feed.select(supplier, "id", "_local", "_row").join(last, ["id", "_row"], "left_semi")
+    theirs = _of_run(remote.select(
+        _owner(owner).alias("_owner"), "id", F.col("status").alias("remote_status"), fingerprint(remote).alias("_remote"),
+        F.lit(True).alias("_known")), local, suppliers, supplier)
+    in_feed = F.col("_row").isNotNull()
     action = (
-        F.when(F.col("_in_feed") & F.col("_known").isNull(), "create")
-        .when(F.col("_in_feed") & (F.col("_local") == F.col("_remote")), "unchanged")
-        .when(F.col("_in_feed"), "update")
+        F.when(in_feed & F.col("_known").isNull(), "create")
+        .when(in_feed & (F.col("_local") == F.col("_remote")), "unchanged")
+        .when(in_feed, "update")
         .when(F.col("remote_status") == "INACTIVE", "unchanged")
         .otherwise("inactivate")
     )
     skip = F.lit(skip_inactivate) if isinstance(skip_inactivate, bool) else skip_inactivate
-    joined = ours.join(theirs, "id", "full_outer")
-    kept = F.col("_in_feed") | (F.col("_owner").isNotNull() & ~skip)
-    return joined.filter(kept).select(
-        F.coalesce(supplier, "_owner").alias(supplier), "id", action.alias("action"),
-        F.when(action.isin("create", "update"), F.to_json("payload"))
-        .when(action == "inactivate", F.to_json(F.struct(F.lit("INACTIVE").alias("status")))).alias("payload"),
-        F.when(F.col("_in_feed"), "feed").otherwise("remote").alias("origin"),
-    )
-
-
-def missing_from_feed(local: DataFrame, remote: DataFrame, owner: Column | None = None) -> DataFrame:
-    """Owned remote products no longer in the feed."""
-    if owner is None:
-        owner = F.when(F.col("id").contains("__"), F.substring_index("id", "__", 1))
-    owned = remote.select(owner.alias("supplier_slug"), "id", "status").filter("supplier_slug IS NOT NULL")
+    plan = ours.join(theirs, "id", "full_outer").filter(in_feed | (F.coalesce("_ours", F.lit(False)) & ~skip)).select(
+        F.coalesce(supplier, "_owner").alias(supplier), "id", action.alias("action"), "_row",
+        F.when(in_feed, "feed").otherwise("remote").alias("origin"))
+    sent = F.when(F.col("action").isin("create", "update"), F.col("_row"))
+    return plan.withColumn("_row", sent).join(feed.select("_row", "_payload"), "_row", "left").select(
+        supplier, "id", "action",
+        F.when(F.col("action") == "inactivate", F.to_json(F.struct(F.lit("INACTIVE").alias("status"))))
+        .otherwise(F.col("_payload")).alias("payload"), "origin")
+
+
+def missing_from_feed(
+    local: DataFrame, remote: DataFrame, owner: Column | None = None, suppliers: DataFrame | None = None,
+) -> DataFrame:
+    """Remote products of this run's suppliers that are no longer in the feed."""
+    owned = _of_run(remote.select(_owner(owner).alias("_owner"), "id", "status"), local, suppliers, "supplier_slug")
     action = F.when(F.col("status") == "INACTIVE", "unchanged").otherwise("inactivate")
-    return owned.join(local.select("id"), "id", "left_anti").select("supplier_slug", "id", action.alias("action"))
+    return owned.filter("_ours").join(local.select("id"), "id", "left_anti").select(
+        F.col("_owner").alias("supplier_slug"), "id", action.alias("action"))
 
 
 def skip_inactivate(explicit: Column, policy: Column) -> Column:

@@ -220,14 +220,10 @@ def shop_page(pages: DataFrame) -> DataFrame:
             H.class_text(h, "product-detail-name"), H.text_of(F.regexp_extract(h, NAMED_HEADING, 1)))).otherwise("").alias("name"),
         H.table_specs(h).alias("specs"),
         H.class_text(h, "price-unit-content").alias("detail"),
-        H.text_of(H.drop_blocks(h, "script", "style", "head")).alias("page_text"),
-        H.text_of(H.drop_blocks(H.class_html(h, "product-detail-description-text"), "h1", "table", "script", "style")).alias("description"),
+        H.body_text(h, "script", "style", "head").alias("page_text"),
+        H.class_body_text(h, "product-detail-description-text", "h1", "table", "script", "style").alias("description"),
         H.class_texts(h, "breadcrumb-title").alias("crumbs"),
-        H.last_wins_map(
-            F.transform(F.regexp_extract_all(h, F.lit(r'(?is)<legend\b[^>]*>(.*?)</legend>'), F.lit(1)),
-                        lambda x: F.replace(H.text_of(x), F.lit(" auswählen"), F.lit(""))),
-            F.transform(F.regexp_extract_all(h, F.lit(r'(?is)\schecked\b[^>]*>\s*<label\b[^>]*>(.*?)</label>'), F.lit(1)), H.text_of),
-        ).alias("variant_options"),
+        H.variant_options(h).alias("variant_options"),
     )
     s = F.col("specs")
     piece = first_non_empty(spec(s, "Stückzahl"), spec(s, "Anzahl"))
@@ -272,7 +268,7 @@ def article_page(pages: DataFrame) -> DataFrame:
     h, title = F.col("html"), H.tag_text(F.col("html"), "h1")
     specs = H.definition_specs(h)
     size, unit = title_size(title)
-    crumbs = F.filter(H.tag_texts(H.class_html(h, "breadcrumb-navigation"), "li"), lambda c: c != "Home")
+    crumbs = F.filter(H.tag_texts(h, "li", "breadcrumb-navigation"), lambda c: c != "Home")
     path = F.when(F.size(crumbs) > 1, F.array_join(F.slice(crumbs, 1, F.size(crumbs) - 1), " > ")).otherwise("")
     ext = text(F.col("external_html")) if "external_html" in pages.columns else F.lit("")
     ext_url = text(F.col("external_url")) if "external_url" in pages.columns else F.lit("")
@@ -286,9 +282,9 @@ def article_page(pages: DataFrame) -> DataFrame:
     return _record(pages, {
         "canonical_url": without_query(F.col("url")), "category_path": path, "product_name": title, "item_name": title,
         "sku": spec(specs, "Artikelnummer"), "currency": F.lit("CHF"),
-        "image_url": first_non_empty(absolute_url(F.col("url"), H.attribute(H.class_html(h, "article-image"), r"\ssrc=", "src")), ext_image),
+        "image_url": first_non_empty(absolute_url(F.col("url"), H.attribute(h, r"\ssrc=", "src", "article-image")), ext_image),
         "product_sheet_url": sheet, "description": F.concat_ws("\n\n", blank_to_null(F.array_join(
-            H.tag_texts(H.class_html(h, "accordion-body"), "p"), " ")), blank_to_null(ext_text)),
+            H.tag_texts(h, "p", "accordion-body"), " ")), blank_to_null(ext_text)),
         "manufacturer": ext_title, "region": spec(specs, "Herkunft"), "country": spec(specs, "Herkunft"),
         "vessel_size": size, "vessel_unit": unit, "vessel_type": F.when(unit == "st", "piece").otherwise(""),
     }, specs=keyed, labels=split_clean(spec(specs, "Label"), r"[\n,]+"))
@@ -297,14 +293,13 @@ def article_page(pages: DataFrame) -> DataFrame:
 def wine_page(pages: DataFrame) -> DataFrame:
     """Wine pages: attribute flags, further information, sizes per variant."""
     h, title = F.col("html"), H.tag_text(F.col("html"), "h1")
-    keys, values = H.class_texts(h, "overlay-flag"), H.class_texts(h, "content")
-    attributes = H.last_wins_map(keys, values)
-    info = H.last_wins_map(H.class_texts(h, "further-info__title"), H.class_texts(h, "further-info__content"))
-    variants = F.transform(F.regexp_extract_all(h, F.lit(r"(?is)<a\b[^>]*data-simple-product-id[^>]*>(.*?)</a>"), F.lit(1)), H.text_of)
+    attributes = H.wine_attributes(h)
+    info = H.item_pairs(h, "further-info__item", "further-info__title", "further-info__content")
+    variants = H.attributed_texts(h, "a", "data-simple-product-id")
     sized = F.filter(variants, lambda v: v.rlike(UNICODE_CI + SIMPLE_SIZE))
     size, unit = simple_size(text(F.try_element_at(sized, F.lit(1))))
     origin = split_clean(spec(attributes, "Herkunft"), r"\|")
-    crumbs = H.tag_texts(H.class_html(h, "breadcrumbs"), "li")
+    crumbs = H.tag_texts(h, "li", "breadcrumbs")
     described = F.array_join(F.transform(F.map_entries(info), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\n\n")
     merged = F.transform_keys(F.map_concat(attributes, info), lambda k, v: H.spec_key(k))
     return _record(pages, {
@@ -323,7 +318,7 @@ def wine_page(pages: DataFrame) -> DataFrame:
 def food_page(pages: DataFrame) -> DataFrame:
     """Food pages: package evidence in the title and the info list, article number in a badge."""
     h, title = F.col("html"), H.tag_text(F.col("html"), "h1")
-    items = H.tag_texts(H.class_html(h, "product-additional-info-list"), "li")
+    items = H.tag_texts(h, "li", "product-additional-info-list")
     size, unit = simple_size(F.concat_ws(" ", title, F.array_join(items, " ")))
     number = F.regexp_extract(H.class_text(h, "product-box-articlenumber"), r"Art-Nr\.\s*([\w.-]+)", 1)
     specs = F.transform_keys(H.table_specs(h), lambda k, v: H.spec_key(k))
@@ -370,8 +365,8 @@ def extract_products(pages: DataFrame, family: str) -> tuple[DataFrame, DataFram
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Distinct absolute links per page."""
-    found = pages.select("url", F.explode(F.array_distinct(H.links(F.col("html")))).alias("href"))
-    return found.select(F.col("url").alias("page_url"), absolute_url(F.col("url"), F.col("href")).alias("url")).filter("url <> ''")
+    found = F.array_distinct(F.transform(H.links(F.col("html")), lambda href: absolute_url(F.col("url"), href)))
+    return pages.select(F.col("url").alias("page_url"), F.explode(found).alias("url")).filter("url <> ''")
 
 
 def listing_diagnostics(pages: DataFrame) -> DataFrame:
@@ -440,7 +435,7 @@ def payload_page(pages: DataFrame) -> DataFrame:
         delivery_size(F.col("p.currentdeliverysizetext")).alias("pack"))
     crumbs = F.filter(H.class_texts(F.col("html"), "breadcrumb__item"), lambda c: c != "Zurück")
     name = collapse_space(text(F.col("p.shorttext")))
-    crumbs = F.when(F.try_element_at(crumbs, F.lit(1)) == "Katalog", F.slice(crumbs, 2, 100)).otherwise(crumbs)
+    crumbs = F.when(F.try_element_at(crumbs, F.lit(1)) == "Katalog", F.slice(crumbs, F.lit(2), F.size(crumbs))).otherwise(crumbs)
     crumbs = F.when(F.try_element_at(crumbs, F.lit(-1)) == name, F.slice(crumbs, 1, F.greatest(F.size(crumbs) - 1, F.lit(0)))).otherwise(crumbs)
     groups = F.array(*[collapse_space(text(F.col(f"p.{g}"))) for g in ("maingroup", "catalog_level_2", "catalog_level_3", "wgtext")])
     path = first_non_empty(F.array_join(crumbs, " > "), F.array_join(F.array_distinct(F.filter(groups, lambda g: g != "")), " > "))
@@ -507,7 +502,7 @@ def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand:
         F.array(e["seoCategory"]), F.coalesce(e["categories"], F.array()), F.array(e["extensions"]["teaProductExtension"]["displayCategory"])))
     paths = F.transform(crumb_lists, lambda c: F.filter(
         F.transform(F.coalesce(c["translated"]["breadcrumb"], c["breadcrumb"], F.array()), collapse_space), lambda x: x != ""))
-    paths = F.transform(paths, lambda p: F.when(F.try_element_at(p, F.lit(1)) == root_crumb, F.slice(p, 2, 100)).otherwise(p))
+    paths = F.transform(paths, lambda p: F.when(F.try_element_at(p, F.lit(1)) == root_crumb, F.slice(p, F.lit(2), F.size(p))).otherwise(p))
     path = F.array_join(F.try_element_at(F.filter(paths, lambda p: F.size(p) > 0), F.lit(1)), " > ")
     images = F.filter(F.concat(F.array(e["cover"]["media"]["url"]), F.coalesce(F.transform(e["media"], lambda m: m["media"]["url"]), F.array())),
                       lambda u: text(u) != "")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.ids import record_key, source_identifier
@@ -10,29 +10,28 @@ from shelfspark.functions.text import has_text
 from shelfspark.operators.skew import with_sequence
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: Column, copies: str | None = None) -> DataFrame:
-    """Keep the earliest row per key; partial aggregation shrinks hot keys before the shuffle."""
-    return _pick(df, keys, order, F.min_by, copies)
+def first_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None) -> DataFrame:
+    """Keep the earliest row per key, by a column that is unique within a key."""
+    return _pick(df, keys, order, F.min, copies)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: Column, copies: str | None = None) -> DataFrame:
-    return _pick(df, keys, order, F.max_by, copies)
+def latest_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None) -> DataFrame:
+    return _pick(df, keys, order, F.max, copies)
 
 
 def _pick(df, keys, order, pick, copies):
-    rest = [c for c in df.columns if c not in keys]
-    aggregates = [pick(F.struct(*rest), order).alias("_row")]
-    if copies:
-        aggregates.append(F.count(F.lit(1)).alias(copies))
-    out = df.groupBy(*keys).agg(*aggregates)
-    return out.select(*keys, "_row.*", *([copies] if copies else []))
+    """Only (keys, order) is aggregated, by hash and map side first; wide rows are neither sorted nor buffered."""
+    name = copies or "_copies"
+    picked = df.groupBy(*keys).agg(pick(order).alias(order), F.count(F.lit(1)).alias(name))
+    out = df.join(picked, [*keys, order])
+    return out.select(*df.columns, *([copies] if copies else []))
 
 
 def dedupe_products(products: DataFrame, ordinal: str = "ordinal", within: list[str] | None = None) -> DataFrame:
     """First record per SKU (or canonical URL and options), with how many were skipped."""
     key = source_identifier(F.col("sku"), F.col("canonical_url"), F.col("variant_options"))
     keyed = products.withColumn("dedupe_key", key)
-    kept = first_per_key(keyed, [*(within or []), "dedupe_key"], F.col(ordinal), copies="_copies")
+    kept = first_per_key(keyed, [*(within or []), "dedupe_key"], ordinal, copies="_copies")
     return kept.withColumn("skipped", F.col("_copies") - 1).drop("_copies")
 
 
@@ -71,12 +70,11 @@ def with_item_ids(products: DataFrame, supplier: str = "supplier_slug", ordinal:
     return known.unionByName(unknown)
 
 
-def first_seen_links(links: DataFrame, key: str = "identity") -> DataFrame:
-    """Product identity over crawl order: the first URL per identity is kept."""
-    return links.groupBy(key).agg(
-        F.min_by("url", F.struct("page_index", "url")).alias("url"),
-        F.min("page_index").alias("first_page"),
-    )
+def first_seen_links(links: DataFrame, key: str = "identity", within: list[str] | None = None) -> DataFrame:
+    """Product identity over crawl order, per supplier: the first URL per identity is kept."""
+    keys = [*(within or []), key]
+    return links.groupBy(*keys, "page_index").agg(F.min("url").alias("url")).groupBy(*keys).agg(
+        F.min_by("url", "page_index").alias("url"), F.min("page_index").alias("first_page"))
 
 
 def checksum(products: DataFrame, columns: list[str]) -> DataFrame:

@@ -236,8 +236,10 @@ SHOP_HTML = (
     "<p class=\"product-detail-price\">CHF ' || cast(whole AS string) || '.' || frac || '*</p><span class=\"price-unit-content\">' || detail || '</span>"
     "<span class=\"product-detail-ordernumber\">A-' || cast(k AS string) || '</span><p class=\"delivery-information\">' || "
     "CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END || '</p>"
-    "<legend>Farbe auswählen</legend><input type=\"radio\" id=\"a\" checked><label for=\"a\">' || CASE WHEN v % 2 = 0 THEN 'rot' ELSE 'blau' END || '</label>"
-    "<section class=\"product-detail-description-text\"><script>var a=1;</script>Aus <b>' || noun || '</b>&nbsp;&nbsp;nachhaltig, MwSt 8,1 %</section>"
+    "<fieldset class=\"product-detail-configurator-group\"><legend>Form auswählen</legend><input type=\"radio\" id=\"f\"><label for=\"f\">rund</label></fieldset>"
+    "<fieldset class=\"product-detail-configurator-group\"><legend>Farbe auswählen</legend><input type=\"radio\" id=\"c\"><label for=\"c\">gelb</label>"
+    "<input type=\"radio\" id=\"a\" checked><label for=\"a\">' || CASE WHEN v % 2 = 0 THEN 'rot' ELSE 'blau' END || '</label></fieldset>"
+    "<section class=\"product-detail-description-text\"><script>var a=1;</script>Aus <b>' || noun || '</b>&nbsp;&nbsp;<section>nachhaltig</section>, MwSt 8,1 &#37; &ndash; &#xE4;</section>"
     "<table><tr><td>Stückzahl:</td><td>' || piece || '</td></tr><tr><td>Material</td><td>' || CASE WHEN v % 5 = 0 THEN 'Holz' ELSE '' END || '</td></tr>"
     "<tr><th>EAN</th><td>76 ' || lpad(cast(k AS string), 9, '0') || '</td></tr><tr><td>Land</td><td>Schweiz</td></tr></table>"
     "<a href=\"/docs/' || cast(k AS string) || '.PDF\">Blatt</a></div></body></html>'"
@@ -260,8 +262,10 @@ WINE_HTML = (
     "<ul class=\"breadcrumbs\"><li>Shop</li><li>' || kind || '</li></ul><h1>' || noun || '</h1><span class=\"producer__name\">' || brand || '</span>"
     "<form data-product-sku=\"W' || cast(k AS string) || '\"></form><span data-price-type=\"finalPrice\" data-price-amount=\"' || cast(whole AS string) || '.' || frac || '\"></span>"
     "<a data-simple-product-id=\"1\">Magnum</a><a data-simple-product-id=\"2\">' || CASE WHEN v % 2 = 0 THEN '75,0 cl' ELSE '1.5 l' END || '</a>"
-    "<div class=\"overlay-flag\"><span>Herkunft</span></div><span class=\"content\">Toskana | Italien</span><div class=\"overlay-flag\"><span>Typ</span></div><span class=\"content\">Rot</span>"
-    "<b class=\"further-info__title\">Ausbau</b><i class=\"further-info__content\">' || cast(size AS string) || ' Monate</i></body></html>'"
+    "<div class=\"product-detail__attributes\"><ul><li><div class=\"overlay-flag\"><span>Trauben</span></div><span class=\"content\">Merlot</span><span class=\"content\">Syrah</span></li>"
+    "<li><div class=\"overlay-flag\"><span>Herkunft</span></div><svg><path/></svg> Toskana | Italien</li><li><div class=\"overlay-flag\"><span>Typ</span></div><span class=\"content\">Rot</span></li></ul></div>"
+    "<div class=\"further-info__item\"><b class=\"further-info__title\">Leer</b></div>"
+    "<div class=\"further-info__item\"><b class=\"further-info__title\">Ausbau</b><i class=\"further-info__content\">' || cast(size AS string) || ' Monate</i></div></body></html>'"
 )
 FOOD_HTML = (
     "'<nav class=\"breadcrumb\"><span class=\"breadcrumb-title\">Shop</span><span class=\"breadcrumb-title\">' || kind || ' &amp; mehr</span></nav><h1>' || noun || '</h1>"

@@ -28,8 +28,8 @@ def _enriched(spark, sf):
 
 
 def _page_text(spark, sf):
-    body = H.drop_blocks(F.col("html"), "h1", "table", "script", "style", "head")
-    return table(spark, sf, "pages").select("page_id", H.text_of(body).alias("body_text"))
+    body = H.body_text(F.col("html"), "h1", "table", "script", "style", "head")
+    return table(spark, sf, "pages").select("page_id", body.alias("body_text"))
 
 
 def _page_titles(spark, sf):
@@ -96,7 +96,7 @@ QUERIES = {
 _SHOP = f"(SELECT *, 'A-' || cast(k AS varchar) AS sku FROM {duck('page_lines')} pl WHERE v % 10 <> 9) s"
 _OPT = "CASE WHEN v % 2 = 0 THEN 'rot' ELSE 'blau' END"
 _ENT = {"&nbsp;": " ", "&quot;": '"', "&#39;": "''", "&apos;": "''", "&lt;": "<", "&gt;": ">", "&auml;": "ä", "&ouml;": "ö", "&uuml;": "ü",
-        "&Auml;": "Ä", "&Ouml;": "Ö", "&Uuml;": "Ü", "&szlig;": "ß", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&amp;": "&"}
+        "&Auml;": "Ä", "&Ouml;": "Ö", "&Uuml;": "Ü", "&szlig;": "ß", "&eacute;": "é", "&egrave;": "è", "&agrave;": "à", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 
 
 def _text(e: str) -> str:
@@ -134,7 +134,7 @@ ORACLES = {
     "keyword_infer": f"""SELECT sku, CASE {_COLOUR} ELSE '' END AS color, CASE WHEN v % 5 = 0 THEN 'Holz' {_MATERIAL} ELSE '' END AS material, 'cup' AS vessel_type,
   CASE WHEN v % 7 = 0 THEN 'OUT_OF_STOCK' WHEN v % 7 = 1 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, CASE WHEN v % 3 = 0 THEN 'BIO|NEW' ELSE 'BIO|SEASONAL' END AS labels FROM {_SHOP}""",
     "gtin_pick": f"SELECT sku, '76' || lpad(cast(k AS varchar), 9, '0') AS gtin, '8.1' AS vat FROM {_SHOP}",
-    "extract_pages": f"SELECT sku, 'Aus ' || noun || ' nachhaltig, MwSt 8,1 %' AS description, CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END AS raw_availability_text, 'Schweiz' AS country, piece AS raw_spec_piece_text, detail AS raw_detail_price_unit_text FROM {_SHOP}",
+    "extract_pages": f"SELECT sku, 'Aus ' || noun || ' nachhaltig , MwSt 8,1 % – ä' AS description, CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END AS raw_availability_text, 'Schweiz' AS country, piece AS raw_spec_piece_text, detail AS raw_detail_price_unit_text FROM {_SHOP}",
     "extract_failures": f"SELECT 'detail' AS stage, url, 'not-a-product-page' AS reason FROM {_PC} WHERE v % 10 = 9",
     "listing_totals": f"""SELECT url, 1000 + v % 1000 AS advertised_by_attribute, 2000 + k % 1000 AS advertised_by_toolbar, v % 9 + 1 AS page_count, 'true' AS has_listing_widget,
   '/widgets/' || cast(k AS varchar) AS uses_widget_data_url, 'false' AS has_pagination, '2' AS product_card_count FROM {_PC}""",

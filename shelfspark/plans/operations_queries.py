@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from shelfspark.functions import ids, numbers, text, units, urls
-from shelfspark.operators import coverage, diff, operations as ops, validate
+from shelfspark.operators import coverage, diff, operations as ops, policy, validate
 from shelfspark.operators.clean import clean_catalog, clean_corrections
 from shelfspark.plans import derived
 from shelfspark.plans.derived import duck, event_stream, products, remote_products, table, view
@@ -35,7 +35,9 @@ def _url_classify(spark, sf):
     pages = table(spark, sf, "pages").select(F.col("url").alias("u")).unionByName(
         products(spark, sf).select(F.col("product_url").alias("u"))).unionByName(
         view(spark, sf, "configs").select(F.concat("base_url", F.lit("/"), "scraper_adapter").alias("u"))).unionByName(
-        view(spark, sf, "configs").select(F.concat("base_url", F.lit("/agb")).alias("u")))
+        view(spark, sf, "configs").select(F.concat("base_url", F.lit("/agb")).alias("u"))).unionByName(
+        table(spark, sf, "pages").select(F.concat(F.lit("https://shop.example.com/Shop/"), "page_id",
+                                                  F.when(F.col("page_id") % 3 == 0, "/").otherwise("/a?x=/")).alias("u")))
     u = F.col("u")
     return pages.select(
         "u", urls.is_root_product(u).alias("root_product"), urls.is_article(u).alias("article"),
@@ -150,8 +152,10 @@ def _config_merge(spark, sf):
 
 
 def _policy(spark, sf):
-    rules = urls.policy_rules(POLICY)
-    return table(spark, sf, "pages").select("page_id", urls.is_allowed(F.col("url"), rules).alias("allowed"))
+    pages = table(spark, sf, "pages")
+    lines = pages.select(urls.url_host(F.col("url")).alias("host")).distinct().select(
+        "host", F.posexplode(F.array(*map(F.lit, POLICY))).alias("ord", "line"))
+    return policy.with_verdict(pages, policy.policy_rules(lines)).select("page_id", "allowed")
 
 
 def _remote_pages(spark, sf):
@@ -189,10 +193,10 @@ def _stream_diff(spark, sf):
 LINES = ["job_id", "ord", "line"]
 QUERIES = {
     "crawl_cumulative": lambda spark, sf: coverage.crawl_cumulative(view(spark, sf, "listing"), ["supplier_slug"]),
-    "category_counts": lambda spark, sf: coverage.category_counts(view(spark, sf, "listing")),
+    "category_counts": lambda spark, sf: coverage.category_counts(view(spark, sf, "listing"), ["supplier_slug"]),
     "identity_dedupe": lambda spark, sf: _first_links(spark, sf),
     "scrape_counters": _counters,
-    "latest_fetch": lambda spark, sf: coverage.latest_fetch(view(spark, sf, "fetches"), F.col("ord")),
+    "latest_fetch": lambda spark, sf: coverage.latest_fetch(view(spark, sf, "fetches"), "ord"),
     "pending_urls": lambda spark, sf: coverage.pending_urls(
         view(spark, sf, "fetches").unionByName(table(spark, sf, "pages").select("url"), allowMissingColumns=True),
         view(spark, sf, "fetches").filter("status_code = 200")),
@@ -235,7 +239,7 @@ QUERIES = {
 
 def _first_links(spark, sf):
     from shelfspark.operators.identity import first_seen_links
-    return first_seen_links(coverage.with_identity(view(spark, sf, "listing")))
+    return first_seen_links(coverage.with_identity(view(spark, sf, "listing")), within=["supplier_slug"])
 
 
 L, J, LG, FE = (duck(n) + f" {a}" for n, a in [("listing", "l"), ("jobs", "j"), ("log_lines", "lg"), ("fetches", "fe")])
@@ -259,18 +263,15 @@ _PATH = "regexp_replace(regexp_replace(url, '[?#].*$', ''), '^https?://[^/]*', '
 _QUERY = r"regexp_extract(url, '\?([^#]*)', 1)"
 
 
-def _rule_case(rules, allow: bool) -> str:
-    import re
-    parts = ["-1"]
-    for flag, pattern in rules:
-        if flag == allow and pattern:
-            body = re.escape(pattern).replace(r"\*", ".*")
-            regex = "^" + (body[:-2] + "$" if body.endswith(r"\$") else body + ".*")
-            parts.append(f"CASE WHEN regexp_matches(path, '{regex}') THEN {len(regex)} ELSE -1 END")
-    return "greatest(" + ", ".join(parts + ["-1"]) + ")"
+# What POLICY says to every agent, by hand: (LIKE pattern, length of the rule as an expression).
+_ALLOW = [("/en/1%", 8), ("/de/%?page%", 15), ("/fr/8%", 8)]
+_DISALLOW = [("/en/%", 9), ("/%ref=x", 10), ("/de/%", 7), ("/fr/8%", 8)]
+
+
+def _longest(rules) -> str:
+    return "greatest(-1, " + ", ".join(f"CASE WHEN path LIKE '{like}' THEN {size} ELSE -1 END" for like, size in rules) + ")"
 
 
-_RULES = urls.policy_rules(POLICY)
 _CLASS_PATH = "regexp_replace(regexp_replace(u, '[?#].*$', ''), '^[A-Za-z]+://[^/]*', '')"
 _STRIPPED = f"regexp_replace({_CLASS_PATH}, '^/+|/+$', '', 'g')"
 _ROOTS = "(" + ", ".join(f"'{s}'" for s in urls.CONTENT_SLUGS) + ")"
@@ -305,8 +306,8 @@ ORACLES = {
   fp AS (SELECT supplier_slug, identity, min(page_index) AS page_index FROM s GROUP BY 1, 2), a AS (SELECT supplier_slug, page_index, count(*) AS added FROM fp GROUP BY 1, 2),
   p AS (SELECT supplier_slug, page_index, count(*) AS found FROM s GROUP BY 1, 2)
   SELECT supplier_slug, page_index, found, coalesce(added, 0) AS added, cast(sum(coalesce(added, 0)) OVER (PARTITION BY supplier_slug ORDER BY page_index) AS bigint) AS cumulative FROM p LEFT JOIN a USING (supplier_slug, page_index)""",
-    "category_counts": f"SELECT category, count(distinct page_index) AS pages, count(distinct {_ID}) AS products FROM {L} GROUP BY 1",
-    "identity_dedupe": f"SELECT {_ID} AS identity, arg_min(url, lpad(cast(page_index AS varchar), 12, '0') || url) AS url, min(page_index) AS first_page FROM {L} GROUP BY 1",
+    "category_counts": f"SELECT supplier_slug, category, count(distinct page_index) AS pages, count(distinct {_ID}) AS products FROM {L} GROUP BY 1, 2",
+    "identity_dedupe": f"SELECT supplier_slug, {_ID} AS identity, arg_min(url, lpad(cast(page_index AS varchar), 12, '0') || url) AS url, min(page_index) AS first_page FROM {L} GROUP BY 1, 2",
     "scrape_counters": f"""SELECT supplier_slug, count(*) FILTER (WHERE NOT (failed AND stage = 'listing')) AS raw_records, count(*) FILTER (WHERE NOT failed) AS interpreted, count(*) FILTER (WHERE failed) AS failures,
   count(*) FILTER (WHERE failed AND stage = 'detail') AS detail_failures, count(*) FILTER (WHERE failed AND stage = 'transform') AS transform_failures,
   count(*) FILTER (WHERE failed AND stage = 'listing') AS listing_failures, count(*) FILTER (WHERE failed AND stage = 'external') AS external_failures
@@ -323,9 +324,10 @@ ORACLES = {
   regexp_extract(url, '^(https?:)', 1) || '//cdn.example.com/a' AS protocol_relative, regexp_extract({_PATH}, '([^/]+)/*$', 1) AS identifier FROM (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM pages) p""",
     "url_classify": rf"""SELECT u, {_ROOT_PRODUCT} AS root_product, {_ART} AS article, regexp_matches(u, '(?i)^https?://[^/]+/catalog2/products/\d+/[^/?#]+/?$') AS catalog_product, {_EXCL} AS excluded,
   CASE WHEN {_EXCL} THEN 'excluded' WHEN {_ROOT_PRODUCT} THEN 'product' WHEN split_part(regexp_replace({_CLASS_PATH}, '^/+', ''), '/', 1) IN ('economy', 'small') THEN 'category' ELSE 'other' END AS kind,
-  starts_with({_CLASS_PATH}, '/de/') AND ends_with({_CLASS_PATH}, '/') AND NOT contains(u, '?') AS listing_category, false AS shop_category FROM (
-  SELECT url AS u FROM pages UNION ALL SELECT product_url FROM {P} UNION ALL SELECT base_url || '/' || scraper_adapter FROM {C} UNION ALL SELECT base_url || '/agb' FROM {C}) x""",
-    "url_policy": f"SELECT page_id, {_rule_case(_RULES, True)} >= {_rule_case(_RULES, False)} AS allowed FROM (SELECT page_id, {_PATH} || CASE WHEN {_QUERY} = '' THEN '' ELSE '?' || {_QUERY} END AS path FROM pages) p",
+  starts_with({_CLASS_PATH}, '/de/') AND ends_with({_CLASS_PATH}, '/') AND NOT contains(u, '?') AS listing_category, starts_with(u, 'https://shop.example.com/Shop/') AND ends_with(u, '/') AND NOT contains(u, '?') AS shop_category FROM (
+  SELECT url AS u FROM pages UNION ALL SELECT product_url FROM {P} UNION ALL SELECT base_url || '/' || scraper_adapter FROM {C} UNION ALL SELECT base_url || '/agb' FROM {C}
+  UNION ALL SELECT 'https://shop.example.com/Shop/' || cast(page_id AS varchar) || CASE WHEN page_id % 3 = 0 THEN '/' ELSE '/a?x=/' END FROM pages) x""",
+    "url_policy": f"SELECT page_id, {_longest(_ALLOW)} >= {_longest(_DISALLOW)} AS allowed FROM (SELECT page_id, {_PATH} || CASE WHEN {_QUERY} = '' THEN '' ELSE '?' || {_QUERY} END AS path FROM pages) p",
     "recent_jobs": f"SELECT id, supplier_slug, status FROM {J} ORDER BY id DESC LIMIT 50",
     "latest_job": f"SELECT supplier_slug, max(id) AS id, arg_max(status, id) AS status, arg_max(job_type, id) AS job_type FROM {J} GROUP BY 1",
     "stale_jobs": f"""SELECT id, supplier_slug, CASE WHEN stop_requested_at <> '' THEN 'stopped' ELSE 'failed' END AS status, coalesce(nullif(error_message, ''), CASE WHEN stop_requested_at <> '' THEN '{ops.STOPPED_MESSAGE}' ELSE '{ops.RECOVERED_MESSAGE}' END) AS error_message,

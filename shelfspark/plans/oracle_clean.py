@@ -100,10 +100,9 @@ def clean_ctes(source: str) -> str:
     return f"""
 s1 AS (SELECT *, CASE WHEN {sanitized} = '' THEN {rownum_tag()} ELSE {sanitized} END AS clean_id FROM {source}),
 s2 AS (SELECT *, row_number > min(row_number) OVER (PARTITION BY clean_id) AS repeated, clean_id || '-' || {rownum_tag()} AS suffixed FROM s1),
-d1 AS (SELECT b.row_number, b.suffixed FROM s2 b JOIN s2 a ON a.repeated AND a.suffixed = b.clean_id AND a.row_number < b.row_number),
-d2 AS (SELECT b.row_number FROM s2 b JOIN d1 a ON a.suffixed = b.clean_id AND a.row_number < b.row_number),
-s3 AS (SELECT *, CASE WHEN repeated OR row_number IN (SELECT row_number FROM d1) OR row_number IN (SELECT row_number FROM d2)
-       THEN suffixed ELSE clean_id END AS final_id FROM s2),
+d AS (SELECT row_number, suffixed FROM s2 WHERE repeated
+      UNION SELECT b.row_number, b.suffixed FROM s2 b JOIN d a ON a.suffixed = b.clean_id AND a.row_number < b.row_number),
+s3 AS (SELECT *, CASE WHEN row_number IN (SELECT row_number FROM d) THEN suffixed ELSE clean_id END AS final_id FROM s2),
 s4 AS (SELECT *, concat_ws(' ', nullif("Item name", ''), nullif("Description", ''), nullif("Category name", ''), nullif("Material", '')) AS evidence, {empties} FROM s3),
 s5 AS (SELECT *, CASE WHEN n_category_name = '' THEN 'Uncategorized' ELSE n_category_name END AS e_category, {enum_sql},
        coalesce(printf('%.2f', try_cast({price} AS double)), '') AS e_price,
@@ -143,7 +142,7 @@ FINAL = {
 
 def clean_oracle(source: str | None = None) -> str:
     cols = ", ".join(f"{FINAL.get(c, 'n_' + tag(c))} AS {q(c)}" for c in IMPORT_COLUMNS)
-    return f"WITH {clean_ctes(source or duck('feed') + ' feed')} SELECT row_number, {cols} FROM cleaned"
+    return f"WITH RECURSIVE {clean_ctes(source or duck('feed') + ' feed')} SELECT row_number, {cols} FROM cleaned"
 
 
 def cleaned_subquery(source: str | None = None) -> str:
@@ -192,4 +191,4 @@ def corrections_oracle(source: str | None = None) -> str:
         f"'{field}' AS field, {before} AS value_before, {after} AS value_after, '{reason}' AS reason FROM cleaned WHERE {before} <> {after}"
         for field, reason, before, after, id_after in _steps()
     )
-    return f"WITH {clean_ctes(source or duck('feed') + ' feed')} {parts}"
+    return f"WITH RECURSIVE {clean_ctes(source or duck('feed') + ' feed')} {parts}"

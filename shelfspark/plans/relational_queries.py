@@ -157,7 +157,7 @@ _SAME = " AND ".join(f"l.{c} IS NOT DISTINCT FROM r.{c}" for c in _FLAT)
 
 def _plan_sql(local: str, inactivate: bool = True) -> str:
     gone = f"""UNION ALL SELECT r.owner AS supplier_slug, r.id, CASE WHEN r.status = 'INACTIVE' THEN 'unchanged' ELSE 'inactivate' END AS action, 'remote' AS origin
-  FROM ({_REMOTE_FLAT}) r WHERE r.owner IS NOT NULL AND r.id NOT IN (SELECT id FROM ({local}) l2)"""
+  FROM ({_REMOTE_FLAT}) r WHERE r.owner IN (SELECT supplier_slug FROM ({local}) l3) AND r.id NOT IN (SELECT id FROM ({local}) l2)"""
     return f"""SELECT l.supplier_slug, l.id, CASE WHEN r.id IS NULL THEN 'create' WHEN {_SAME} THEN 'unchanged' ELSE 'update' END AS action, 'feed' AS origin
   FROM ({local}) l LEFT JOIN ({_REMOTE_FLAT}) r ON r.id = l.id {gone if inactivate else ''}"""
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.functions import numbers, urls
-from shelfspark.operators import extract, operations as ops
+from shelfspark.operators import extract, operations as ops, policy
 from shelfspark.operators.skew import scratch_folder
 from shelfspark.plans.derived import products, view
 from shelfspark.schema import IMPORT_COLUMNS
@@ -57,9 +57,17 @@ def test_links(spark):
     for href, expected in cases.items():
         assert one(spark, urls.absolute_url(base, F.lit(href))) == expected
     assert one(spark, urls.with_page(F.lit("https://a.ch/c/?p=1&o=2"), F.lit(3))) == "https://a.ch/c/?p=3&o=2"
-    rules = urls.policy_rules(["User-agent: *", "Disallow: /a", "Allow: /a/b", "Disallow: /*.pdf$"])
-    for path, allowed in {"/a/x": False, "/a/b/c": True, "/z": True, "/z.pdf": False, "/z.pdf?x": True}.items():
-        assert one(spark, urls.is_allowed(F.lit("https://h.ch" + path), rules)) is allowed
+    assert one(spark, urls.absolute_url(F.lit("https://h.ch/a/b/c/d/e/f/g.html"), F.lit("../../../../../x.html?r=../y"))) == "https://h.ch/a/x.html?r=../y"
+    assert one(spark, urls.absolute_url(F.lit("https://h.ch/a/b"), F.lit("../../../.."))) == "https://h.ch/"
+
+
+def test_crawl_policy(spark):
+    lines = ["Disallow: /first", "User-agent: x", "Disallow: /", "User-agent: *", "Disallow: /a", "Allow: /a/b", "Disallow: /*.pdf$", "Disallow:", "#Allow: /"]
+    rules = policy.policy_rules(spark.createDataFrame([("h.ch", i, line) for i, line in enumerate(lines)], "host string, ord int, line string"))
+    wanted = {"/a/x": False, "/a/b/c": True, "/z": True, "/z.pdf": False, "/z.pdf?x": True, "/first": False}
+    pages = spark.createDataFrame([(f"https://{h}{p}",) for h in ("h.ch", "i.ch") for p in wanted], "url string")
+    got = {r["url"]: r["allowed"] for r in policy.with_verdict(pages, rules).collect()}
+    assert got == {f"https://h.ch{p}": v for p, v in wanted.items()} | {f"https://i.ch{p}": True for p in wanted}
 
 
 def test_food_page(spark):
