@@ -87,7 +87,7 @@ class Centroids:
             cosines = unit(np.stack([counts(texts[i]) for i in at]), self.idf) @ self.rows.T
             best = np.round(cosines, 12).argmax(axis=1)
             for i, b, row in zip(at, best, cosines):
-                language, score = self.languages[b], float(min(1.0, max(0.0, row[b])))
+                language, score = self.languages[b], round(float(min(1.0, max(0.0, row[b]))), 9)
                 out[i] = (language, score, score < self.floor[language])
         return out
 

@@ -133,22 +133,27 @@ def search(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     q_blocks, c_blocks = max(1, -(-asked // block)), max(1, -(-n // block))
     c_block = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(c_blocks)).cast("int")
     q_block = F.pmod(F.xxhash64("row", F.lit(2)), F.lit(q_blocks)).cast("int")
-    left = table.filter("query").select("*", q_block.alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cb"))
-    right = table.select("*", c_block.alias("cb"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb")).drop("floor")
-
-    def matrix(part: pd.DataFrame):
-        return (part["row"].to_numpy(), part["id"].to_numpy(), _dense(part["v"].tolist(), width),
-                np.stack(part["far"].tolist()) if len(part) and len(part["far"].iloc[0]) else np.zeros((len(part), 0)))
+    left = table.filter("query").select(
+        "row", "id", "v", "far", "floor", q_block.alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cb"))
+    # other names on the other side, as both come from one table
+    right = table.select(
+        F.col("row").alias("c_row"), F.col("id").alias("c_id"), F.col("v").alias("c_v"), F.col("far").alias("c_far"),
+        c_block.alias("c_cb"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("c_qb"))
+
+    def matrix(part: pd.DataFrame, side: str = ""):
+        far = part[f"{side}far"].tolist()
+        return (part[f"{side}row"].to_numpy(), part[f"{side}id"].to_numpy(), _dense(part[f"{side}v"].tolist(), width),
+                np.stack(far) if len(part) and len(far[0]) else np.zeros((len(part), 0)))
 
     def meet(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(own) and len(others):
-            found = search_block((*matrix(own), own["floor"].to_numpy()), matrix(others), k)
-        ids = dict(zip(own["row"], own["id"]))
+            found = search_block((*matrix(own), own["floor"].to_numpy()), matrix(others, "c_"), k)
+        ids = dict(zip(own["row"], own["id"])) if len(own) else {}
         return pd.DataFrame([(q, ids[q], vec, score, row) for q, row, vec, score in found],
                             columns=["q", "query_id", "vec_id", "score", "c"]).astype(np.int64)
 
-    best = left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(
+    best = left.groupBy("qb", "cb").cogroup(right.groupBy("c_qb", "c_cb")).applyInPandas(
         meet, "q long, query_id long, vec_id long, score long, c long")
     # at most k rows of each block reach a query's window
     order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "c")
