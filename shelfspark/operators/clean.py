@@ -319,8 +319,11 @@ def _corrections(staged: DataFrame, steps: list[Step], row_number: str) -> DataF
 
 
 def clean_both(rows: DataFrame, row_number: str = "row_number") -> tuple[DataFrame, DataFrame]:
-    """Cleaned rows and corrections over one staged plan (persist the rows upstream)."""
+    """Cleaned rows and corrections; the rules run once, and both outputs read what they left."""
     staged, final, steps = clean_steps(rows, row_number)
+    needed = dict.fromkeys([row_number, "raw_item_id", "clean_id", "final_id", *(final[c] for c in IMPORT_COLUMNS),
+                            *(c for s in steps for c in (s.before, s.after))])
+    staged = landed(staged.select(*needed), "cleaning")
     cleaned = staged.select(row_number, *[F.col(final[c]).alias(c) for c in IMPORT_COLUMNS])
     return cleaned, _corrections(staged, steps, row_number)
 

@@ -19,6 +19,12 @@ def schema_findings(rows: DataFrame) -> list[str]:
     return [] if present == IMPORT_COLUMNS else ["columns do not match the required order"]
 
 
+def schema_errors(rows: DataFrame) -> DataFrame:
+    """The column order check as findings, so that a fault blocks the gate."""
+    return rows.sparkSession.createDataFrame(
+        [("error", "schema", None, fault) for fault in schema_findings(rows)], "severity string, rule string, item_id string, value string")
+
+
 def duplicate_ids(rows: DataFrame, within: list[str] | None = None) -> DataFrame:
     """Non-empty item ids used more than once."""
     return (

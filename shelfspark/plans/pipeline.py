@@ -24,6 +24,7 @@ def run_catalog(
     """
     order = [F.col("category_path"), F.col("item_name"),
              F.coalesce(F.nullif("sku", F.lit("")), "canonical_url"), F.col("ordinal")]
+    products = landed(products, "products")  # extraction output feeds ids, numbering and records
     numbered = with_sequence(identity.with_item_ids(products), order, "row_number", start=2)
     decided = landed(packaging.decide_packaging(numbered), "decided")
     interpreted = packaging.apply_decisions(decided)
@@ -31,7 +32,8 @@ def run_catalog(
     cleaned_rows, corrections = clean.clean_both(to_import_rows(interpreted, keep=["row_number"]))
     cleaned, corrections = landed(cleaned_rows, "cleaned"), landed(corrections, "corrections")
     findings = landed(
-        validate.row_findings(cleaned).unionByName(validate.packaging_findings(cleaned, interpreted)), "findings")
+        validate.row_findings(cleaned).unionByName(validate.packaging_findings(cleaned, interpreted))
+        .unionByName(validate.schema_errors(cleaned)), "findings")
     gate = landed(validate.validation_gate(cleaned, findings, validate.duplicate_ids(cleaned)), "gate")
 
     tables = {"products": interpreted, "cleaned": cleaned, "corrections": corrections, "findings": findings, "gate": gate,

@@ -76,8 +76,9 @@ def run_diff(snapshots: DataFrame, initial_remote: DataFrame, folder: str, suppl
         state = spark.read.parquet(f"{folder}/state/before={number - 1}")
         plan = catalog_plan(batch, state, supplier)
         plan.write.mode("overwrite").parquet(f"{folder}/plan/batch={number}")
-        gone = state.join(batch.select("id"), "id", "left_anti").withColumn(
-            "status", F.when(F.col("id").contains("__"), "INACTIVE").otherwise(F.col("status")))
+        ended = spark.read.parquet(f"{folder}/plan/batch={number}").filter("action = 'inactivate'").select("id", F.lit(True).alias("_ended"))
+        gone = state.join(batch.select("id"), "id", "left_anti").join(ended, "id", "left").withColumn(
+            "status", F.when(F.col("_ended"), "INACTIVE").otherwise(F.col("status"))).drop("_ended")
         batch.drop(supplier).unionByName(gone).write.mode("overwrite").parquet(f"{folder}/state/before={number}")
 
     query = (

@@ -78,3 +78,23 @@ def test_cleaning_is_stable(spark, sf_dir):
     twice = clean.clean_catalog(spark.createDataFrame(rows, once.schema)).collect()
     price = {r["row_number"]: (r["Price"], r["GTIN"], r["Vessel unit"]) for r in rows}
     assert {r["row_number"]: (r["Price"], r["GTIN"], r["Vessel unit"]) for r in twice} == price
+
+
+def test_ids_built_on_suffixed_ids_of_any_depth(spark):
+    raw = ["X", "X"]
+    for number in range(3, 8):  # each looks like the name the row before has just been given
+        raw.append(raw[-1] + f"-row{number:05d}")
+    taken, expected = set(), []
+    for number, name in enumerate(raw, 2):
+        name = f"{name}-row{number:05d}" if name in taken else name
+        taken.add(name)
+        expected.append(name)
+    got = [r["Item ID"] for r in cleaned(spark, [{"Item ID": i} for i in raw])]
+    assert got == expected and len(set(got)) == len(got)
+
+
+def test_both_outputs_equal_the_single_ones(spark):
+    rows = feed(spark, [{"Item ID": "A/1", "Price": "CHF 2,50", "Status": "x"}, {"Item ID": "A/1", "Price": "3", "Status": "ACTIVE"}])
+    table, corrections = clean.clean_both(rows)
+    assert sorted(table.collect()) == sorted(clean.clean_catalog(rows).collect())
+    assert sorted(map(str, corrections.collect())) == sorted(map(str, clean.clean_corrections(rows).collect()))

@@ -59,3 +59,26 @@ def test_running_total_over_many_blocks(spark):
     df = spark.range(5000).select(F.lit("a").alias("s"), F.col("id").alias("page_index"), F.lit(1).alias("v"))
     got = coverage.running_total(df, "v", "page_index", ["s"], "c").orderBy("page_index").collect()
     assert [r["c"] for r in got] == list(range(1, 5001))
+
+
+def test_only_products_of_the_run_end(spark, sf_dir):
+    from shelfspark.operators import diff
+    from shelfspark.plans.derived import remote_products, view
+    local = diff.payload_from_rows(view(spark, sf_dir, "items"))
+    one = local.select("supplier_slug").first()[0]
+    remote = remote_products(spark, sf_dir)
+    feed = local.filter(F.col("supplier_slug") == one)
+    plan = diff.catalog_plan(feed, remote)
+    assert {r["supplier_slug"] for r in plan.collect()} == {one}
+    assert {r["supplier_slug"] for r in diff.missing_from_feed(feed, remote).collect()} <= {one}
+    assert diff.catalog_plan(feed.limit(0), remote, suppliers=feed).filter("action = 'inactivate'").count() > 0
+    assert diff.catalog_plan(feed.limit(0), remote).count() == 0
+
+
+def test_repeated_feed_rows_make_one_plan_row(spark, sf_dir):
+    from shelfspark.operators import diff
+    from shelfspark.plans.derived import remote_products, view
+    row = diff.payload_from_rows(view(spark, sf_dir, "items")).limit(1)
+    twice = row.withColumn("name", F.lit("first")).unionByName(row.withColumn("name", F.lit("last"))).coalesce(1)
+    plan = diff.catalog_plan(twice, remote_products(spark, sf_dir).limit(0)).collect()
+    assert [r["action"] for r in plan] == ["create"] and '"name":"last"' in plan[0]["payload"]

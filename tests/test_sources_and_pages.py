@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.functions import numbers, urls
+from shelfspark.functions import html, numbers, urls
 from shelfspark.operators import extract, operations as ops, policy
 from shelfspark.operators.skew import scratch_folder
 from shelfspark.plans.derived import products, view
@@ -116,3 +116,24 @@ def test_incremental_diff_advances_state(spark, sf_dir):
     stream = spark.readStream.schema(local.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     plan = streams.run_diff(stream, empty, folder)
     assert {r["action"] for r in plan.filter("batch = 1").collect()} == {"unchanged"}
+
+
+def test_html_nesting_quotes_and_references(spark):
+    page = ("<div class=\"d\">a <div>b</div> tail &#8211; &ndash; &#xE4; &amp;lt;</div><a href='/q'>x</a><a href=/z>y</a><a href=\"https://h.ch/z\">z</a>"
+            "<nav>n<nav>m</nav>o</nav><p class='x d2'>one<p class=\"d2\">two</p>end<meta property='og:t' content='v &auml;'>")
+    h = F.col("html")
+    row = spark.createDataFrame([("https://h.ch/p", page)], "url string, html string").select(
+        html.class_text(h, "d").alias("d"), html.class_texts(h, "d2").alias("all"), html.tag_texts(h, "div").alias("divs"),
+        html.meta(h, "property", "og:t").alias("meta"), html.body_text(h, "nav", "a", "div", "p").alias("rest"), html.class_html(h, "none").alias("none")).first()
+    assert row.asDict() == {"d": "a b tail – – ä &lt;", "all": ["one", "two"], "divs": ["a b tail – – ä &lt;", "b"], "meta": "v ä", "rest": "one end", "none": ""}
+    links = extract.page_links(spark.createDataFrame([("https://h.ch/p", page)], "url string, html string"))
+    assert sorted(r["url"] for r in links.collect()) == ["https://h.ch/q", "https://h.ch/z"]
+
+
+def test_options_and_attributes_are_paired_inside_their_group():
+    group = "<div class='product-detail-configurator-group'><legend>{}\xa0auswählen</legend><input type=radio id={}{}><label for={}>{}</label></div>"
+    assert html.chosen_options(group.format("Farbe", "a", "", "a", "rot") + group.format("Form", "b", " checked", "b", "rund")) == {"Form": "rund"}
+    item = "<li><div class='overlay-flag'><span>{}</span></div>{}</li>"
+    page = ("<div class=product-detail__attributes><ul>" + item.format("Traube", "<span class=content>Merlot</span><span class=content>Syrah</span><span class=content>Merlot</span>")
+            + item.format("Leer", "") + item.format("Herkunft", "<svg>i</svg>Toskana | Italien") + "</ul></div>")
+    assert html.flagged_attributes(page) == {"Traube": "Merlot | Syrah", "Herkunft": "Toskana | Italien"}
