@@ -122,6 +122,27 @@ def flagged_attributes(html: str) -> dict[str, str]:
     return found
 
 
+def definition_link(html: str, name: str, wanted: str) -> str:
+    """First link in the dd that follows the dt with this (lower-case) text, in a list with class `name`; '' if none."""
+    for listed in inners(html, by_class(name)):
+        for key, body in re.findall(r"<dt\b[^>]*>(.*?)</dt>\s*<dd\b[^>]*>(.*?)</dd>", listed, re.I | re.S):
+            if plain(key).lower() == wanted:
+                return value(body, r"\shref\s*=", "href")
+    return ""
+
+
+def leading_paragraphs(html: str, enough: int = 500) -> str:
+    """The first three distinct paragraphs of the page's content, fewer once they have `enough` characters."""
+    found: dict[str, None] = {}
+    scopes = [(start.start(), inner(html[start.start():], scope)) for scope in (by_tag("main"), by_tag("article"), by_class("content"))
+              for start in scope.finditer(html)]
+    for _, scope in sorted(scopes):
+        for paragraph in map(plain, inners(scope, by_tag("p"))):
+            if paragraph and len(" ".join(found)) < enough:
+                found[paragraph] = None
+    return " ".join(list(found)[:3])
+
+
 # --- columns --------------------------------------------------------------------
 def unescape(c: Column) -> Column:
     return _rule("string", resolve)(c)
@@ -189,6 +210,28 @@ def links(html: Column) -> Column:
     return _rule("array<string>", lambda page: [resolve(re.sub(r"""^["']|["']$""", "", h)) for h in _HREF.findall(page)])(html)
 
 
+def link_of(html: Column, name: str, wanted: str) -> Column:
+    return _rule("string", lambda page: definition_link(page, name, wanted))(html)
+
+
+def lead_text(html: Column) -> Column:
+    return _rule("string", leading_paragraphs)(html)
+
+
+def first_meta(html: Column, *named: tuple[str, str]) -> Column:
+    """Content of the first meta element, in page order, that has one of these (attribute, value) pairs."""
+    own = "|".join(rf"""\s{key}\s*=\s*(?:"{re.escape(v)}"|'{re.escape(v)}'|{re.escape(v)}(?=[\s/>]))""" for key, v in named)
+    return attribute(html, f"(?:{own})", "content")
+
+
+def plain_values(values: Column) -> Column:
+    """A map's values as plain text (markup escaped or not); empty ones are left out."""
+    def rule(own: dict | None) -> dict[str, str]:
+        texts = {key: plain(resolve(v or "")) for key, v in (own or {}).items()}
+        return {key: v for key, v in texts.items() if v}
+    return F.udf(rule, "map<string,string>", useArrow=True)(values)
+
+
 def item_pairs(html: Column, item: str, key: str, named: str) -> Column:
     """Key text -> value text of each item, all three given by class; the later key wins."""
     return _rule("map<string,string>", lambda page: _pairs(*[

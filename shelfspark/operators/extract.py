@@ -273,9 +273,8 @@ def article_page(pages: DataFrame) -> DataFrame:
     ext = text(F.col("external_html")) if "external_html" in pages.columns else F.lit("")
     ext_url = text(F.col("external_url")) if "external_url" in pages.columns else F.lit("")
     ext_title = H.tag_text(ext, "title")
-    ext_image = absolute_url(ext_url, H.meta(ext, "property", "og:image"))
-    paragraphs = F.array_join(F.slice(H.tag_texts(ext, "p"), 1, 3), " ")
-    ext_text = first_non_empty(H.meta(ext, "name", "description"), paragraphs)
+    ext_image = absolute_url(ext_url, H.first_meta(ext, ("property", "og:image"), ("name", "twitter:image")))
+    ext_text = first_non_empty(H.first_meta(ext, ("name", "description"), ("property", "og:description")), H.lead_text(ext))
     pdf = F.filter(H.links(ext), lambda l: l.endswith(".pdf"))
     sheet = F.when(F.lower(ext_url).endswith(".pdf"), ext_url).otherwise(absolute_url(ext_url, F.try_element_at(pdf, F.lit(1))))
     keyed = F.transform_keys(specs, lambda k, v: F.replace(F.lower(k), F.lit(" "), F.lit("_")))
@@ -392,15 +391,39 @@ def listing_totals(pages: DataFrame) -> DataFrame:
     )
 
 
+def with_manufacturer_link(pages: DataFrame) -> DataFrame:
+    """Add `external_url`, the link of an article page's manufacturer entry; '' if there is none."""
+    return pages.withColumn("external_url", absolute_url(F.col("url"), H.link_of(F.col("html"), "article-spec-infos", "link")))
+
+
 def enrich_external(products: DataFrame, external_pages: DataFrame) -> DataFrame:
-    """Attach the linked manufacturer page; products without one stay."""
-    return products.join(
-        external_pages.select(F.col("url").alias("external_url"), F.col("html").alias("external_html")), "external_url", "left")
+    """Attach the linked manufacturer page; products without one stay.
+
+    Products without a link take no part in the join, where they all would meet in one task.
+    """
+    pages = external_pages.select(F.col("url").alias("external_url"), F.col("html").alias("external_html"))
+    linked = has_text(F.col("external_url"))
+    without = products.filter(~F.coalesce(linked, F.lit(False))).withColumn("external_html", F.lit(None).cast("string"))
+    return products.filter(linked).join(pages, "external_url", "left").unionByName(without)
 
 
 # --- JSON payloads -----------------------------------------------------------
+# Spec names and the payload fields they come from.
+SPEC_FIELDS = {
+    "article_type": "article_type", "delivery_info": "info", "delivered_conservation_method": "delivered_conservation_method",
+    "diet": "diet", "ingredients": "ingredient_list", "allergens": "allergens", "traces": "traces", "intolerance": "intolerance",
+    "nutrition_energy": "nutrition_info_energy", "nutrition_fat": "nutritional_value_fat",
+    "nutrition_saturated_fat": "nutritional_value_saturated_fatty_acids",
+    "nutrition_carbohydrates": "nutritional_value_carbohydrates", "nutrition_sugar": "nutritional_value_sugar",
+    "nutrition_fiber": "nutritional_value_fiber", "nutrition_protein": "nutritional_value_protein",
+    "nutrition_salt": "nutritional_value_salt", "nutrition_amount": "nutritional_value_amount",
+    "nutrition_unit": "nutritional_value_unit", "delivery_size": "currentdeliverysizetext", "vendor_name": "vendorname",
+    "catalog_level_3": "catalog_level_3", "minimum_delivery_date": "minimum_delivery_date",
+}
+_MORE_FIELDS = sorted(set(SPEC_FIELDS.values()) - {
+    "article_type", "diet", "ingredient_list", "allergens", "currentdeliverysizetext", "catalog_level_3"})
 PAYLOAD = (
-    "struct<shorttext:string,extartnr:string,currentdeliverysizetext:string,mwst:string,description:string,detailtext:string,"
+    "struct<" + "".join(f"{name}:string," for name in _MORE_FIELDS) + "shorttext:string,extartnr:string,currentdeliverysizetext:string,mwst:string,description:string,detailtext:string,"
     "manufacturer:string,brand:string,buying_currency:string,status:int,diet:string,origin:string,origin_key:string,"
     "origin_all:map<string,struct<value:string>>,ingredient_list:string,allergens:string,article_type:string,"
     "maingroup:string,catalog_level_2:string,catalog_level_3:string,wgtext:string,product_data_sheet:string,"
@@ -411,10 +434,6 @@ PAYLOAD = (
 COMPONENTS = f"map<string,struct<constructor_type:string,props:struct<product:{PAYLOAD},catalog:struct<children:array<struct<name:string,tag_name:string,children:array<struct<catid:string,name:string,link:string,tag_name:string>>>>>>>>"
 DETAIL_COMPONENT = "react_components/detail/detail-intro$default"
 MENU_COMPONENT = "react_components/catalog_menu$default"
-SPEC_FIELDS = {"article_type": "article_type", "diet": "diet", "ingredients": "ingredient_list", "allergens": "allergens",
-               "delivery_size": "currentdeliverysizetext", "catalog_level_3": "catalog_level_3"}
-
-
 def embedded_components(pages: DataFrame) -> DataFrame:
     """Component map of the page's JSON scripts; unreadable scripts are skipped."""
     scripts = F.regexp_extract_all(
@@ -441,8 +460,7 @@ def payload_page(pages: DataFrame) -> DataFrame:
     path = first_non_empty(F.array_join(crumbs, " > "), F.array_join(F.array_distinct(F.filter(groups, lambda g: g != "")), " > "))
     h = F.col("html")
     ld = F.regexp_extract(h, r'(?is)<script\b[^>]*type="application/ld\+json"[^>]*>(.*?)</script>', 1)
-    specs = {k: H.text_of(H.unescape(text(F.col(f"p.{f}")))) for k, f in SPEC_FIELDS.items()}
-    spec_map = F.map_filter(F.create_map(*[x for k, v in specs.items() for x in (F.lit(k), v)]), lambda k, v: v != "")
+    spec_map = H.plain_values(F.create_map(*[x for k, f in SPEC_FIELDS.items() for x in (F.lit(k), F.col(f"p.{f}"))]))
     origin = F.try_element_at(F.col("p.origin_all"), F.trim(text(F.col("p.origin_key"))))["value"]
     return _record(staged, {
         "canonical_url": without_query(F.col("url")), "product_url": without_query(F.col("url")), "category_path": path,
@@ -507,7 +525,8 @@ def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand:
     images = F.filter(F.concat(F.array(e["cover"]["media"]["url"]), F.coalesce(F.transform(e["media"], lambda m: m["media"]["url"]), F.array())),
                       lambda u: text(u) != "")
     pack = translated(e, "packUnit")
-    size, unit = title_size(pack)
+    hit = _grab(pack, TITLE_SIZE, 0)  # the first size counts
+    size, unit = trimmed_four_decimals(_grab(hit, TITLE_SIZE, 1)), piece_unit(_grab(hit, TITLE_SIZE, 2))
     packed = pack.rlike(UNICODE_CI + TITLE_SIZE)
     grams = F.try_element_at(e["customFields"], F.lit(GRAM_FIELD))
     weight = F.nullif(e["weight"], F.lit(0.0))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SALTS = 8
-# Lookup rows (a few short columns each) that may be sent to every executor.
-BROADCAST_ROWS = 200_000
+# What may be sent to every executor: at most so many lookup rows with so many bytes as JSON.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def salted_join(
@@ -33,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         sc.setCheckpointDir(named)
-    elif sc.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -60,11 +61,14 @@ def landed(df: DataFrame, name: str = "landed") -> DataFrame:
 def join_checked(rows: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
     """Join with a lookup that is usually, but not provably, small.
 
-    The lookup is landed and counted first; only below the limit is it broadcast, so the
-    wide rows are not shuffled.  A larger lookup takes the ordinary shuffled join.
+    The lookup is landed, and its rows and bytes are counted first; only below both limits is
+    it broadcast, so the wide rows are not shuffled.  A larger lookup takes the ordinary
+    shuffled join, in which adaptive execution can split hot keys.
     """
     lookup = landed(lookup, "lookup")
-    small = lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    size = lookup.limit(BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
     return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 

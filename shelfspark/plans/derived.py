@@ -249,12 +249,12 @@ ARTICLE_HTML = (
     "<h1>' || noun || ' ' || CASE cast(v % 4 AS int) WHEN 0 THEN '6 x 500 g' WHEN 1 THEN '1,50 kg' WHEN 2 THEN 'Stück' ELSE 'lose' END || '</h1>"
     "<div class=\"article-image\"><img alt=\"a\" src=\"../bild/' || cast(k AS string) || '.png\"></div>"
     "<dl class=\"article-spec-infos\"><dt>Artikelnummer:</dt><dd>' || cast(k AS string) || '</dd><dt>Herkunft</dt><dd>Schweiz</dd>"
-    "<dt>Label</dt><dd>Bio, Fair</dd></dl><div class=\"progressbar-wrapper\" data-amount=\"1''' || lpad(cast(v % 1000 AS string), 3, '0') || '\"></div>"
+    "<dt>Label</dt><dd>Bio, Fair</dd>' || CASE WHEN v % 3 = 0 THEN '<dt>Link</dt><dd>none</dd>' ELSE '<dt>Link</dt><dd><a href=//maker.example.org/a/' || cast(k AS string) || '>x</a></dd>' END || '</dl><div class=\"progressbar-wrapper\" data-amount=\"1''' || lpad(cast(v % 1000 AS string), 3, '0') || '\"></div>"
     "<div class=\"toolbar-amount\">Artikel 1-30 von 2''' || lpad(cast(k % 1000 AS string), 3, '0') || '</div><li class=\"page-item page-last\"><input name=\"p\" value=\"' || cast(v % 9 + 1 AS string) || '\"></li>"
     "<div data-listing=\"true\" data-x=\"{&quot;dataUrl&quot;:&quot;/widgets/' || cast(k AS string) || '&quot;}\"></div><div class=\"card product-box\"></div><div class=\"card product-box\"></div></body></html>'"
 )
 EXTERNAL_HTML = (
-    "'<html><head><title>Hersteller ' || brand || '</title><meta name=\"description\" content=\"Text &amp; Bild ' || cast(k AS string) || '\">"
+    "'<html><head><title>Hersteller ' || brand || '</title><meta ' || CASE WHEN v % 2 = 0 THEN 'name=\"description\"' ELSE 'property=\"og:description\"' END || ' content=\"Text &amp; Bild ' || cast(k AS string) || '\">"
     "<meta property=\"og:image\" content=\"/i/' || cast(k AS string) || '.jpg\"></head><body><a href=\"/pdf/' || cast(k AS string) || '.pdf\">PDF</a></body></html>'"
 )
 WINE_HTML = (
@@ -279,7 +279,7 @@ EMBEDDED_HTML = (
     "'<script data-store=\"react-components\">not json</script><script data-store=\"react-components\">{\"a\": {\"constructor_type\": \"react_components/catalog_menu$default\", \"props\": {\"catalog\": {\"children\": ["
     "{\"name\": \"' || kind || '\", \"children\": [{\"catid\": \"' || cast(k AS string) || '\", \"name\": \" ' || brand || ' \", \"link\": \"/c/' || cast(k AS string) || '\"}, {\"catid\": \"t\", \"name\": \"t\", \"link\": \"/t\", \"tag_name\": \"x\"}]},"
     "{\"name\": \"n\", \"tag_name\": \"x\", \"children\": []}]}}}, \"b\": {\"constructor_type\": \"react_components/detail/detail-intro$default\", \"props\": {\"product\": {\"shorttext\": \"' || noun || '\", \"extartnr\": \"' || cast(k AS string) || '\", "
-    "\"currentdeliverysizetext\": \"' || CASE cast(v % 4 AS int) WHEN 0 THEN 'Karton à 6 Stk (3,5 kg)' WHEN 1 THEN 'Beutel à 2,50 kg' WHEN 2 THEN 'Kiste' ELSE 'Sack à 1 Bund' END || '\", \"mwst\": 2.60, \"description\": \"<p>Gut &amp;amp; frisch</p>\", "
+    "\"currentdeliverysizetext\": \"' || CASE cast(v % 4 AS int) WHEN 0 THEN 'Karton à 6 Stk (3,5 kg)' WHEN 1 THEN 'Beutel à 2,50 kg' WHEN 2 THEN 'Kiste' ELSE 'Sack à 1 Bund' END || '\", \"traces\": \"&lt;b&gt;Soja&lt;/b&gt; ' || cast(v % 5 AS string) || '\", \"nutritional_value_salt\": 0.5, \"minimum_delivery_date\": \"\", \"mwst\": 2.60, \"description\": \"<p>Gut &amp;amp; frisch</p>\", "
     "\"status\": ' || cast(v % 2 AS string) || ', \"diet\": \"vegan, bio,vegan\", \"origin\": \"<b>CH</b>\", \"maingroup\": \"' || kind || '\", \"catalog_level_2\": \"' || brand || '\", \"catalog_level_3\": \"' || kind || '\", "
     "\"barcodes\": [{\"barcode\": \"12\"}, {\"barcode\": \"76-' || lpad(cast(k AS string), 9, '0') || '\"}, {\"barcode\": \"99' || lpad(cast(k AS string), 9, '0') || '\", \"quantity_as\": ' || cast(v % 2 AS string) || '}], "
     "\"labels\": [{\"desc\": \"\", \"name\": \"Fair\"}], \"product_data_sheet\": \"/s/' || cast(k AS string) || '.pdf\", "
@@ -289,7 +289,7 @@ EMBEDDED_HTML = (
 # Listing pages of twenty elements; ids repeat on a later page with another price.
 LISTING_ELEMENT = (
     "'{\"id\": \"t' || cast(k - k % 2 AS string) || '\", \"productNumber\": \"N' || cast(k AS string) || '\", \"name\": \"' || noun || '\", \"translated\": {\"name\": \"' || CASE WHEN v % 2 = 0 THEN noun || ' (dt)' ELSE '' END || '\", \"packUnit\": \"' || "
-    "CASE cast(v % 3 AS int) WHEN 0 THEN '100 g Beutel' WHEN 1 THEN '12 Stk' ELSE '' END || '\"}, \"active\": true, \"available\": ' || CASE WHEN v % 4 = 0 THEN 'false' ELSE 'true' END || ', \"calculatedPrice\": {\"unitPrice\": ' || cast(whole AS string) || '.' || frac || '}, "
+    "CASE cast(v % 3 AS int) WHEN 0 THEN '100 g Beutel / 2 kg' WHEN 1 THEN '12 Stk à 5 g' ELSE '' END || '\"}, \"active\": true, \"available\": ' || CASE WHEN v % 4 = 0 THEN 'false' ELSE 'true' END || ', \"calculatedPrice\": {\"unitPrice\": ' || cast(whole AS string) || '.' || frac || '}, "
     "\"tax\": {\"taxRate\": 2.6}, \"weight\": ' || CASE WHEN v % 5 = 0 THEN '0' ELSE '0.25' END || ', \"cover\": {\"media\": {\"url\": \"https://img.example.com/t' || cast(k AS string) || '\"}}, \"categories\": [{\"breadcrumb\": [\"Root\", \"' || kind || '\", \"' || brand || '\"]}], "
     "\"properties\": [{\"name\": \"Bio\"}, {\"name\": \"x\", \"translated\": {\"name\": \"Bio\"}}, {\"name\": \"Fair\"}], \"extensions\": {\"teaProductExtension\": {\"googleLink\": \"Japan / Uji\"}}}'"
 )
@@ -355,7 +355,7 @@ DERIVED = {
     "configs": f"SELECT {_projection(CONFIG_COLUMNS)} FROM @supplier",
     "page_lines": f"SELECT {_projection(PAGE_COLUMNS)} FROM @lines",
     "shop_pages": f"SELECT *, {SHOP_HTML} AS html FROM @page_lines",
-    "article_pages": f"SELECT *, {ARTICLE_HTML} AS html, CASE WHEN v % 3 = 0 THEN '' ELSE 'https://maker.example.org/a/' || cast(k AS string) END AS external_url FROM @page_lines",
+    "article_pages": f"SELECT *, {ARTICLE_HTML} AS html FROM @page_lines",
     "external_pages": f"SELECT 'https://maker.example.org/a/' || cast(k AS string) AS url, {EXTERNAL_HTML} AS html FROM @page_lines WHERE v % 3 = 1",
     "wine_pages": f"SELECT *, {WINE_HTML} AS html FROM @page_lines",
     "food_pages": f"SELECT *, {FOOD_HTML} AS html FROM @page_lines",

@@ -23,7 +23,7 @@ def _payload(spark, sf):
 
 
 def _enriched(spark, sf):
-    joined = extract.enrich_external(view(spark, sf, "article_pages"), view(spark, sf, "external_pages"))
+    joined = extract.enrich_external(extract.with_manufacturer_link(view(spark, sf, "article_pages")), view(spark, sf, "external_pages"))
     return extract.article_page(joined)
 
 
@@ -84,7 +84,8 @@ QUERIES = {
     "external_enrich": lambda spark, sf: _enriched(spark, sf).select("sku", "manufacturer", "description", "product_sheet_url"),
     "wine_pages": _wine,
     "food_pages": _food,
-    "embedded_payload": lambda spark, sf: _payload(spark, sf).select("sku", "product_name", "category_path", "status", "vat", "description", "country", "product_sheet_url", "min_order_count"),
+    "embedded_payload": lambda spark, sf: _payload(spark, sf).select("sku", "product_name", "category_path", "status", "vat", "description", "country", "product_sheet_url", "min_order_count",
+        F.col("specs")["traces"].alias("traces"), F.col("specs")["nutrition_salt"].alias("salt"), F.col("specs")["minimum_delivery_date"].alias("earliest")),
     "category_tree": lambda spark, sf: extract.category_tree(view(spark, sf, "embedded_pages")),
     "price_fallback": lambda spark, sf: _payload(spark, sf).select("sku", "price"),
     "barcode_pick": lambda spark, sf: _payload(spark, sf).select("sku", "gtin", "bundle_gtin"),
@@ -149,7 +150,8 @@ ORACLES = {
     "food_pages": f"""SELECT url AS product_url, CASE WHEN v % 3 = 0 THEN 'artikel-' || cast(k AS varchar) || '.html' ELSE cast(k AS varchar) END AS sku, kind || ' & mehr' AS category_path, 'https://shop.example.com/m/' || cast(k AS varchar) || '.jpg' AS image_url,
   'Sauce ' || brand AS description, 'Japan' AS country, cast(size AS varchar) AS vessel_size, 'kg' AS vessel_unit, 'Flasche' AS vessel_type, 'Soja' AS allergens FROM {_PC}""",
     "embedded_payload": f"""SELECT cast(k AS varchar) AS sku, noun AS product_name, CASE WHEN v % 2 = 0 THEN kind ELSE kind || ' > ' || brand END AS category_path, CASE WHEN v % 2 = 1 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status, '2.6' AS vat,
-  'Gut & frisch' AS description, 'CH' AS country, 'https://shop.example.com/s/' || cast(k AS varchar) || '.pdf' AS product_sheet_url, '1' AS min_order_count FROM {_PC}""",
+  'Gut & frisch' AS description, 'CH' AS country, 'https://shop.example.com/s/' || cast(k AS varchar) || '.pdf' AS product_sheet_url, '1' AS min_order_count,
+  'Soja ' || cast(v % 5 AS varchar) AS traces, '0.5' AS salt, cast(NULL AS varchar) AS earliest FROM {_PC}""",
     "category_tree": f"SELECT cast(k AS varchar) AS category_id, brand AS category_name, 'https://shop.example.com/c/' || cast(k AS varchar) AS category_url, kind AS parent_category_name FROM {_PC}",
     "price_fallback": f"SELECT cast(k AS varchar) AS sku, {_money()} AS price FROM {_PC}",
     "barcode_pick": f"SELECT cast(k AS varchar) AS sku, '76' || lpad(cast(k AS varchar), 9, '0') AS gtin, CASE WHEN v % 2 = 1 THEN '99' ELSE '76' END || lpad(cast(k AS varchar), 9, '0') AS bundle_gtin FROM {_PC}",
