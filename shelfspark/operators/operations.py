@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import blank_to_null, first_non_empty, has_text, text
+from shelfspark.operators.identity import latest_per_key
 from shelfspark.operators.skew import side_by_side
 
 # Job states, log markers and messages.
@@ -178,23 +179,46 @@ def dashboard_stats(stages: DataFrame) -> DataFrame:
 SCRAPE_MODES = ["scrape_only", "scrape_and_sync", "scrape_dry_run"]
 
 
+_PLAN_COUNTERS = ["created_products", "updated_products", "unchanged_products", "inactivated_products"]
+_CATEGORY_COUNTERS = ["created_categories", "updated_categories"]
+
+
 def run_summary(products: DataFrame, failures: DataFrame, discovered: DataFrame, gate: DataFrame, corrections: DataFrame,
-                plan_counts: DataFrame | None, mode: str, generated_at: str, dry_run: bool = False) -> DataFrame:
-    """One row: product, failure, validation, correction and sync counters of a run."""
-    def one(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias(name))
+                plan_counts: DataFrame | None, mode: str, generated_at: str, dry_run: bool = False, supplier: str = "",
+                checksum: DataFrame | None = None, warnings: DataFrame | None = None, remote: DataFrame | None = None) -> DataFrame:
+    """One row: who ran, and product, failure, validation, correction and sync counters of the run.
+
+    `checksum` is the catalogue's one-row fingerprint, `warnings` the coverage findings and
+    `remote` the catalogue before the run.  Failures of the listing have no raw record.
+    """
+    def one(df: DataFrame | None, name: str) -> DataFrame:
+        counted = F.count(F.lit(1)).alias(name)
+        return df.agg(counted) if df is not None else gate.select(F.lit(0).cast("bigint").alias(name))
 
+    raw = F.count_if(F.coalesce(F.col("stage"), F.lit("detail")) != "listing") if "stage" in failures.columns else F.count(F.lit(1))
+    counters = [*_PLAN_COUNTERS, *_CATEGORY_COUNTERS]
     parts = [
-        one(products, "product_count"), one(failures, "failure_count"),
+        one(products, "product_count"), failures.agg(F.count(F.lit(1)).alias("failure_count"), raw.alias("_raw_failures")),
         discovered.agg(F.count_distinct("url").alias("discovered_product_url_count")), gate, one(corrections, "correction_count"),
+        one(warnings, "warning_count"), one(remote, "old_catalog_products"),
+        checksum.select("checksum") if checksum is not None else gate.select(F.lit("").alias("checksum")),
     ]
-    counters = ["created_products", "updated_products", "unchanged_products", "inactivated_products"]
     if plan_counts is not None:
-        parts.append(plan_counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters]))
+        known = [c for c in counters if c in plan_counts.columns]
+        parts.append(plan_counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in known]))
     row = side_by_side(*parts)
-    if plan_counts is None:
-        row = row.select("*", *[F.lit(0).alias(c) for c in counters])
+    row = row.select("*", *[F.lit(0).cast("bigint").alias(c) for c in counters if c not in row.columns])
+    aborted = F.lit(plan_counts is None and mode != "scrape_only") & ~F.col("is_valid")
     return row.select(
-        F.lit(mode).alias("mode"), F.lit(generated_at).alias("generated_at"), F.lit(dry_run).alias("dry_run"), "*",
+        F.lit(supplier).alias("supplier_slug"), F.lit(mode).alias("mode"), F.lit(generated_at).alias("generated_at"),
+        F.lit(dry_run).alias("dry_run"), *[c for c in row.columns if c != "_raw_failures"],
+        (F.col("product_count") + F.col("failure_count")).alias("covered_product_url_count"),
+        (F.col("product_count") + F.col("_raw_failures")).alias("raw_record_count"), F.col("product_count").alias("interpreted_record_count"),
         F.lit(mode in SCRAPE_MODES).alias("scrape_performed"), F.lit(plan_counts is not None).alias("sync_performed"),
+        aborted.alias("sync_aborted"), F.when(aborted, "validation_errors").otherwise("").alias("sync_reason"),
         (F.col("created_products") + F.col("updated_products")).alias("uploaded_products"))
+
+
+def latest_state(states: DataFrame) -> DataFrame:
+    """The last good run of each supplier from the appended run states."""
+    return latest_per_key(states.dropDuplicates(["supplier_slug", "generated_at"]), ["supplier_slug"], "generated_at")

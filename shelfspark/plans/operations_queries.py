@@ -7,12 +7,12 @@ import json
 from pyspark.sql import functions as F
 
 from shelfspark.functions import ids, numbers, text, units, urls
-from shelfspark.operators import coverage, diff, operations as ops, policy, validate
+from shelfspark.operators import coverage, diff, identity, operations as ops, policy, validate
 from shelfspark.operators.clean import clean_catalog, clean_corrections
 from shelfspark.plans import derived
 from shelfspark.plans.derived import duck, event_stream, products, remote_products, table, view
 from shelfspark.plans.relational_queries import ORACLES as RELATIONAL
-from shelfspark.sources import readers
+from shelfspark.sources import readers, writers
 from shelfspark.streaming import streams
 
 POLICY = [
@@ -114,7 +114,24 @@ def _run_summary(spark, sf):
     failures = products(spark, sf).filter("category_path = ''")
     discovered = products(spark, sf).select(F.col("product_url").alias("url"))
     plan = diff.plan_summary(diff.catalog_plan(diff.payload_from_rows(view(spark, sf, "items")), remote_products(spark, sf)))
-    return ops.run_summary(products(spark, sf), failures, discovered, gate, clean_corrections(feed), plan, "scrape_and_sync", "2024-01-01T00:00:00+00:00")
+    return ops.run_summary(
+        products(spark, sf), failures, discovered, gate, clean_corrections(feed), plan, "scrape_and_sync", "2024-01-01T00:00:00+00:00",
+        supplier="all", checksum=identity.checksum(view(spark, sf, "items"), ["Item ID", "Category name", "Price", "Status"]),
+        warnings=feed.filter("`Image` = ''"), remote=remote_products(spark, sf))
+
+
+def _run_state(spark, sf):
+    """Last good run per supplier, through the appended state files."""
+    folder = streams.workspace(spark, "state")
+    jobs = view(spark, sf, "jobs").filter("job_type = 'sync'")
+    runs = jobs.select(
+        "supplier_slug", F.lpad(F.col("id").cast("string"), 12, "0").alias("generated_at"), F.sha1(F.col("id").cast("string")).alias("checksum"),
+        F.col("raw_record_count").cast("bigint").alias("product_count"), *[F.lit(0).cast("bigint").alias(f"{n}_products") for n in (
+            "created", "updated", "unchanged", "inactivated")],
+        (F.col("id") % 5 == 0).alias("dry_run"), F.lit(True).alias("sync_performed"), (F.col("sync_error") == "").alias("is_valid"))
+    for part in (0, 1):
+        writers.append_state(runs.filter(F.col("generated_at").cast("bigint") % 2 == part), folder, f"run{part}")
+    return ops.latest_state(readers.read_states(spark, folder)).select("supplier_slug", "generated_at", "checksum", "product_count", "export_folder")
 
 
 def _scalar_text(spark, sf):
@@ -220,6 +237,7 @@ QUERIES = {
     "log_errors": lambda spark, sf: ops.log_errors(view(spark, sf, "log_lines")),
     "last_result": lambda spark, sf: ops.last_result(view(spark, sf, "log_lines")),
     "run_summary": _run_summary,
+    "run_state": _run_state,
     "scalar_text": _scalar_text,
     "scalar_number": _scalar_number,
     "scalar_unit": _scalar_unit,
@@ -287,9 +305,13 @@ _FEED = duck("feed") + " f"
 
 def _run_summary_sql() -> str:
     from shelfspark.plans.oracle_clean import corrections_oracle
-    return f"""SELECT 'scrape_and_sync' AS mode, '2024-01-01T00:00:00+00:00' AS generated_at, false AS dry_run, (SELECT count(*) FROM {P}) AS product_count,
+    return f"""SELECT 'all' AS supplier_slug, 'scrape_and_sync' AS mode, '2024-01-01T00:00:00+00:00' AS generated_at, false AS dry_run, (SELECT count(*) FROM {P}) AS product_count,
   (SELECT count(*) FROM {P} WHERE category_path = '') AS failure_count, (SELECT count(distinct product_url) FROM {P}) AS discovered_product_url_count, g.*,
-  (SELECT count(*) FROM ({corrections_oracle()}) cc) AS correction_count, s.*, true AS scrape_performed, true AS sync_performed, s.created_products + s.updated_products AS uploaded_products
+  (SELECT count(*) FROM ({corrections_oracle()}) cc) AS correction_count, s.*,
+  (SELECT count(*) FROM {_FEED} WHERE "Image" = '') AS warning_count, (SELECT count(*) FROM {duck('remote')} r) AS old_catalog_products, (SELECT checksum FROM ({RELATIONAL['catalog_checksum']}) c) AS checksum,
+  cast(0 AS bigint) AS created_categories, cast(0 AS bigint) AS updated_categories, (SELECT count(*) + count(*) FILTER (WHERE category_path = '') FROM {P}) AS covered_product_url_count,
+  (SELECT count(*) + count(*) FILTER (WHERE category_path = '') FROM {P}) AS raw_record_count, (SELECT count(*) FROM {P}) AS interpreted_record_count, false AS sync_aborted, '' AS sync_reason,
+  true AS scrape_performed, true AS sync_performed, s.created_products + s.updated_products AS uploaded_products
   FROM ({RELATIONAL['validation_gate']}) g, (SELECT cast(sum(created_products) AS bigint) AS created_products, cast(sum(updated_products) AS bigint) AS updated_products,
   cast(sum(unchanged_products) AS bigint) AS unchanged_products, cast(sum(inactivated_products) AS bigint) AS inactivated_products FROM ({RELATIONAL['diff_summary']}) d) s"""
 
@@ -351,6 +373,8 @@ ORACLES = {
   SELECT job_id, rtrim(line) AS line, min(ord) AS ord FROM {LG} WHERE {_ERRS} GROUP BY 1, 2) f) r WHERE rank <= 20""",
     "last_result": f"""SELECT job_id, arg_max(payload, ord) AS payload, max(ord) AS ord FROM (SELECT job_id, ord, regexp_extract(line, 'RESULT_RUN_SUMMARY\\s+(\\{{.*\\}})$', 1) AS payload FROM {LG}) x WHERE payload <> '' AND json_valid(payload) GROUP BY 1""",
     "run_summary": _run_summary_sql(),
+    "run_state": f"""SELECT supplier_slug, lpad(cast(id AS varchar), 12, '0') AS generated_at, sha1(cast(id AS varchar)) AS checksum, cast(raw_record_count AS bigint) AS product_count, 'run' || cast(id % 2 AS varchar) AS export_folder
+  FROM (SELECT *, row_number() OVER (PARTITION BY supplier_slug ORDER BY id DESC) AS rn FROM {J} WHERE job_type = 'sync' AND sync_error = '' AND id % 5 <> 0) j2 WHERE rn = 1""",
     "scalar_text": r"SELECT doc_id, length(t) AS collapsed_length, sha1(t) AS collapsed_hash FROM (SELECT doc_id, trim(regexp_replace(text, '[\s\x{a0}\x{2028}\x{2029}\x0b\x{85}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')) AS t FROM documents) d",
     "scalar_number": rf"""SELECT k, cast(whole AS varchar) || CASE WHEN frac = '0' THEN '' ELSE '.' || frac END AS plain, regexp_replace(regexp_replace(cast(whole AS varchar) || '.' || frac, '0+$', ''), '\.$', '') AS four,
   c AS cents, cast((2 * c + 7) // 14 // 100 AS varchar) || '.' || lpad(cast((2 * c + 7) // 14 % 100 AS varchar), 2, '0') AS seventh,

@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 from shelfspark.operators import categories, clean, diff, identity, operations, packaging, validate
 from shelfspark.operators.importrows import to_import_rows
 from shelfspark.operators.skew import landed, with_sequence
+from shelfspark.schema import IMPORT_COLUMNS
 from shelfspark.sources import writers
 
 
 def run_catalog(
     products: DataFrame, failures: DataFrame, discovered: DataFrame, remote: DataFrame, remote_categories: DataFrame,
     folder: str, generated_at: str, mode: str = "scrape_and_sync", dry_run: bool = False,
-    skip_inactivate: Column | bool = False, limit: int | None = None,
+    skip_inactivate: Column | bool = False, limit: int | None = None, supplier: str = "",
 ) -> dict[str, DataFrame]:
     """Export, clean, validate and diff the product records of one supplier.
 
     `products` carries supplier_slug and ordinal.  The decisions, the cleaned rows and the
     plan are landed once; every artifact below reads those tables.  There is no plan when
-    validation finds an error or in `scrape_only` mode.
+    validation finds an error or in `scrape_only` mode.  With `supplier` the artifacts go to
+    that supplier's own folder.
     """
     order = [F.col("category_path"), F.col("item_name"),
              F.coalesce(F.nullif("sku", F.lit("")), "canonical_url"), F.col("ordinal")]
@@ -45,10 +47,13 @@ def run_catalog(
         reconciled = landed(categories.reconcile_categories(names, remote_categories), "categories")
         local = categories.remap_categories(diff.payload_from_rows(supplied), reconciled)
         plan = landed(diff.catalog_plan(local, remote, skip_inactivate=skip_inactivate, limit=limit), "plan")
-        counts = diff.plan_summary(plan)
-        tables |= {"plan": plan, "categories": categories.category_changes(reconciled)}
+        changes = landed(categories.category_changes(reconciled), "category-changes")
+        counts = diff.plan_summary(plan, changes)
+        tables |= {"plan": plan, "categories": changes}
     tables["summary"] = operations.run_summary(
-        interpreted, failures, discovered, gate, corrections, counts, mode, generated_at, dry_run)
+        interpreted, failures, discovered, gate, corrections, counts, mode, generated_at, dry_run, supplier,
+        identity.checksum(cleaned, IMPORT_COLUMNS), tables["warnings"], remote)
+    folder = f"{folder.rstrip('/')}/{supplier}" if supplier else folder
 
     path = lambda artifact: writers.artifact_path(folder, artifact)
     writers.write_import_csv(cleaned.orderBy("row_number"), path("csv"))
@@ -61,5 +66,7 @@ def run_catalog(
         writers.write_jsonl(tables["plan"], path("report"))
         writers.write_jsonl(remote, path("remote_products"))
         writers.write_jsonl(remote_categories, path("remote_categories"))
-        writers.append_state(tables["summary"], path("state"))
+        writers.append_state(tables["summary"], path("state"), folder)
+    elif mode != "scrape_only":  # a blocked run reports why
+        writers.write_jsonl(tables["summary"].select("supplier_slug", "sync_aborted", "sync_reason", "error_count"), path("report"))
     return tables

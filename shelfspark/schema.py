@@ -98,3 +98,9 @@ SUPPLIER_CONFIG_STRUCT = (
     "output_dir:string,catalog_update_policy:string,schedule:map<string,string>,"
     "scrape_settings:map<string,string>,archived:boolean,alert_settings:map<string,string>>"
 )
+
+# What later runs need to know of a good run.
+STATE_SCHEMA = (
+    "supplier_slug string, generated_at string, checksum string, product_count bigint, created_products bigint, "
+    "updated_products bigint, unchanged_products bigint, inactivated_products bigint, export_folder string"
+)

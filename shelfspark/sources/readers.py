@@ -9,6 +9,7 @@ from shelfspark.functions.text import strip
 from shelfspark.functions.urls import without_query
 from shelfspark.operators.skew import landed, with_sequence
 from shelfspark.schema import (
+    STATE_SCHEMA,
     IMPORT_COLUMNS, MANIFEST_SCHEMA, REMOTE_CATEGORY_SCHEMA, REMOTE_PAGE_SCHEMA, REMOTE_PRODUCT_STRUCT,
     SUPPLIER_CONFIG_STRUCT, import_row_schema, product_schema,
 )
@@ -112,5 +113,10 @@ def read_logs(spark: SparkSession, path: str, streaming: bool = False) -> DataFr
     ).filter(F.trim("line") != "")
 
 
+def read_states(spark: SparkSession, path: str) -> DataFrame:
+    """Run states as appended by writers.append_state."""
+    return spark.read.schema(STATE_SCHEMA).json(path)
+
+
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.schema import CORRECTION_COLUMNS, IMPORT_COLUMNS, PACKAGING_AUDIT_COLUMNS
+from shelfspark.schema import CORRECTION_COLUMNS, IMPORT_COLUMNS, PACKAGING_AUDIT_COLUMNS, STATE_SCHEMA
 
 # Artifact names within a supplier's output folder.
 ARTIFACTS = {
@@ -47,7 +47,8 @@ def write_jsonl(df: DataFrame, path: str, supplier: str | None = None, append: b
     (writer.partitionBy(supplier) if supplier else writer).json(path)
 
 
-def append_state(summary: DataFrame, path: str) -> None:
+def append_state(summary: DataFrame, path: str, export_folder: str = "") -> None:
     """Append the run state of suppliers whose run was no dry run and had no sync error."""
     good = summary.filter(~F.col("dry_run") & F.col("sync_performed") & F.col("is_valid"))
-    good.write.mode("append").json(path)
+    names = [field.split()[0] for field in STATE_SCHEMA.split(", ")]
+    good.withColumn("export_folder", F.lit(export_folder)).select(*names).write.mode("append").json(path)

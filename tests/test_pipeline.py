@@ -18,6 +18,7 @@ def run(spark, sf_dir, records, **options):
 def test_blocked_run_has_no_plan(spark, sf_dir):
     tables, _ = run(spark, sf_dir, products(spark, sf_dir).filter("supplier_slug = 'hub'"))
     assert not tables["gate"].first()["is_valid"] and "plan" not in tables
+    assert (tables["summary"].first()["sync_aborted"], tables["summary"].first()["sync_reason"]) == (True, "validation_errors")
     assert tables["summary"].first()["sync_performed"] is False
 
 
