@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import functools
 
-from shelfspark.plans import catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries
+from shelfspark.plans import (
+    catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries,
+)
 from shelfspark.session import configure
 
-_MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries]
+_MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries]
 
 
 def _configured(query):

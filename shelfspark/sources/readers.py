@@ -44,8 +44,8 @@ def read_products_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 def read_remote_products(spark: SparkSession, path: str) -> DataFrame:
     """A whole-array JSON snapshot of the remote catalogue."""
-    schema = REMOTE_PRODUCT_STRUCT[len("struct<"):-1]
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    texts = spark.read.text(path, wholetext=True)
+    return texts.select(F.explode(F.from_json("value", f"array<{REMOTE_PRODUCT_STRUCT}>", {"mode": "FAILFAST"})).alias("p")).select("p.*")
 
 
 def read_remote_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +59,7 @@ def read_remote_categories(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed HTML snapshots, one file per URL."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("snapshot_name"), F.col("value").alias("html"))
 
 
@@ -69,6 +69,19 @@ def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     return entries.select(strip(F.col("loc")).alias("url"), F.coalesce("image:image", "image").isNotNull().alias("has_image"))
 
 
+def read_sitemap_index(spark: SparkSession, index: str, folder: str) -> DataFrame:
+    """Entries of all sitemaps an index names, from the folder they were landed in under their own names.
+
+    An index is short by its format (50 000 names at most), so its names form one path list.
+    """
+    listed = spark.read.format("xml").option("rowTag", "sitemap").schema("loc string").load(index)
+    names = [r["name"] for r in listed.select(F.regexp_extract(strip(F.col("loc")), r"([^/?#]+)[?#]?[^/]*$", 1).alias("name")).distinct().collect()]
+    entries = spark.read.format("xml").option("rowTag", "url").schema("loc string, `image:image` string, image string")
+    found = entries.load([f"{folder.rstrip('/')}/{name}" for name in names if name]) if any(names) else spark.createDataFrame(
+        [], "loc string, `image:image` string, image string")
+    return found.select(strip(F.col("loc")).alias("url"), F.coalesce("image:image", "image").isNotNull().alias("has_image"))
+
+
 def sitemap_products(entries: DataFrame, base_url: str) -> DataFrame:
     """Image-bearing entries of the site: a product discovery fallback."""
     url = without_query(F.col("url"))
@@ -80,7 +93,7 @@ def read_configs(spark: SparkSession, path: str, inline: str = "") -> DataFrame:
 
     A readable inline JSON text wins over the files.
     """
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     if inline:
         text = F.coalesce(F.when(F.try_parse_json(F.lit(inline)).isNotNull(), F.lit(inline)), F.col("value"))
         files = files.select(text.alias("value"))
