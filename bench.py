@@ -19,6 +19,8 @@ HEADLINE = [
     "category_names", "item_ids", "dedupe_products", "validate_findings", "crawl_cumulative", "identity_dedupe",
     "log_progress", "log_errors", "alert_reasons", "page_text", "page_links", "extract_pages", "listing_explode",
 ]
+# Tables whose rows the job works through, for rows per second.
+INPUTS = {"clean_offers": "lineitem", "clean_catalog": "part", "packaging_decide": "part", "extract_pages": "part", "diff_plan": "part", "page_text": "pages"}
 
 
 def main() -> None:
@@ -41,9 +43,11 @@ def main() -> None:
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - start, 3)
+    rates = {
+        name: round(spark.read.parquet(f"{sf_dir}/{table}.parquet").count() / timings[name]) for name, table in INPUTS.items()}
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(timings.values()), 3), "unit": "sec",
-        "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")),
+        "queries": timings, "rows_per_sec": rates, "sf": os.path.basename(sf_dir.rstrip("/")),
     }))
     spark.stop()
 
