@@ -45,7 +45,9 @@ ROLES = _WORDS("navigation banner contentinfo complementary search form alert al
 HINTS = _WORDS("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr "
                "notice popup modal overlay newsletter subscribe subscription signup login sidebar menu nav navbar navigation "
                "breadcrumb breadcrumbs comment comments disqus respond share sharing social related recommended footer "
-               "masthead topbar widget pagination pager skip")
+               "masthead topbar widget pagination pager skip adsbygoogle")
+# Words that make a class name speak of a layout (`content-with-sidebar`) and not of the element.
+LAYOUT = _WORDS("with without has no")
 # Start tags that end an open element of the same family.
 CLOSES = {"li": _WORDS("li"), "dt": _WORDS("dt dd"), "dd": _WORDS("dt dd"), "tr": _WORDS("tr td th"),
           "td": _WORDS("td th"), "th": _WORDS("td th"), "option": _WORDS("option")}
@@ -78,7 +80,7 @@ def _boilerplate(tag: str, attributes: str, in_main: bool) -> tuple[bool, str]:
             bad = bad or value.strip() in ROLES
         else:
             label += value if name == "class" else ""
-            names = _NAME.findall(value)
+            names = [word for own in map(_NAME.findall, value.split()) if LAYOUT.isdisjoint(own) for word in own]
             bad = bad or not HINTS.isdisjoint(names) or ("header" in names and not in_main)
     return bad, label
 
