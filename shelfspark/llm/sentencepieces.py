@@ -31,6 +31,7 @@ from shelfspark.llm.spmodel import BPE, BYTE, MARK, NORMAL, USER_DEFINED, Model,
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # Words that a task remembers; then it keeps those it has met again since.
 CACHED = 150_000
+LETTERS = 24  # of an average word, so that very long words count for more
 JOINED = 4000
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -87,28 +88,42 @@ class Remembered:
     """A bounded memory of two generations: entries met again outlive those that are not."""
 
     def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.chars, self.young, self.old = size, 0, {}, {}
+
+    def complete(self, keys: set, learn) -> dict:
+        """A dictionary that has all keys; `learn` maps a list of unknown keys to their values."""
+        if len(self.young) >= self.size or self.chars >= self.size * LETTERS:
+            self.old, self.young, self.chars = self.young, {}, 0
+        young, old, new = self.young, self.old, []
+        for key in keys.difference(young):
+            value = old.get(key)
+            if value is None:
+                new.append(key)
+            else:
+                young[key] = value
+        if new:
+            self.chars += sum(map(len, new))
+            young.update(learn(new))
+        return young
 
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.size:
-            self.old, self.young = self.young, {}
-        self.young[key] = value
+def marked(text: str) -> str:
+    """Normalised form for models that only mark spaces and put one in front."""
+    return MARK + text.replace(" ", MARK) if text else ""
 
 
 def normalise(model: Model):
     """A function from a text to its normalised form."""
     if model.charsmap or model.trim_spaces or not model.escape_spaces or model.suffix_mark:
         return normalizer(model).normalize_str
-    prefix = MARK if model.dummy_prefix else ""
-    return lambda text: prefix + text.replace(" ", MARK) if text else ""
+    return marked if model.dummy_prefix else lambda text: text.replace(" ", MARK)
+
+
+def units_of(normalise, text: str) -> list[str]:
+    """Words of a text, each without the marker that opens it (the dummy prefix for the first)."""
+    if text[:1] != " " and "  " not in text and MARK not in text and normalise is marked:
+        return text.split(" ") if text else []
+    return [unit[1:] for unit in _WORD.findall(normalise(text))]
 
 
 class Coder:
@@ -128,7 +143,7 @@ class Coder:
         self.tokenizer = rebuild(model)
         self.normalise = normalise(model)
         self.apart = words_apart(model) and model.escape_spaces and model.dummy_prefix and not model.suffix_mark
-        self.known = Remembered(cached)
+        self.known, self.differ = Remembered(cached), set()
         bytes_of = {i: bytes([b]) for b, i in model.byte_ids.items()}
         self.begins = np.array([p.startswith(MARK) for p in model.pieces])
         self.parts = [bytes_of.get(i, p.replace(MARK, " ").encode()) for i, p in enumerate(model.pieces)]
@@ -137,52 +152,38 @@ class Coder:
         got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return zip(got, self.original.encode(texts, num_threads=self.threads))
 
-    def learn(self, units: list[str]) -> dict[str, tuple[list[int], bool]]:
-        """Ids of units by the original library, and whether the rebuilt one gives the same.
+    def learn(self, units: list[str]) -> dict[str, bytes]:
+        """Ids (32-bit) of units by the original library; those for which the rebuilt one differs are put in `differ`.
 
-        Words with one marker go through the libraries joined, a few thousand in one text:
-        each begins with the only id whose piece begins with the marker.
+        Words without a further marker go through the libraries joined, a few thousand in one
+        text: each begins with the only id whose piece begins with the marker.
         """
-        if not self.apart:
-            return {unit: (b, a == b) for unit, (a, b) in zip(units, self._both(units))}
-        # a unit is normalised text: the dummy prefix comes back when it is encoded
-        simple = [u for u in units if u.count(MARK) == 1 and u[0] == MARK]
+        learnt: dict[str, bytes] = {}
+        simple = [u for u in units if u and MARK not in u] if self.apart else []
         joined = [simple[low:low + JOINED] for low in range(0, len(simple), JOINED)]
-        learnt = {}
-        for own, (a, b) in zip(joined, self._both(["".join(x)[1:].replace(MARK, " ") for x in joined])):
-            firsts = [*np.flatnonzero(self.begins[b]).tolist(), len(b)]
-            if a != b or len(firsts) != len(own) + 1:
-                continue  # one by one below, to tell which word differs
-            learnt.update((unit, (b[x:y], True)) for unit, x, y in zip(own, firsts, firsts[1:]))
-        rest = [u for u in units if u not in learnt]
-        learnt.update((unit, (b, a == b)) for unit, (a, b) in zip(rest, self._both([u[1:].replace(MARK, " ") for u in rest])))
+        for own, (a, b) in zip(joined, self._both([" ".join(x) for x in joined])):
+            ids = np.array(b, np.int32)
+            firsts = [*(4 * np.flatnonzero(self.begins[ids])).tolist(), 4 * len(b)]
+            if a == b and len(firsts) == len(own) + 1:
+                packed = ids.tobytes()
+                learnt.update((unit, packed[x:y]) for unit, x, y in zip(own, firsts, firsts[1:]))
+        rest = [u for u in units if u not in learnt]  # one by one, to tell which differs
+        if self.apart:  # behind a letter, so that a lone marker has its own ids too
+            first, plain = len(self.original.encode("a")), [f"a {u.replace(MARK, ' ')}" for u in rest]
+        else:
+            first, plain = 0, rest
+        for unit, (a, b) in zip(rest, self._both(plain)):
+            learnt[unit] = np.array(b[first:], np.int32).tobytes()
+            if a != b:
+                self.differ.add(unit)
         return learnt
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], bool]]:
-        split = [_WORD.findall(self.normalise(text)) if self.apart else [text] for text in texts]
-        found, new = {}, []
-        for unit in {unit for units in split for unit in units}:
-            coded = self.known.get(unit)
-            if coded is None:
-                new.append(unit)
-            else:
-                found[unit] = coded
-        if new:
-            fresh_ones = self.learn(new)
-            found.update(fresh_ones)
-            for unit, coded in fresh_ones.items():
-                if len(unit) < 100:
-                    self.known.put(unit, coded)
-        out = []
-        for units in split:
-            ids: list[int] = []
-            same = True
-            for unit in units:
-                own, equal = found[unit]
-                ids += own
-                same = same and equal
-            out.append((ids, same))
-        return out
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bool]]:
+        """(ids, whether both libraries agree) of each text."""
+        split = [units_of(self.normalise, text) for text in texts] if self.apart else [[text] for text in texts]
+        known = self.known.complete(set().union(*split), self.learn)
+        return [(np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32),
+                 not self.differ or self.differ.isdisjoint(units)) for units in split]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the library is asked where byte pieces do not form characters."""
@@ -220,7 +221,7 @@ def encode(docs: DataFrame, model_path: str = DEFAULT_MODEL, text: str = "text",
             coded = iter(coder.encode([value for value in texts if value is not None]))
             rows = [next(coded) if value is not None else (None, None) for value in texts]
             return {names[0]: [ids for ids, _ in rows], names[2]: [same for _, same in rows],
-                    names[1]: [coder.decode(ids) if ids is not None else None for ids, _ in rows]}
+                    names[1]: [coder.decode(ids.tolist()) if ids is not None else None for ids, _ in rows]}
         return work
 
     kinds = [T.ArrayType(T.IntegerType()), T.StringType(), T.BooleanType()]

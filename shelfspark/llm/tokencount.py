@@ -22,18 +22,16 @@ from __future__ import annotations
 
 import functools
 import math
-import re
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from shelfspark.llm.common import add_columns, fresh
-from shelfspark.llm.sentencepieces import CACHED, DEFAULT_MODEL, Remembered, normalise, words_apart
+from shelfspark.llm.sentencepieces import CACHED, DEFAULT_MODEL, Remembered, normalise, units_of, words_apart
 from shelfspark.llm.spmodel import MARK, NORMAL, USER_DEFINED, Model, parse
 
 UNKNOWN_PENALTY = 10.0
-_WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class Counter:
@@ -52,7 +50,7 @@ class Counter:
         self.by_byte = model.byte_fallback and len(model.byte_ids) == 256
         self.singles = {p for p, _, _ in used if len(p) == 1}
         self.normalise = normalise(model)
-        self.apart = words_apart(model)
+        self.apart = words_apart(model) and model.escape_spaces and model.dummy_prefix and not model.suffix_mark
         self.known = Remembered(cached)
 
     def viterbi(self, unit: str) -> int:
@@ -94,18 +92,11 @@ class Counter:
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        text = self.normalise(text)
         if not self.apart:
-            return self.viterbi(text)
-        total = 0
-        for word in _WORD.findall(text):
-            tokens = self.known.get(word)
-            if tokens is None:
-                tokens = self.viterbi(word)
-                if len(word) < 100:
-                    self.known.put(word, tokens)
-            total += tokens
-        return total
+            return self.viterbi(self.normalise(text))
+        words = units_of(self.normalise, text)
+        known = self.known.complete(set(words), lambda new: [(word, self.viterbi(MARK + word)) for word in new])
+        return sum(map(known.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=2)
