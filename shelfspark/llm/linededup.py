@@ -1,15 +1,16 @@
 """Line dedup by pairwise alignment.
 
-1. Every line that is not blank gets a hash; the first document (least id) with a hash owns it.
-   A line found in more than one document pairs each later document with its owner: one
-   pair per line and document, never all pairs of those that share a line, so a line in a
+1. Every line that is not blank gets a hash; the first document (least id) with a hash owns it,
+   and so the first document with two lines next to each other.  A run of lines that earlier
+   documents own, with at least `min_words` words, pairs its document with the owners of its
+   lines and neighbours: never all pairs of those that share a line, so a line in a
    third of all documents costs one row each.
-2. A later document is aligned with each owner it is paired with by patience diff: lines
-   unique in the document are anchors, the longest run of anchors in the same order is
-   kept and grown over equal neighbours; what is left is aligned again, so blocks that
-   moved are found as well.
-3. Aligned lines next to each other form a block.  Blocks of at least `min_words` words are
-   deleted from the later document; shorter ones, such as a lone heading, stay.
+2. A later document is aligned with each such owner, over all lines that both hold, by
+   patience diff: lines unique in both are anchors, the longest run of anchors in the same
+   order is kept and each grown over equal neighbours; what is left is aligned again,
+   so blocks that moved are found as well.
+3. Lines that follow each other in both documents form a block.  Blocks of at least
+   `min_words` words are deleted from the later document; shorter ones, such as a lone heading, stay.
 
 The first occurrence of a line is never deleted.  Cases: null and empty texts stay; rows with the
 same id are one document, so they do not delete from each other; rows without an id come last
@@ -30,9 +31,9 @@ from pyspark.sql import types as T
 from shelfspark.llm.common import add_columns, fresh, landed
 
 MIN_WORDS = 10
-# Rounds of alignment; lines still crossing then are blocks of their own, as further rounds would find.
-ROUNDS = 16
 _BLANK = " \t\r"
+# What Python's split() takes as space, or more.
+_SPACES = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]+"
 _LAST = (1 << 63) - 1
 
 
@@ -61,48 +62,68 @@ def _longest_rising(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def align(places: dict[int, int]) -> set[int]:
-    """Places of a document's lines aligned with an owner; `places` maps place to owner place."""
-    left, aligned = dict(places), set()
-    for _ in range(ROUNDS):
+def aligned_blocks(mine: dict[int, int], other: dict[int, int]) -> list[list[int]]:
+    """Blocks of places whose lines follow each other in both documents; both map place to line."""
+    left, blocks = dict(mine), []
+
+    def grow(place: int, there: int) -> None:
+        low, high = place, place + 1
+        while low - 1 in left and left[low - 1] == other.get(there + low - 1 - place):
+            low -= 1
+        while high in left and left[high] == other.get(there + high - place):
+            high += 1
+        blocks.append(list(range(low, high)))
+        for at in blocks[-1]:
+            del left[at]
+
+    held: dict[int, list[int]] = {}
+    for there, line in sorted(other.items()):
+        held.setdefault(line, []).append(there)
+    left = {place: line for place, line in left.items() if line in held}
+    while left:
         times: dict[int, int] = {}
-        for other in left.values():
-            times[other] = times.get(other, 0) + 1
-        anchors = [(place, other) for place, other in sorted(left.items()) if times[other] == 1]
-        if not anchors:  # only lines the document repeats: each copy is a block of its own
-            return aligned | set(left)
-        for place, other in _longest_rising(anchors):
-            for step in (1, -1):
-                here, there = place + step, other + step
-                while left.get(here) == there:
-                    aligned.add(here)
-                    del left[here]
-                    here, there = here + step, there + step
+        for line in left.values():
+            times[line] = times.get(line, 0) + 1
+        anchors = [(place, held[line][0]) for place, line in sorted(left.items()) if times[line] == 1 and len(held[line]) == 1]
+        if not anchors:  # repeated lines only: the longest block first, then the rest again
+            place, there = _longest_block(left, held)
+            grow(place, there)
+        for place, there in _longest_rising(anchors):
             if place in left:
-                aligned.add(place)
-                del left[place]
-    return aligned | set(left)
+                grow(place, there)
+    return sorted(blocks)
+
+
+def _longest_block(left: dict[int, int], held: dict[int, list[int]]) -> tuple[int, int]:
+    """First places, in both documents, of the longest block of lines."""
+    best, size, before, last = (-1, -1), 0, {}, -2
+    for place, line in sorted(left.items()):
+        now = {there: (before.get(there - 1, 0) if last == place - 1 else 0) + 1 for there in held[line]}
+        for there, length in now.items():
+            if length > size:
+                best, size = (place - length + 1, there - length + 1), length
+        before, last = now, place
+    return best
+
+
+def align(places: dict[int, int]) -> set[int]:
+    """Places of a document's lines aligned with an owner; `places` maps place to owner place."""
+    return set().union(*aligned_blocks(places, {there: there for there in places.values()}))
 
 
 def without_blocks(text: str, owners: list[tuple[int, int, int]], min_words: int) -> tuple[str, int]:
     """The text without aligned blocks, and how many lines those had; owners: (hash, owner, place)."""
-    by_hash = {line: (owner, place) for line, owner, place in owners}
     lines = text.split("\n")
     full = [at for at, line in enumerate(lines) if line.strip(_BLANK)]
-    pairs: dict[int, dict[int, int]] = {}
-    for place, at in enumerate(full):
-        found = by_hash.get(_hash(lines[at].strip(_BLANK)))
-        if found:
-            pairs.setdefault(found[0], {})[place] = found[1]
-    aligned = sorted(set().union(*map(align, pairs.values()))) if pairs else []
+    mine = {place: _hash(lines[at].strip(_BLANK)) for place, at in enumerate(full)}
+    others: dict[int, dict[int, int]] = {}
+    for line, owner, place in owners:
+        others.setdefault(owner, {})[place] = line
     gone: set[int] = set()
-    low = 0
-    for high in range(1, len(aligned) + 1):
-        if high == len(aligned) or aligned[high] != aligned[high - 1] + 1:
-            block = aligned[low:high]
+    for other in others.values():
+        for block in aligned_blocks(mine, other):
             if sum(len(lines[full[place]].split()) for place in block) >= min_words:
                 gone.update(full[place] for place in block)
-            low = high
     if not gone:
         return text, 0
     return "\n".join(line for at, line in enumerate(lines) if at not in gone), len(gone)
@@ -112,29 +133,83 @@ def _order(key: Column) -> Column:
     return F.coalesce(key, F.lit(_LAST))
 
 
-def shared_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(k, owners) for each document with lines owned by an earlier one."""
+def _runs(rows: DataFrame, min_words: int) -> DataFrame:
+    """(k, part, unit) for lines, and pairs of neighbours, in runs of earlier documents' lines with enough words."""
+
+    def work(batches):
+        import pyarrow as pa
+        for batch in batches:
+            keys, parts, units = [], [], []
+            for k, part, held in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2))):
+                run, found = [], set()
+                for x in [*sorted(held, key=lambda x: x["place"]), None]:
+                    if x is not None and x["owner"] < k and (not run or x["place"] == run[-1]["place"] + 1):
+                        run.append(x)
+                        continue
+                    if sum(y["words"] for y in run) >= min_words:
+                        found.update(y["line"] for y in run)
+                        found.update(_both(a["line"], b["line"]) for a, b in zip(run, run[1:]))
+                    run = [x] if x is not None and x["owner"] < k else []
+                keys += [k] * len(found)
+                parts += [part] * len(found)
+                units += found
+            yield pa.RecordBatch.from_pydict({"k": pa.array(keys, pa.int64()), "part": pa.array(parts, pa.int64()), "unit": pa.array(units, pa.int64())})
+
+    return rows.mapInArrow(work, "k long, part long, unit long")
+
+
+def _both(first: int, second: int) -> int:
+    value = xxhash.xxh64_intdigest(first.to_bytes(8, "little", signed=True) + second.to_bytes(8, "little", signed=True), 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _units(rows: DataFrame) -> DataFrame:
+    """(unit, k) of all pairs of neighbouring shared lines."""
+
+    def work(batches):
+        import pyarrow as pa
+        for batch in batches:
+            keys, units = [], []
+            for k, held in zip(*(batch.column(i).to_pylist() for i in (0, 2))):
+                held.sort(key=lambda x: x["place"])
+                found = {_both(a["line"], b["line"]) for a, b in zip(held, held[1:]) if b["place"] == a["place"] + 1}
+                keys += [k] * len(found)
+                units += found
+            yield pa.RecordBatch.from_pydict({"unit": pa.array(units, pa.int64()), "k": pa.array(keys, pa.int64())})
+
+    return rows.mapInArrow(work, "unit long, k long")
+
+
+def shared_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
+    """(k, part, owners) for each text with enough lines of earlier ones; owners: the texts it is aligned with, as lines.
+
+    `part` is the text's hash, so rows that share an id, or have none, keep their own places.
+    """
     trimmed = F.filter(F.transform(F.split(F.col(f"`{text}`"), "\n"), lambda x: F.btrim(x, F.lit(_BLANK))), lambda x: x != "")
-    hashes = F.transform(trimmed, lambda x: F.xxhash64(x))
-    lines = landed(docs.select(_order(F.col(f"`{key}`")).alias("k"), F.posexplode(hashes).alias("place", "line")), "lines")
+    hashes = F.transform(trimmed, lambda x: F.struct(F.xxhash64(x).alias("line"), F.size(F.split(x, _SPACES)).alias("words")))
+    lines = landed(docs.select(_order(F.col(f"`{key}`")).alias("k"), F.xxhash64(F.col(f"`{text}`")).alias("part"), F.posexplode(hashes).alias("place", "x"))
+                   .select("k", "part", "place", "x.line", "x.words"), "lines")
     owner = landed(lines.groupBy("line").agg(F.min("k").alias("owner"), F.max("k").alias("last"))
                    .filter("owner < last").select("line", "owner"), "owners")
-    shared = landed(lines.join(owner, "line"), "shared")
-    first = landed(shared.filter("k = owner").groupBy("line").agg(F.min("place").alias("at")), "places")
-    later = shared.filter("k > owner").select("k", "line", "owner").distinct().join(first, "line")
-    return later.groupBy("k").agg(F.collect_list(F.struct("line", "owner", "at")).alias("owners"))
+    held = landed(lines.join(owner, "line").groupBy("k", "part").agg(F.collect_set(F.struct("place", "line", "words", "owner")).alias("held")), "shared")
+    wanted = landed(_runs(held, min_words), "wanted")
+    pairs_of = _units(held).groupBy("unit").agg(F.min("k").alias("owner"), F.max("k").alias("last")).filter("owner < last").select("unit", "owner")
+    first = landed(owner.withColumnRenamed("line", "unit").union(pairs_of), "firsts")
+    met = landed(wanted.join(first, "unit").filter("owner < k").select("k", "part", "owner").distinct(), "pairs")
+    sent = held.select(F.col("k").alias("owner"), F.transform("held", lambda x: F.struct(x["line"].alias("line"), x["place"].alias("at"))).alias("lines"))
+    return met.join(sent, "owner").groupBy("k", "part").agg(F.collect_list("lines").alias("owners"))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> tuple[DataFrame, str]:
     """`docs` with blocks deleted from `text`, and a column with the number of deleted lines; its name."""
-    own, owners, new, removed = fresh(docs.columns, "_k", "_owners", "_text", "n_removed")
-    found = landed(shared_lines(docs, key, text).select(F.col("k").alias(own), F.col("owners").alias(owners)), "later")
-    rows = docs.join(found, _order(docs[key]) == found[own], "left").drop(own)
+    own, part, owners, new, removed = fresh(docs.columns, "_k", "_part", "_owners", "_text", "n_removed")
+    found = landed(shared_lines(docs, key, text, min_words).select(F.col("k").alias(own), F.col("part").alias(part), F.col("owners").alias(owners)), "later")
+    rows = docs.join(found, (_order(docs[key]) == found[own]) & (F.xxhash64(docs[text]) == found[part]), "left").drop(own, part)
 
     def start():
         def work(texts, lists):
             done = [(value, 0) if value is None or not known else without_blocks(
-                value, [(x["line"], x["owner"], x["at"]) for x in known], min_words) for value, known in zip(texts, lists)]
+                value, [(x["line"], at, x["at"]) for at, held in enumerate(known) for x in held], min_words) for value, known in zip(texts, lists)]
             return {new: [value for value, _ in done], removed: [count for _, count in done]}
         return work
 

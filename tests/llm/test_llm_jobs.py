@@ -154,6 +154,14 @@ def test_lines_equal_a_plain_pass(spark, sf_dir):
     assert {r["doc_id"]: r["text"] for r in linededup.report(docs).collect()} == want
 
 
+def test_lines_of_several_documents_are_no_block(spark):
+    a, b, c = ("alpha one two three four five", "beta one two three four five", "gamma one two three four five")
+    rows = [(1, f"x\n{a}\n{b}"), (2, f"y\n{c}"), (3, f"{a}\n{c}"), (4, f"z\n{b}\nzz\n{a}"), (5, f"q\n{a}\n{b}"), (6, f"{a}\n{c}\nr"), (7, f"{b}\n{a}")]
+    got = {r["doc_id"]: r["text"] for r in linededup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # 3 takes lines from two documents, 7 two distant ones of one; 5 copies from 1, and 6 from 3, which owns neither line
+    assert got == dict(rows) | {5: "q", 6: "r"}
+
+
 def test_templates_go_and_repeated_paragraphs_stay(spark):
     menu = "<div class='c1'><div>Home</div><div>About</div></div>"
     body = "<article><p>Same quote everywhere.</p><div class=x><p>Rate this page!</p></div><p>Text {0}</p></article>"
