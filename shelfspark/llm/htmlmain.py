@@ -3,18 +3,20 @@
 1. A linear pass over each page's tags builds its block elements: text blocks, and a hash
    of every element's whole subtree (tag, class, text and children).  Elements that are
    boilerplate by their own tag, role or class are skipped with all they hold.
-2. Spark counts on how many pages of its host each subtree hash occurs.  A subtree is a site
-   template if that is at least `MIN_PAGES` pages and `MIN_SHARE` of the host's pages.
+2. Spark counts among how many contents of its host each subtree hash occurs.  A page's content
+   for a subtree is all text outside of it (of the article, if there is one), so copies of a
+   page count as one, and a subtree that holds all of a page's text counts nowhere.  A subtree is a site template at `MIN_CONTENTS` contents.
 3. Blocks inside a template subtree are deleted.  Paragraphs and headings of an article are
    content even if repeated, so in an article only larger elements count as templates.
 4. Pages with an article keep the blocks in it, others all blocks left.
 
-Counts are summed per host and hash where pages are read; only hashes that reach `MIN_PAGES`
-meet the hosts' totals, so a host with a third of all pages sends no more than others.
+Contents are marked in `MASKS` masks of 64 bits per host and hash where pages are read, so a host
+with a third of all pages sends no more than others.  Bits can only coincide, which lets exactly
+`MIN_CONTENTS` contents be missed with a chance of 1e-4, never found where there are fewer.
 
 Cases: null or empty html, or no text left: empty text; a page cut off inside a tag or comment
-loses that tag only; unclosed elements end with their parents; repeated pages are pages; a
-null or unreadable url counts as one host.  Pages are read whole.
+loses that tag only; unclosed elements end with their parents; repeated pages are one
+content; a null or unreadable url counts as one host.  Pages are read whole.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import types as T
 
 from shelfspark.llm.common import add_columns, landed
 
-MIN_PAGES = 10
-MIN_SHARE = 0.3
+MIN_CONTENTS = 10
+MASKS = 3
 
 # HTML element names by what they do to text.
 _WORDS = lambda text: frozenset(text.split())
@@ -85,10 +87,10 @@ def _boilerplate(tag: str, attributes: str, in_main: bool) -> tuple[bool, str]:
     return bad, label
 
 
-def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], set[int]]:
-    """A page's text blocks (text, hashes of the elements around it, in an article), and all its hashes."""
+def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[int, int]]:
+    """A page's text blocks (text, hashes of the elements around it, in an article), and the content outside of each hash."""
     if not html:
-        return [], set()
+        return [], {}
     root = _Element("#page", None, "", False, False)
     elements, here, found, text = [root], root, [], []
 
@@ -190,7 +192,19 @@ def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], set[int
                 around.append(hashes[id(level)])
             level = level.parent
         out.append((value, around, own.main))
-    return out, {hashes[id(own)] for own in elements if counted(own)}
+    return out, contents(out)
+
+
+def contents(found: list[tuple[str, list[int], bool]]) -> dict[int, int]:
+    """For each hash around blocks the hash of all text outside; of the article's, if there is one."""
+    pool = [b for b in found if b[2]] or found
+    marks = [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) for text, _, _ in pool]
+    outside = {}
+    for value in {value for _, around, _ in found for value in around}:
+        rest = [mark for mark, (_, around, _) in zip(marks, pool) if value not in around]
+        if rest:
+            outside[value] = xxhash.xxh64_intdigest(b"".join(mark.to_bytes(8, "little") for mark in rest), 42) >> 1
+    return outside
 
 
 def host_of(url: Column) -> Column:
@@ -198,38 +212,38 @@ def host_of(url: Column) -> Column:
 
 
 def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row per page: uid, key, url, host, blocks, hashes; written once, as it is read three times."""
+    """One row per page: uid, key, url, host, blocks, hashes (with contents); written once, as it is read three times."""
     block = T.StructType([T.StructField("text", T.StringType()), T.StructField("around", T.ArrayType(T.LongType())),
                           T.StructField("main", T.BooleanType())])
+    outside = T.StructType([T.StructField("hash", T.LongType()), T.StructField("content", T.LongType())])
 
     def start():
         def work(htmls):
             found = [blocks(value) for value in htmls]
             return {"blocks": [[{"text": t, "around": a, "main": m} for t, a, m in own] for own, _ in found],
-                    "hashes": [sorted(hashes) for _, hashes in found]}
+                    "hashes": [[{"hash": value, "content": content} for value, content in sorted(outside.items())] for _, outside in found]}
         return work
 
     rows = pages.select(F.col(f"`{key}`").alias("page"), F.col(f"`{url}`").alias("url"), host_of(F.col(f"`{url}`")).alias("host"),
                         F.col(f"`{html}`").alias("html"))
-    rows = add_columns(rows, "html", [("blocks", T.ArrayType(block)), ("hashes", T.ArrayType(T.LongType()))], start).drop("html")
+    rows = add_columns(rows, "html", [("blocks", T.ArrayType(block)), ("hashes", T.ArrayType(outside))], start).drop("html")
     return landed(rows.withColumn("uid", F.monotonically_increasing_id()), "pages")
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash) of subtrees that recur across many pages of the host."""
-    often = (pages.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash")
-             .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages))
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
-    return landed(landed(often, "often").join(landed(hosts, "hosts"), "host").filter(F.col("n") >= F.col("pages") * min_share)
-                  .select("host", "hash"), "templates")
+def templates(pages: DataFrame, min_contents: int = MIN_CONTENTS) -> DataFrame:
+    """(host, hash) of subtrees that recur among several contents of the host."""
+    masks = [F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(x.content, {6 * at}) & 63 as int))")) for at in range(MASKS)]
+    rows = pages.select("host", F.explode("hashes").alias("x")).groupBy("host", F.col("x.hash").alias("hash"))
+    seen = rows.agg(*[mask.alias(f"m{at}") for at, mask in enumerate(masks)])
+    return landed(seen.filter(F.greatest(*[F.bit_count(f"m{at}") for at in range(MASKS)]) >= min_contents).select("host", "hash"), "templates")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-              min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+              min_contents: int = MIN_CONTENTS) -> DataFrame:
     """One row per page: key, url and its main text."""
     rows = parsed(pages, key, url, html)
-    found = templates(rows, min_pages, min_share)
-    gone = (rows.select("uid", "host", F.explode("hashes").alias("hash")).join(found, ["host", "hash"])
+    found = templates(rows, min_contents)
+    gone = (rows.select("uid", "host", F.explode("hashes.hash").alias("hash")).join(found, ["host", "hash"])
             .groupBy("uid").agg(F.collect_set("hash").alias("gone")))
     kept = rows.join(landed(gone, "gone"), "uid", "left").select(
         "page", "url", F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["around"], F.col("gone"))).alias("blocks"))

@@ -174,6 +174,16 @@ def test_templates_go_and_repeated_paragraphs_stay(spark):
     assert htmlmain.report(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    entry = "<article><div class=entry><p>A long paragraph of the copied article.</p><p>And its end.</p></div></article>"
+    plain = "<h1>Plain title</h1><p>A long paragraph of the page without article.</p><div><p>More of it.</p></div>"
+    rows = [(i, f"http://a.ch/{i}", f"<div class=x{i}>View {i}</div>" * (i % 2) + entry) for i in range(20)]
+    rows += [(100 + i, f"http://b.ch/{i}", plain) for i in range(20)] + [(200 + i, f"http://b.ch/o{i}", f"<p>Other {i}</p>") for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in htmlmain.report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "A long paragraph of the copied article.\nAnd its end." for i in range(20))
+    assert all(got[100 + i] == "Plain title\nA long paragraph of the page without article.\nMore of it." for i in range(20))
+
+
 def test_search_of_awkward_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(120)]
