@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from shelfspark.llm.common import add_columns, landed
 
-MIN_CONTENTS = 10
+MIN_CONTENTS = 3
 MASKS = 3
 
 # HTML element names by what they do to text.

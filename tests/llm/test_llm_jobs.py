@@ -184,6 +184,14 @@ def test_copies_of_a_page_keep_their_text(spark):
     assert all(got[100 + i] == "Plain title\nA long paragraph of the page without article.\nMore of it." for i in range(20))
 
 
+def test_templates_of_small_hosts_and_small_shares_go(spark):
+    box = "<div class=b><div>Write to us</div></div>"
+    rows = [(i, f"http://small.ch/{i}", f"{box}<p>Page text number {i}</p>") for i in range(4)]
+    rows += [(100 + i, f"http://big.ch/{i}", (box if i < 20 else "") + f"<p>Page text number {i}</p>") for i in range(200)]
+    got = {r["page_id"]: r["text"] for r in htmlmain.report(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(text == f"Page text number {k % 100 if k < 200 else k - 100}" for k, text in got.items())
+
+
 def test_search_of_awkward_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(120)]
