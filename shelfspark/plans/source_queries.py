@@ -11,6 +11,7 @@ from shelfspark.streaming.streams import workspace
 
 FEED_COLUMNS = ["Item ID", "Item name", "Price", "Description", "Labels"]
 RECORD_COLUMNS = ["product_url", "item_name", "sku", "price", "category_path"]
+ARRAY_ROWS = 5000
 
 
 def _csv(spark, sf):
@@ -26,9 +27,11 @@ def _jsonl(spark, sf):
 
 
 def _snapshot(spark, sf):
-    """A catalogue snapshot is one JSON array per file."""
+    """A catalogue snapshot is JSON arrays, one per file, of about `ARRAY_ROWS` products each."""
     folder = workspace(spark, "snapshot")
-    arrays = remote_products(spark, sf).groupBy(F.pmod(F.xxhash64("id"), F.lit(4))).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
+    rows = remote_products(spark, sf)
+    files = -(-rows.count() // ARRAY_ROWS) or 1
+    arrays = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(files))).agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
     return readers.read_remote_products(spark, folder).select(
         "id", "status", F.col("price").cast("string").alias("price"), F.coalesce(F.size("custom_properties.labels"), F.lit(0)).alias("labels"))

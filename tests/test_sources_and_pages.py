@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +139,15 @@ def test_options_and_attributes_are_paired_inside_their_group():
     page = ("<div class=product-detail__attributes><ul>" + item.format("Traube", "<span class=content>Merlot</span><span class=content>Syrah</span><span class=content>Merlot</span>")
             + item.format("Leer", "") + item.format("Herkunft", "<svg>i</svg>Toskana | Italien") + "</ul></div>")
     assert html.flagged_attributes(page) == {"Traube": "Merlot | Syrah", "Herkunft": "Toskana | Italien"}
+
+
+def test_snapshot_arrays_stay_bounded(spark, sf_dir, monkeypatch):
+    from shelfspark.plans import source_queries
+    from shelfspark.streaming.streams import workspace
+
+    folders = []
+    monkeypatch.setattr(source_queries, "workspace", lambda s, name: folders.append(workspace(s, name)) or folders[-1])
+    monkeypatch.setattr(source_queries, "ARRAY_ROWS", 20, raising=False)
+    rows = source_queries._snapshot(spark, sf_dir).count()
+    sizes = [len(json.loads(r["value"])) for r in spark.read.text(folders[0], wholetext=True).collect()]
+    assert sum(sizes) == rows > 100 and max(sizes) < 60
