@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfspark.llm import (
-    decontaminate, htmlmain, langid, linededup, pii, quality, sentencepieces, simhash, tokencount, topk,
+    clustering, decontaminate, htmlmain, langid, linededup, pii, quality, secretscan, sentencepieces, simhash, tokencount,
+    topk, whitening,
 )
 from shelfspark.llm.common import spread_rows
 
@@ -29,9 +30,13 @@ QUERIES = {
     "op8_line_dedup": lambda s, d: linededup.report(_docs(s, d)),
     "op9_token_counts": lambda s, d: tokencount.report(_docs(s, d)),
     "op10_language": lambda s, d: langid.report(_docs(s, d)),
+    "op11_whitening": lambda s, d: whitening.report(_table(s, d, "embeddings")),
+    "op12_secrets": lambda s, d: secretscan.report(_docs(s, d)),
+    "op13_shallot": lambda s, d: clustering.report(_table(s, d, "embeddings")),
 }
 
 ORACLES = {
     "op2_topk": topk.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op13_shallot": clustering.ORACLE,
 }
