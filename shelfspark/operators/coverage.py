@@ -67,8 +67,8 @@ def scrape_counters(outcomes: DataFrame, within: list[str]) -> DataFrame:
 
 
 def latest_fetch(manifest: DataFrame, order: str) -> DataFrame:
-    """Newest fetch per URL."""
-    return latest_per_key(manifest, ["url"], order, "fetches")
+    """Newest fetch per URL; of several at one time the greatest snapshot path."""
+    return latest_per_key(manifest, ["url"], order, "fetches", ties=("snapshot_path",))
 
 
 def pending_urls(frontier: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:

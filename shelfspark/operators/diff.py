@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.ids import category_id, product_id
@@ -48,8 +48,8 @@ def _image(url: Column) -> Column:
     return F.when(has_text(url), F.struct(url.alias("url")))
 
 
-def payload_from_rows(rows: DataFrame, supplier: str = "supplier_slug") -> DataFrame:
-    """Cleaned import rows -> payload columns (null means the field is left out)."""
+def payload_from_rows(rows: DataFrame, supplier: str = "supplier_slug", order: str | None = None) -> DataFrame:
+    """Cleaned import rows -> payload columns (null means the field is left out), and the column `order` if one is named."""
     c = lambda name: text(F.col(name))
     item = c("Item ID")
     country = F.upper(strip(c("Country")))
@@ -73,7 +73,7 @@ def payload_from_rows(rows: DataFrame, supplier: str = "supplier_slug") -> DataF
         cents(c("Price")).alias("price"), blank_to_null(c("Price per")).alias("price_per"),
         payload_number(c("Minimum order count")).alias("min_order_count"),
         blank_to_null(c("GTIN")).alias("gtin"), properties.alias("custom_properties"),
-        _image(c("Image")).alias("image"),
+        _image(c("Image")).alias("image"), *([order] if order else []),
     )
 
 
@@ -141,34 +141,50 @@ def _owner(owner: Column | None) -> Column:
     return owner if owner is not None else F.when(F.col("id").contains("__"), F.substring_index("id", "__", 1))
 
 
-def _of_run(remote: DataFrame, local: DataFrame, suppliers: DataFrame | None, supplier: str) -> DataFrame:
-    """Add `_ours`: whether the row's `_owner` is a supplier of this run (by default one with a feed)."""
-    run = (suppliers if suppliers is not None else local).select(F.col(supplier).alias("_owner")).distinct()
+def _of_run(remote: DataFrame, run: DataFrame, supplier: str) -> DataFrame:
+    """Add `_ours`: whether the row's `_owner` is a supplier of this run (a table with a supplier column)."""
+    run = run.select(F.col(supplier).alias("_owner")).distinct()
     return join_checked(remote, run.withColumn("_ours", F.lit(True)), "_owner")
 
 
+def last_per_id(local: DataFrame, supplier: str, order: str | None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The landed feed, and (supplier, id, _local, _at) of the row that counts per id.
+
+    Of several rows with one id the last by `order` (else by position) counts; rows that share the place too are
+    ordered by their content, so the choice does not depend on partitions.  `limit` keeps that many
+    ids per supplier, in id order, after ids are unique.
+    """
+    feed = landed(local.select(
+        F.col(supplier), "id", fingerprint(local).alias("_local"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("_payload"),
+        (F.col(order).cast("bigint") if order else F.monotonically_increasing_id()).alias("_place"),
+        F.monotonically_increasing_id().alias("_at")), "feed")
+    # one narrow shuffle on the id; neither payloads nor a sort of them
+    picked = feed.groupBy("id").agg(F.max(F.struct("_place", F.xxhash64("_payload"), "_at", supplier, "_local")).alias("p"))
+    last = picked.select(F.col(f"p.{supplier}").alias(supplier), "id", "p._local", "p._at")
+    if limit is not None:
+        place = F.row_number().over(Window.partitionBy(supplier).orderBy("id"))
+        last = last.withColumn("_nth", place).filter(F.col("_nth") <= limit).drop("_nth")
+    return feed, last
+
+
 def catalog_plan(
     local: DataFrame, remote: DataFrame, supplier: str = "supplier_slug", owner: Column | None = None,
     skip_inactivate: Column | bool = False, limit: int | None = None, suppliers: DataFrame | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """One row per product to create, update or inactivate, and per unchanged product.
 
     Only (id, status, fingerprint) of both sides meets in the join; payloads are attached to
     the rows that need one.  A product that left the feed is touched only if its owner is a
-    supplier of this run.  Of several feed rows with one id the last counts.
-    `skip_inactivate` keeps products that disappeared from the feed.
+    supplier of this run.  Of several feed rows with one id the last by `order` (a row number) counts.
+    `limit` takes that many products of each supplier.  `skip_inactivate` keeps products that
+    disappeared from the feed.
     """
-    if limit is not None:
-        local = local.orderBy("id").limit(limit)
-    feed = landed(local.select(
-        F.col(supplier), "id", fingerprint(local).alias("_local"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("_payload"),
-        F.monotonically_increasing_id().alias("_row")), "feed")
-    last = feed.groupBy("id").agg(F.max("_row").alias("_row"))
-    ours = feed.select(supplier, "id", "_local", "_row").join(last, ["id", "_row"], "left_semi")
+    feed, last = last_per_id(local, supplier, order, limit)
     theirs = _of_run(remote.select(
         _owner(owner).alias("_owner"), "id", F.col("status").alias("remote_status"), fingerprint(remote).alias("_remote"),
-        F.lit(True).alias("_known")), local, suppliers, supplier)
-    in_feed = F.col("_row").isNotNull()
+        F.lit(True).alias("_known")), local if suppliers is None else suppliers, supplier)
+    in_feed = F.col("_at").isNotNull()
     action = (
         F.when(in_feed & F.col("_known").isNull(), "create")
         .when(in_feed & (F.col("_local") == F.col("_remote")), "unchanged")
@@ -177,11 +193,12 @@ def catalog_plan(
         .otherwise("inactivate")
     )
     skip = F.lit(skip_inactivate) if isinstance(skip_inactivate, bool) else skip_inactivate
-    plan = ours.join(theirs, "id", "full_outer").filter(in_feed | (F.coalesce("_ours", F.lit(False)) & ~skip)).select(
-        F.coalesce(supplier, "_owner").alias(supplier), "id", action.alias("action"), "_row",
+    plan = last.join(theirs, "id", "full_outer").filter(in_feed | (F.coalesce("_ours", F.lit(False)) & ~skip)).select(
+        F.coalesce(supplier, "_owner").alias(supplier), "id", action.alias("action"), "_at",
         F.when(in_feed, "feed").otherwise("remote").alias("origin"))
-    sent = F.when(F.col("action").isin("create", "update"), F.col("_row"))
-    return plan.withColumn("_row", sent).join(feed.select("_row", "_payload"), "_row", "left").select(
+    sent = plan.withColumn("_at", F.when(F.col("action").isin("create", "update"), F.col("_at")))
+    # on the id as well, by which the plan already lies
+    return sent.join(feed.select("id", "_at", "_payload"), ["id", "_at"], "left").select(
         supplier, "id", "action",
         F.when(F.col("action") == "inactivate", F.to_json(F.struct(F.lit("INACTIVE").alias("status"))))
         .otherwise(F.col("_payload")).alias("payload"), "origin")
@@ -191,7 +208,7 @@ def missing_from_feed(
     local: DataFrame, remote: DataFrame, owner: Column | None = None, suppliers: DataFrame | None = None,
 ) -> DataFrame:
     """Remote products of this run's suppliers that are no longer in the feed."""
-    owned = _of_run(remote.select(_owner(owner).alias("_owner"), "id", "status"), local, suppliers, "supplier_slug")
+    owned = _of_run(remote.select(_owner(owner).alias("_owner"), "id", "status"), local if suppliers is None else suppliers, "supplier_slug")
     action = F.when(F.col("status") == "INACTIVE", "unchanged").otherwise("inactivate")
     return owned.filter("_ours").join(local.select("id"), "id", "left_anti").select(
         F.col("_owner").alias("supplier_slug"), "id", action.alias("action"))

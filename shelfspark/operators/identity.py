@@ -4,27 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfspark.functions.ids import record_key, source_identifier
 from shelfspark.functions.text import has_text
-from shelfspark.operators.skew import with_sequence
+from shelfspark.operators.skew import landed, with_sequence
 
 
-def first_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None) -> DataFrame:
-    """Keep the earliest row per key, by a column that is unique within a key."""
-    return _pick(df, keys, order, F.min, copies)
+def first_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key: the earliest by `order`, of several the least by `ties` and then by content."""
+    return _pick(df, keys, order, ties, False, copies)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None) -> DataFrame:
-    return _pick(df, keys, order, F.max, copies)
+def latest_per_key(df: DataFrame, keys: list[str], order: str, copies: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key: the last by `order`, of several the greatest by `ties` and then by content."""
+    return _pick(df, keys, order, ties, True, copies)
 
 
-def _pick(df, keys, order, pick, copies):
-    """Only (keys, order) is aggregated, by hash and map side first; wide rows are neither sorted nor buffered."""
-    name = copies or "_copies"
-    picked = df.groupBy(*keys).agg(pick(order).alias(order), F.count(F.lit(1)).alias(name))
-    out = df.join(picked, [*keys, order])
-    return out.select(*df.columns, *([copies] if copies else []))
+def _pick(df: DataFrame, keys: list[str], order: str, ties: tuple[str, ...], last: bool, copies: str | None) -> DataFrame:
+    """Null is a key like any other; rows without an order come in only where a key has no other.
+
+    Rows are landed with a number, and only keys, order and that number are aggregated, map side
+    first.  Wide rows meet the picked numbers, which are unique, so neither a hot key nor a
+    tie puts rows of a key together.
+    """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+    rows = landed(df.withColumn("_at", F.monotonically_increasing_id()), "keyed")
+    present = F.col(order).isNotNull() if last else F.col(order).isNull()
+    place = F.struct(present.alias("present"), F.col(order).alias("order"), *[F.col(c) for c in ties], content.alias("content"), F.col("_at"))
+    picked = rows.groupBy(*keys).agg((F.max if last else F.min)(place).alias("_place"), F.count(F.lit(1)).alias("_rows"))
+    chosen = picked.select(F.col("_place._at").alias("_at"), *([F.col("_rows").alias(copies)] if copies else []))
+    return rows.join(chosen, "_at").select(*df.columns, *([copies] if copies else []))
 
 
 def dedupe_products(products: DataFrame, ordinal: str = "ordinal", within: list[str] | None = None) -> DataFrame:

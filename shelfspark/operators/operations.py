@@ -110,18 +110,27 @@ def log_progress(lines: DataFrame) -> DataFrame:
     return staged.groupBy("job_id").agg(*progress_aggregates(), F.count_if("parsed").alias("parsed_products"))
 
 
+def first_error_lines(lines: DataFrame) -> DataFrame:
+    """(job_id, line, ord): distinct error lines per job, each at its first place."""
+    return (
+        lines.filter(F.trim("line") != "").filter(F.col("line").rlike(ERROR_LINE))
+        .groupBy("job_id", F.regexp_replace("line", r"\s+$", "").alias("line")).agg(F.min("ord").alias("ord"))
+    )
+
+
+def last_lines(first: DataFrame, keep: int = 20) -> DataFrame:
+    """The last `keep` of a job's lines, newest first in `rank`."""
+    rank = F.row_number().over(Window.partitionBy("job_id").orderBy(F.col("ord").desc(), "line"))
+    return first.withColumn("rank", rank).filter(F.col("rank") <= keep)
+
+
 def log_errors(lines: DataFrame, keep: int = 20) -> DataFrame:
     """The last distinct error lines per job, each at its first occurrence.
 
     Lines are filtered and deduplicated by partial aggregation first; the top-N per job
     then uses a rank filter, which Spark also applies before the shuffle.
     """
-    first = (
-        lines.filter(F.trim("line") != "").filter(F.col("line").rlike(ERROR_LINE))
-        .groupBy("job_id", F.regexp_replace("line", r"\s+$", "").alias("line")).agg(F.min("ord").alias("ord"))
-    )
-    rank = F.row_number().over(Window.partitionBy("job_id").orderBy(F.col("ord").desc()))
-    return first.withColumn("rank", rank).filter(F.col("rank") <= keep)
+    return last_lines(first_error_lines(lines), keep)
 
 
 def last_result(lines: DataFrame) -> DataFrame:
@@ -221,4 +230,4 @@ def run_summary(products: DataFrame, failures: DataFrame, discovered: DataFrame,
 
 def latest_state(states: DataFrame) -> DataFrame:
     """The last good run of each supplier from the appended run states."""
-    return latest_per_key(states.dropDuplicates(["supplier_slug", "generated_at"]), ["supplier_slug"], "generated_at")
+    return latest_per_key(states, ["supplier_slug"], "generated_at", ties=("checksum",))

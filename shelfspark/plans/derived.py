@@ -454,25 +454,6 @@ def remote_categories(spark: SparkSession, sf_dir: str, names: DataFrame) -> Dat
     )
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table as a file stream."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
-
-
-def event_stream(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
-    """The events table as a stream, with derived columns."""
-    raw = table_stream(spark, sf_dir, "events").selectExpr("*", f"{_VALUE} AS k")
-    return raw.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
-
-
-def lines_of(parts: DataFrame) -> DataFrame:
-    """Catalogue lines of a batch or streaming `part` frame (same rules as the `lines` view)."""
-    source = parts.selectExpr("p_partkey AS k", "p_brand AS brand", "p_type AS kind", "p_name AS noun", "p_size AS size", "p_retailprice AS price_unit")
-    return source.selectExpr(
-        "k + 2 AS row_number", "k", "k * 7919 % 1000003 AS v", "brand", "kind", "noun", "size",
-        f"cast(floor({_CENTS} / 100) AS bigint) AS whole", f"lpad(cast({_CENTS} % 100 AS string), 2, '0') AS frac")
-
-
-def items_of(lines: DataFrame) -> DataFrame:
-    return lines.selectExpr("row_number", f"{_SLUG} AS supplier_slug", *[f"{sql} AS `{name}`" for name, sql in _ITEM_ALL.items()])
+def events(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:
+    """The events table with derived columns."""
+    return table(spark, sf_dir, "events").selectExpr("*", f"{_VALUE} AS k").selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])

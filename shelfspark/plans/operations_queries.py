@@ -10,8 +10,8 @@ from shelfspark.functions import ids, numbers, text, units, urls
 from shelfspark.operators import coverage, diff, identity, operations as ops, policy, validate
 from shelfspark.operators.clean import clean_catalog, clean_corrections
 from shelfspark.plans import derived
-from shelfspark.plans.derived import duck, event_stream, products, remote_products, table, view
-from shelfspark.plans.relational_queries import ORACLES as RELATIONAL
+from shelfspark.plans.derived import duck, products, remote_products, table, view
+from shelfspark.plans.relational_queries import LOCAL_FLAT, ORACLES as RELATIONAL
 from shelfspark.sources import readers, writers
 from shelfspark.streaming import streams
 
@@ -201,10 +201,91 @@ def _config_load(spark, sf):
     return readers.parse_configs(spark.read.parquet(folder)).select("supplier_slug", "enabled", "scraper_adapter", "catalog_update_policy", "archived")
 
 
+def _latest_fetch(spark, sf):
+    """Eight fetches share a time, and a tenth of them is listed twice."""
+    fetches = view(spark, sf, "fetches")
+    listed = fetches.unionByName(fetches.filter("ord % 10 = 0"))
+    return coverage.latest_fetch(listed.withColumn("ord", F.floor(F.col("ord") / 8)), "ord")
+
+
+def _in_thirds(spark, sf, order="event_id"):
+    """Conditions on the events for three arrivals, the later the larger the id."""
+    top = table(spark, sf, "events").agg(F.max("event_id")).first()[0] or 0
+    third = F.floor(F.col(order) * 3 / F.lit(top + 1))
+    return [third == n for n in range(3)]
+
+
+def _log_events(spark, sf):
+    """Log lines as a log service's events."""
+    return derived.events(spark, sf, {**derived.LOG_COLUMNS, "at": "ts"}).select(
+        F.col("job_id").cast("string").alias("job_id"), F.col("at").alias("timestamp"), F.col("ord").alias("sequence"), F.col("line").alias("message"))
+
+
+def _stream_progress(spark, sf):
+    """Three arrivals, each drained by a query that starts again from the checkpoint."""
+    landing, folder = streams.workspace(spark, "log-events"), streams.workspace(spark, "progress")
+    for arrived in _in_thirds(spark, sf, "sequence"):
+        writers.write_jsonl(_log_events(spark, sf).filter(arrived), landing, append=True)
+        out = streams.run_progress(readers.read_log_events(spark, landing, streaming=True), folder)
+    return out.withColumn("job_id", F.col("job_id").cast("bigint"))
+
+
+def _stream_errors(spark, sf):
+    landing, folder = streams.workspace(spark, "log-events"), streams.workspace(spark, "errors")
+    for arrived in _in_thirds(spark, sf, "sequence"):
+        writers.write_jsonl(_log_events(spark, sf).filter(arrived), landing, append=True)
+        out = streams.run_errors(readers.read_log_events(spark, landing, streaming=True).drop("at"), folder)
+    return out.withColumn("job_id", F.col("job_id").cast("bigint"))
+
+
+def _log_files(spark, sf, landing, jobs="true"):
+    """Log files, one per job, lines in event order."""
+    lines = view(spark, sf, "log_lines").filter(jobs)
+    files = lines.repartition("job_id").sortWithinPartitions("job_id", "ord")
+    files.select(F.col("job_id").alias("job"), F.col("line").alias("value")).write.mode("append").partitionBy("job").text(landing)
+
+
+def _job_of_file():
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/job=([^/]+)/", 1)
+
+
+def _file_lines(spark, sf):
+    landing = streams.workspace(spark, "logs")
+    _log_files(spark, sf, landing)
+    return readers.read_logs(spark, f"{landing}/*", _job_of_file()).withColumn("job_id", F.col("job_id").cast("bigint"))
+
+
+def _stream_log_files(spark, sf):
+    landing, folder = streams.workspace(spark, "logs"), streams.workspace(spark, "file-errors")
+    for third in range(3):
+        _log_files(spark, sf, landing, f"job_id % 3 = {third}")
+        out = streams.run_errors(readers.read_log_stream(spark, f"{landing}/*", _job_of_file()), folder)
+    return out.withColumn("job_id", F.col("job_id").cast("bigint"))
+
+
+def _stream_fetch(spark, sf):
+    """Three arrivals of manifest lines, out of order."""
+    landing, folder = streams.workspace(spark, "manifest"), streams.workspace(spark, "fetch")
+    fetches = view(spark, sf, "fetches").withColumns({"fetched_at": F.timestamp_seconds(F.floor(F.col("ord") / 8)), "final_url": F.col("url")})
+    for third in (2, 0, 1):
+        writers.write_jsonl(fetches.filter(F.col("ord") % 3 == third).drop("ord"), landing, append=True)
+        manifest = readers.read_manifest(spark, landing, streaming=True)
+        out = streams.run_latest_fetch(manifest.select("url", "status_code", "snapshot_path", F.unix_seconds("fetched_at").alias("ord")), folder)
+    return out.select("url", "status_code", "snapshot_path", "fetches")
+
+
 def _stream_diff(spark, sf):
-    rows = derived.items_of(derived.lines_of(derived.table_stream(spark, sf, "part")))
-    out = streams.run_diff(diff.payload_from_rows(rows), remote_products(spark, sf), streams.workspace(spark, "diff"))
-    return out.select("supplier_slug", "id", "action", "origin")
+    """Two snapshots: the first in three arrivals, its marker in the second; then one without some products."""
+    landing, folder = streams.workspace(spark, "snapshots"), streams.workspace(spark, "diff")
+    local = diff.payload_from_rows(view(spark, sf, "items"), order="row_number")
+    feeds = streams.with_marker(local, 1), streams.with_marker(local.filter("id NOT LIKE '%7'"), 2)
+    piece = F.when(F.col("id").isNull(), 1).otherwise(F.pmod(F.xxhash64("id"), F.lit(3)))
+    for part in range(3):
+        arrived = feeds[0].filter(piece == part)
+        (arrived if part < 2 else arrived.unionByName(feeds[1])).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(feeds[0].schema).parquet(landing)
+        out = streams.run_diff(stream, remote_products(spark, sf), folder, order="row_number")
+    return out.select("snapshot", "supplier_slug", "id", "action", "origin")
 
 
 LINES = ["job_id", "ord", "line"]
@@ -213,7 +294,7 @@ QUERIES = {
     "category_counts": lambda spark, sf: coverage.category_counts(view(spark, sf, "listing"), ["supplier_slug"]),
     "identity_dedupe": lambda spark, sf: _first_links(spark, sf),
     "scrape_counters": _counters,
-    "latest_fetch": lambda spark, sf: coverage.latest_fetch(view(spark, sf, "fetches"), "ord"),
+    "latest_fetch": _latest_fetch,
     "pending_urls": lambda spark, sf: coverage.pending_urls(
         view(spark, sf, "fetches").unionByName(table(spark, sf, "pages").select("url"), allowMissingColumns=True),
         view(spark, sf, "fetches").filter("status_code = 200")),
@@ -245,12 +326,12 @@ QUERIES = {
     "remote_pages_explode": _remote_pages,
     "sitemap_products": _sitemap,
     "config_load": _config_load,
-    "stream_progress": lambda spark, sf: streams.run_complete(
-        streams.progress_stream(event_stream(spark, sf, derived.LOG_COLUMNS)), streams.workspace(spark, "progress")),
-    "stream_errors": lambda spark, sf: streams.run_append(
-        streams.error_stream(event_stream(spark, sf, derived.LOG_COLUMNS)), streams.workspace(spark, "errors")),
-    "stream_latest_fetch": lambda spark, sf: streams.run_complete(
-        streams.latest_fetch_stream(event_stream(spark, sf, derived.FETCH_COLUMNS)), streams.workspace(spark, "fetch")),
+    "log_file_progress": lambda spark, sf: ops.log_progress(_file_lines(spark, sf)),
+    "log_file_errors": lambda spark, sf: ops.log_errors(_file_lines(spark, sf)),
+    "stream_progress": _stream_progress,
+    "stream_errors": _stream_errors,
+    "stream_log_files": _stream_log_files,
+    "stream_latest_fetch": _stream_fetch,
     "stream_diff": _stream_diff,
 }
 
@@ -267,6 +348,32 @@ _PROG_SQL = ", ".join(
     f"coalesce(arg_max({e}, ord) FILTER (WHERE {e} IS NOT NULL), 'waiting') AS phase" if f == "phase"
     else f"coalesce(cast(arg_max({e}, ord) FILTER (WHERE {e} IS NOT NULL) AS bigint), 0) AS {f}_count" for f, e in _PROGRESS.items())
 _ERRS = r"regexp_matches(line, '(?i)\b(ERROR|CRITICAL|Traceback|Exception|FAILED)\b')"
+# numbers of the lines in a job's own file
+FILE_LG = f"(SELECT job_id, line, row_number() OVER (PARTITION BY job_id ORDER BY ord) - 1 AS ord FROM {LG}) fl"
+
+
+def _errors_sql(lines: str) -> str:
+    return f"""SELECT job_id, line, ord, cast(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord DESC) AS rank FROM (
+  SELECT job_id, rtrim(line) AS line, min(ord) AS ord FROM {lines} WHERE {_ERRS} GROUP BY 1, 2) f) r WHERE rank <= 20"""
+
+
+def _newest_fetch(fetches: str) -> str:
+    return f"""(SELECT * REPLACE (ord // 8 AS ord), count(*) OVER (PARTITION BY url) AS fetches,
+  row_number() OVER (PARTITION BY url ORDER BY ord // 8 DESC, snapshot_path DESC) AS nth FROM (SELECT * FROM {fetches}) a) b WHERE nth = 1"""
+
+
+def _stream_diff_sql() -> str:
+    """The first plan is the batch plan; after it only what the second snapshot lacks can change."""
+    plan, left = RELATIONAL["diff_plan"], "l.id NOT LIKE '%7'"
+    local = LOCAL_FLAT
+    owners = f"(SELECT DISTINCT supplier_slug FROM ({local}) l WHERE {left})"
+    return f"""SELECT 1 AS snapshot, * FROM ({plan}) first
+UNION ALL SELECT 2, supplier_slug, id, 'unchanged', 'feed' FROM ({local}) l WHERE {left}
+UNION ALL SELECT 2, supplier_slug, id, CASE WHEN status = 'INACTIVE' THEN 'unchanged' ELSE 'inactivate' END, 'remote' FROM ({local}) l
+  WHERE NOT ({left}) AND supplier_slug IN {owners}
+UNION ALL SELECT 2, supplier_slug, id, 'unchanged', 'remote' FROM ({plan}) p WHERE origin = 'remote' AND supplier_slug IN {owners}"""
+
+
 _SUMM = f"""(SELECT supplier_slug, CASE WHEN id % 3 = 0 THEN 'scrape_only' ELSE 'scrape_and_sync' END AS mode, id % 3 <> 0 AS vp, fc % 3 AS ve, fc % 4 AS vw, rc AS pc FROM (
   SELECT supplier_slug, max(id) AS id, arg_max(failure_count, id) AS fc, arg_max(raw_record_count, id) AS rc FROM {J} WHERE job_type = 'scrape_and_sync' GROUP BY 1) s)"""
 _REP = f"""(SELECT supplier_slug, arg_max(status, id) = 'stopped' AS ab, arg_max(sync_error, id) <> '' AS er FROM {J} WHERE job_type = 'sync' GROUP BY 1)"""
@@ -334,7 +441,7 @@ ORACLES = {
   count(*) FILTER (WHERE failed AND stage = 'detail') AS detail_failures, count(*) FILTER (WHERE failed AND stage = 'transform') AS transform_failures,
   count(*) FILTER (WHERE failed AND stage = 'listing') AS listing_failures, count(*) FILTER (WHERE failed AND stage = 'external') AS external_failures
   FROM (SELECT supplier_slug, status = 'failed' AS failed, CASE job_type WHEN 'sync' THEN 'listing' WHEN 'scrape' THEN 'transform' ELSE 'detail' END AS stage FROM {J}) x GROUP BY 1""",
-    "latest_fetch": f"SELECT url, max(ord) AS ord, arg_max(status_code, ord) AS status_code, 'html' AS kind, arg_max(snapshot_path, ord) AS snapshot_path, count(*) AS fetches FROM {FE} GROUP BY 1",
+    "latest_fetch": f"SELECT url, ord, status_code, kind, snapshot_path, fetches FROM {_newest_fetch(f'(SELECT * FROM {FE} UNION ALL SELECT * FROM {FE} WHERE ord % 10 = 0)')}",
     "pending_urls": f"SELECT url FROM {FE} UNION SELECT url FROM pages EXCEPT SELECT url FROM {FE} WHERE status_code = 200",
     "discovered_union": f"SELECT url FROM (SELECT rtrim(url, '/') || '/' AS url FROM {L} UNION SELECT rtrim(canonical_url, '/') || '/' FROM {P}) u WHERE NOT contains(url, '/artikel-1')",
     "discovered_fallback": "SELECT url FROM pages",
@@ -369,8 +476,7 @@ ORACLES = {
     "dashboard_stats": f"""SELECT count(*) AS suppliers, count(*) FILTER (WHERE live) AS live, count(*) FILTER (WHERE secret_present) AS secrets_ready, count(*) FILTER (WHERE NOT live) AS need_attention,
   count(*) FILTER (WHERE NOT secret_present) AS missing_secrets, count(*) FILTER (WHERE NOT scraper_exists) AS code_pending FROM ({_STAGE}) s""",
     "log_progress": rf"SELECT job_id, {_PROG_SQL}, count(*) FILTER (WHERE regexp_matches(line, '\bParsed product\b')) AS parsed_products FROM {LG} GROUP BY 1",
-    "log_errors": f"""SELECT job_id, line, ord, cast(rank AS int) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY ord DESC) AS rank FROM (
-  SELECT job_id, rtrim(line) AS line, min(ord) AS ord FROM {LG} WHERE {_ERRS} GROUP BY 1, 2) f) r WHERE rank <= 20""",
+    "log_errors": _errors_sql(LG),
     "last_result": f"""SELECT job_id, arg_max(payload, ord) AS payload, max(ord) AS ord FROM (SELECT job_id, ord, regexp_extract(line, 'RESULT_RUN_SUMMARY\\s+(\\{{.*\\}})$', 1) AS payload FROM {LG}) x WHERE payload <> '' AND json_valid(payload) GROUP BY 1""",
     "run_summary": _run_summary_sql(),
     "run_state": f"""SELECT supplier_slug, lpad(cast(id AS varchar), 12, '0') AS generated_at, sha1(cast(id AS varchar)) AS checksum, cast(raw_record_count AS bigint) AS product_count, 'run' || cast(id % 2 AS varchar) AS export_folder
@@ -386,8 +492,11 @@ ORACLES = {
     "remote_pages_explode": f"SELECT id, status, cast(price AS varchar) AS price, CASE WHEN labels = '' THEN 0 ELSE len(string_split(labels, ',')) END AS labels FROM {duck('remote')} r",
     "sitemap_products": f"SELECT DISTINCT product_url AS url FROM {P} WHERE image_url <> ''",
     "config_load": f"SELECT supplier_slug, enabled, scraper_adapter, 'delete_missing' AS catalog_update_policy, false AS archived FROM {C}",
-    "stream_progress": f"SELECT job_id, {_PROG_SQL} FROM {LG} GROUP BY 1",
-    "stream_errors": f"SELECT DISTINCT job_id, rtrim(line) AS line FROM {LG} WHERE {_ERRS}",
-    "stream_latest_fetch": f"SELECT url, arg_max(status_code, ord) AS status_code, max(ord) AS ord, count(*) AS fetches FROM {FE} GROUP BY 1",
-    "stream_diff": RELATIONAL["diff_plan"],
+    "log_file_progress": rf"SELECT job_id, {_PROG_SQL}, count(*) FILTER (WHERE regexp_matches(line, '\bParsed product\b')) AS parsed_products FROM {LG} WHERE trim(line) <> '' GROUP BY 1",
+    "log_file_errors": _errors_sql(FILE_LG),
+    "stream_progress": f"SELECT job_id, {_PROG_SQL} FROM {LG} WHERE trim(line) <> '' GROUP BY 1",
+    "stream_errors": _errors_sql(LG),
+    "stream_log_files": _errors_sql(FILE_LG),
+    "stream_latest_fetch": f"SELECT url, status_code, snapshot_path, fetches FROM {_newest_fetch(FE)}",
+    "stream_diff": _stream_diff_sql(),
 }

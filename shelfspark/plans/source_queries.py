@@ -46,7 +46,7 @@ def _pages(spark, sf):
 
 def _manifest(spark, sf):
     folder = workspace(spark, "manifest")
-    fetches = view(spark, sf, "fetches").withColumns({"fetched_at": F.timestamp_seconds("ord"), "final_url": F.col("url")})
+    fetches = view(spark, sf, "fetches").withColumns({"fetched_at": F.timestamp_seconds(F.floor(F.col("ord") / 8)), "final_url": F.col("url")})
     for part in (0, 1):
         writers.write_jsonl(fetches.filter(F.col("ord") % 2 == part).drop("ord"), folder, append=True)
     return coverage.latest_fetch(readers.read_manifest(spark, folder), "fetched_at").select("url", "status_code", "snapshot_path", "fetches")
@@ -78,6 +78,7 @@ ORACLES = {
     "source_jsonl": f"SELECT {', '.join(RECORD_COLUMNS)} FROM {duck('products')} p",
     "source_snapshot": f"SELECT id, status, cast(price AS varchar) AS price, CASE WHEN labels = '' THEN 0 ELSE len(string_split(labels, ',')) END AS labels FROM {duck('remote')} r",
     "source_pages": "SELECT sha1(html) AS digest, true AS named FROM pages",
-    "source_manifest": f"SELECT url, arg_max(status_code, ord) AS status_code, arg_max(snapshot_path, ord) AS snapshot_path, count(*) AS fetches FROM {duck('fetches')} f GROUP BY 1",
+    "source_manifest": f"""SELECT url, status_code, snapshot_path, fetches FROM (SELECT *, count(*) OVER (PARTITION BY url) AS fetches,
+  row_number() OVER (PARTITION BY url ORDER BY ord // 8 DESC, snapshot_path DESC) AS nth FROM {duck('fetches')} f) g WHERE nth = 1""",
     "source_sitemap_index": f"SELECT DISTINCT product_url AS url FROM {duck('products')} p WHERE image_url <> ''",
 }

@@ -93,6 +93,7 @@ MANIFEST_SCHEMA = (
     "fetched_at timestamp, kind string, status_code int, snapshot_path string, "
     "url string, final_url string"
 )
+LOG_EVENT_SCHEMA = "job_id string, timestamp timestamp, sequence bigint, message string"
 SUPPLIER_CONFIG_STRUCT = (
     "struct<supplier_slug:string,enabled:boolean,scraper_adapter:string,base_url:string,"
     "output_dir:string,catalog_update_policy:string,schedule:map<string,string>,"

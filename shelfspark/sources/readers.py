@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import strip
 from shelfspark.functions.urls import without_query
-from shelfspark.operators.skew import landed, with_sequence
+from shelfspark.operators.skew import join_checked, landed, with_sequence
 from shelfspark.schema import (
-    STATE_SCHEMA,
-    IMPORT_COLUMNS, MANIFEST_SCHEMA, REMOTE_CATEGORY_SCHEMA, REMOTE_PAGE_SCHEMA, REMOTE_PRODUCT_STRUCT,
-    SUPPLIER_CONFIG_STRUCT, import_row_schema, product_schema,
+    IMPORT_COLUMNS, LOG_EVENT_SCHEMA, MANIFEST_SCHEMA, REMOTE_CATEGORY_SCHEMA, REMOTE_PAGE_SCHEMA, REMOTE_PRODUCT_STRUCT,
+    STATE_SCHEMA, SUPPLIER_CONFIG_STRUCT, import_row_schema, product_schema,
 )
 
 
@@ -117,13 +116,44 @@ def read_manifest(spark: SparkSession, path: str, streaming: bool = False) -> Da
     return reader.schema(MANIFEST_SCHEMA).json(path)
 
 
-def read_logs(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Non-blank log lines with the file they came from (one file per job)."""
-    reader = spark.readStream if streaming else spark.read
-    job = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[A-Za-z]+)*$", 1)
+def _raw_logs(reader, path: str, job: Column | None) -> DataFrame:
+    """Lines as scanned, with their file and the block it was read in; by default a file is named after its job."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[A-Za-z]+)*$", 1)
     return reader.text(path).select(
-        job.alias("job_id"), F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line")
-    ).filter(F.trim("line") != "")
+        (name if job is None else job).alias("job_id"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+
+
+def numbered_lines(raw: DataFrame) -> DataFrame:
+    """(job_id, ord, line) of scanned log lines, blank ones dropped; `ord` is the line's number in its file.
+
+    The number does not depend on how files are split or packed into tasks, nor on other files, so it
+    is the same in batch and stream and after a restart.  Lines are landed with their position in
+    the scan; one row per block then says how many lines precede it in its file.
+    """
+    scanned = landed(raw.withColumn("_at", F.monotonically_increasing_id()), "log-lines")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = scanned.groupBy("file", "block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_lines")).select(
+        "file", "block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    return join_checked(scanned.filter(F.trim("line") != ""), blocks, ["file", "block"], "inner").select(
+        "job_id", (F.col("_before") + F.col("_at") - F.col("_first")).alias("ord"), "line")
+
+
+def read_logs(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:
+    """Non-blank log lines (job_id, ord, line) of landed text files, one file per job."""
+    return numbered_lines(_raw_logs(spark.read, path, job))
+
+
+def read_log_stream(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:
+    """The same files as a stream; a batch gets its numbers from `numbered_lines`.  A file arrives whole."""
+    return _raw_logs(spark.readStream, path, job)
+
+
+def read_log_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Log events as a log service hands them out, one JSON object each; blank messages are dropped."""
+    reader = spark.readStream if streaming else spark.read
+    return reader.schema(LOG_EVENT_SCHEMA).json(path).select(
+        "job_id", F.col("timestamp").alias("at"), F.col("sequence").alias("ord"), F.col("message").alias("line")).filter(F.trim("line") != "")
 
 
 def read_states(spark: SparkSession, path: str) -> DataFrame:

@@ -105,21 +105,6 @@ def test_alert_thresholds(spark):
         "10 product errors out of 100 processed (10.0%).", "", "", ops.FAILED_MESSAGE]
 
 
-def test_incremental_diff_advances_state(spark, sf_dir):
-    from shelfspark.operators import diff
-    local = diff.payload_from_rows(view(spark, sf_dir, "items"))
-    landing = scratch_folder(spark, "landing")
-    local.limit(60).coalesce(1).write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(local.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    empty = local.drop("supplier_slug").limit(0)
-    folder = streams.workspace(spark, "two")
-    assert {r["action"] for r in streams.run_diff(stream, empty, folder).collect()} == {"create"}
-    local.limit(60).coalesce(1).write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(local.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    plan = streams.run_diff(stream, empty, folder)
-    assert {r["action"] for r in plan.filter("batch = 1").collect()} == {"unchanged"}
-
-
 def test_html_nesting_quotes_and_references(spark):
     page = ("<div class=\"d\">a <div>b</div> tail &#8211; &ndash; &#xE4; &amp;lt;</div><a href='/q'>x</a><a href=/z>y</a><a href=\"https://h.ch/z\">z</a>"
             "<nav>n<nav>m</nav>o</nav><p class='x d2'>one<p class=\"d2\">two</p>end<meta property='og:t' content='v &auml;'>")
