@@ -69,69 +69,74 @@ def row_tag(row_number: Column) -> Column:
     return F.concat(F.lit("row"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
 
 
-def with_unique_ids(rows: DataFrame, row_number: str = "row_number") -> DataFrame:
+def with_unique_ids(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> DataFrame:
     """Add `clean_id` (sanitised) and `final_id` (sanitised, later repeats suffixed).
 
+    With `within` (a supplier column) ids and row numbers are those of each supplier's own file.
+
     Only (row number, id) travels through the repeat search: first row numbers per id are
     map-side aggregates, so an id shared by a third of the rows costs one buffer entry per
     task.  The wide rows meet the resulting rename table on the unique row number, without
     a shuffle when few ids repeat.
     """
-    ids = landed(rows.select(row_number, sanitize_id(F.col("Item ID")).alias("clean_id")).withColumn(
+    keys = [*([within] if within else []), row_number]
+    ids = landed(rows.select(*keys, sanitize_id(F.col("Item ID")).alias("clean_id")).withColumn(
         "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id"))), "ids")
     sanitized = rows.withColumn("clean_id", sanitize_id(F.col("Item ID")))
     tagged = sanitized.withColumn(
         "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id")))
-    return join_checked(tagged, _renamed_ids(ids, row_number), row_number).withColumn(
+    return join_checked(tagged, _renamed_ids(ids, row_number, within), keys).withColumn(
         "final_id", F.coalesce("renamed_id", "clean_id")
     ).drop("renamed_id")
 
 
-def _renamed_ids(ids: DataFrame, n: str) -> DataFrame:
+def _renamed_ids(ids: DataFrame, n: str, within: str | None = None) -> DataFrame:
+    own = [within] if within else []
+    names_of = [*own, "clean_id"]
     repeated = (
-        ids.groupBy("clean_id")
+        ids.groupBy(*names_of)
         .agg(F.min(n).alias("first_row"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
-        .select(F.col("clean_id"), "first_row")
+        .select(*names_of, "first_row")
     )
     suffixed = F.concat_ws("-", "clean_id", row_tag(F.col(n)))
     renames = (
-        salted_join(ids, repeated, "clean_id", F.col(n))
+        salted_join(ids, repeated, names_of, F.col(n))
         .filter(F.col(n) > F.col("first_row"))
-        .select(n, suffixed.alias("renamed_id"))
+        .select(*own, n, suffixed.alias("renamed_id"))
     )
     # A raw id may already look like the suffixed name an earlier row has just been given, and
     # so on for names built on such an id.  Every round adds one suffix, so the rounds end.
     lookalikes = landed(ids.filter(F.col("clean_id").rlike(r"-row\d{5,}$")), "lookalikes")
     taken = renames = landed(renames, "renames")
     while lookalikes.take(1):
-        names = taken.select(F.col("renamed_id").alias("clean_id"), F.col(n).alias("taken_row"))
+        names = taken.select(*own, F.col("renamed_id").alias("clean_id"), F.col(n).alias("taken_row"))
         taken = landed(
-            lookalikes.join(names, "clean_id").filter(F.col("taken_row") < F.col(n))
-            .select(n, suffixed.alias("renamed_id")).distinct(), "renames")
+            lookalikes.join(names, names_of).filter(F.col("taken_row") < F.col(n))
+            .select(*own, n, suffixed.alias("renamed_id")).distinct(), "renames")
         if not taken.take(1):
             break
         renames = renames.unionByName(taken)
-    return renames.dropDuplicates([n])
+    return renames.dropDuplicates([*own, n])
 
 
 def _first_number(c: Column) -> Column:
     return feed_number(F.regexp_extract(c, NUMBER, 0))
 
 
-def clean_steps(rows: DataFrame, row_number: str = "row_number") -> tuple[DataFrame, dict[str, str], list[Step]]:
+def clean_steps(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> tuple[DataFrame, dict[str, str], list[Step]]:
     """Apply every rule; returns the staged frame, the final column per field, the steps."""
     final: dict[str, str] = {}
     steps: list[Step] = []
 
-    staged = with_unique_ids(rows, row_number)
+    staged = with_unique_ids(rows, row_number, within)
     steps.append(Step("Item ID", "sanitize_item_id", "raw_item_id", "clean_id"))
     steps.append(Step("Item ID", "deduplicate_sanitized_item_id", "clean_id", "final_id"))
 
     evidence = join_non_empty(
         " ", *[F.col(c) for c in ("Item name", "Description", "Category name", "Material")]
     )
-    stage = [F.col(row_number), F.col("clean_id"), F.col("final_id"), evidence.alias("evidence")]
+    stage = [*([within] if within else []), F.col(row_number), F.col("clean_id"), F.col("final_id"), evidence.alias("evidence")]
     for name in IMPORT_COLUMNS:
         tag = _tag(name)
         source = "final_id" if name == "Item ID" else name
@@ -285,19 +290,19 @@ def _labels(c: Column) -> Column:
     return F.array_join(kept, ",")
 
 
-def clean_catalog(rows: DataFrame, row_number: str = "row_number") -> DataFrame:
-    """Cleaned import rows: row number plus the 46 columns in file order."""
-    staged, final, _ = clean_steps(rows, row_number)
-    return staged.select(row_number, *[F.col(final[c]).alias(c) for c in IMPORT_COLUMNS])
+def clean_catalog(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> DataFrame:
+    """Cleaned import rows: the supplier, if there is one, row number and the 46 columns in file order."""
+    staged, final, _ = clean_steps(rows, row_number, within)
+    return staged.select(*([within] if within else []), row_number, *[F.col(final[c]).alias(c) for c in IMPORT_COLUMNS])
 
 
-def clean_corrections(rows: DataFrame, row_number: str = "row_number") -> DataFrame:
+def clean_corrections(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> DataFrame:
     """One row per changed field and rule."""
-    staged, _, steps = clean_steps(rows, row_number)
-    return _corrections(staged, steps, row_number)
+    staged, _, steps = clean_steps(rows, row_number, within)
+    return _corrections(staged, steps, row_number, within)
 
 
-def _corrections(staged: DataFrame, steps: list[Step], row_number: str) -> DataFrame:
+def _corrections(staged: DataFrame, steps: list[Step], row_number: str, within: str | None = None) -> DataFrame:
     def candidate(step: Step) -> str:
         id_after = "clean_id" if step.reason == "sanitize_item_id" else "final_id"
         return (
@@ -309,23 +314,24 @@ def _corrections(staged: DataFrame, steps: list[Step], row_number: str) -> DataF
     # ones never leave it.
     return (
         staged.select(
-            F.col(row_number).cast("string").alias("row_number"),
+            *([within] if within else []), F.col(row_number).cast("string").alias("row_number"),
             F.col("raw_item_id").alias("item_id_before"),
             F.expr(f"inline(array({', '.join(candidate(s) for s in steps)}))"),
         )
         .filter("value_before <> value_after")
-        .select(*CORRECTION_COLUMNS)
+        .select(*([within] if within else []), *CORRECTION_COLUMNS)
     )
 
 
-def clean_both(rows: DataFrame, row_number: str = "row_number") -> tuple[DataFrame, DataFrame]:
+def clean_both(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Cleaned rows and corrections; the rules run once, and both outputs read what they left."""
-    staged, final, steps = clean_steps(rows, row_number)
-    needed = dict.fromkeys([row_number, "raw_item_id", "clean_id", "final_id", *(final[c] for c in IMPORT_COLUMNS),
+    staged, final, steps = clean_steps(rows, row_number, within)
+    own = [within] if within else []
+    needed = dict.fromkeys([*own, row_number, "raw_item_id", "clean_id", "final_id", *(final[c] for c in IMPORT_COLUMNS),
                             *(c for s in steps for c in (s.before, s.after))])
     staged = landed(staged.select(*needed), "cleaning")
-    cleaned = staged.select(row_number, *[F.col(final[c]).alias(c) for c in IMPORT_COLUMNS])
-    return cleaned, _corrections(staged, steps, row_number)
+    cleaned = staged.select(*own, row_number, *[F.col(final[c]).alias(c) for c in IMPORT_COLUMNS])
+    return cleaned, _corrections(staged, steps, row_number, within)
 
 
 def corrections_by_reason(corrections: DataFrame) -> DataFrame:

@@ -150,7 +150,7 @@ def _of_run(remote: DataFrame, run: DataFrame, supplier: str) -> DataFrame:
 def last_per_id(local: DataFrame, supplier: str, order: str | None, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """The landed feed, and (supplier, id, _local, _at) of the row that counts per id.
 
-    Of several rows with one id the last by `order` (else by position) counts; rows that share the place too are
+    Of several rows of a supplier with one id the last by `order` (else by position) counts; rows that share the place too are
     ordered by their content, so the choice does not depend on partitions.  `limit` keeps that many
     ids per supplier, in id order, after ids are unique.
     """
@@ -158,9 +158,10 @@ def last_per_id(local: DataFrame, supplier: str, order: str | None, limit: int |
         F.col(supplier), "id", fingerprint(local).alias("_local"), F.to_json(F.struct(*PAYLOAD_FIELDS)).alias("_payload"),
         (F.col(order).cast("bigint") if order else F.monotonically_increasing_id()).alias("_place"),
         F.monotonically_increasing_id().alias("_at")), "feed")
-    # one narrow shuffle on the id; neither payloads nor a sort of them
-    picked = feed.groupBy("id").agg(F.max(F.struct("_place", F.xxhash64("_payload"), "_at", supplier, "_local")).alias("p"))
-    last = picked.select(F.col(f"p.{supplier}").alias(supplier), "id", "p._local", "p._at")
+    # one narrow shuffle on the id, which the join with the other side uses again; no payloads
+    narrow = feed.select(supplier, "id", "_local", "_place", "_at", F.xxhash64("_payload").alias("_content")).repartition("id")
+    picked = narrow.groupBy("id", supplier).agg(F.max(F.struct("_place", "_content", "_at", "_local")).alias("p"))
+    last = picked.select(supplier, "id", "p._local", "p._at")
     if limit is not None:
         place = F.row_number().over(Window.partitionBy(supplier).orderBy("id"))
         last = last.withColumn("_nth", place).filter(F.col("_nth") <= limit).drop("_nth")

@@ -88,17 +88,18 @@ def first_seen_links(links: DataFrame, key: str = "identity", within: list[str]
         F.min_by("url", "page_index").alias("url"), F.min("page_index").alias("first_page"))
 
 
-def checksum(products: DataFrame, columns: list[str]) -> DataFrame:
-    """Order-independent catalogue fingerprint that keeps duplicate rows apart.
+def checksum(products: DataFrame, columns: list[str], within: list[str] | None = None) -> DataFrame:
+    """Order-independent catalogue fingerprint that keeps duplicate rows apart, per `within` key if there is one.
 
     Row hashes are added, not collected: one small buffer per task at any catalogue size.
     """
     digest = F.sha1(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
     part = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
-    return products.select(part.alias("h")).agg(
+    own = within or []
+    return products.select(*own, part.alias("h")).groupBy(*own).agg(
         F.count(F.lit(1)).alias("product_count"),
         F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("hash_sum"),
-    ).select("product_count", F.sha1(F.concat_ws(":", F.col("product_count"), F.col("hash_sum"))).alias("checksum"))
+    ).select(*own, "product_count", F.sha1(F.concat_ws(":", F.col("product_count"), F.col("hash_sum"))).alias("checksum"))
 
 
 def export_order(products: DataFrame) -> DataFrame:

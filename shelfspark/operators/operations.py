@@ -228,6 +228,92 @@ def run_summary(products: DataFrame, failures: DataFrame, discovered: DataFrame,
         (F.col("created_products") + F.col("updated_products")).alias("uploaded_products"))
 
 
+# Error texts that a summary carries; the run's error file has all of them.
+ERRORS_IN_SUMMARY = 20
+
+
+def finding_messages(findings: DataFrame, duplicates: DataFrame, supplier: str = "supplier_slug") -> DataFrame:
+    """(supplier, severity, message): one text per finding and per repeated id."""
+    said = F.concat_ws(": ", "rule", F.coalesce("item_id", F.lit("")), F.nullif("value", F.lit("")))
+    repeated = F.concat(F.lit("duplicate_item_id: "), F.col("item_id"), F.lit(" x"), F.col("copies").cast("string"))
+    return findings.select(supplier, "severity", said.alias("message")).unionByName(
+        duplicates.select(supplier, F.lit("error").alias("severity"), repeated.alias("message")))
+
+
+def supplier_summary(
+    products: DataFrame, failures: DataFrame, discovered: DataFrame, gate: DataFrame, corrections: DataFrame, messages: DataFrame,
+    plan_counts: DataFrame | None, mode: str, generated_at: str, dry_run: bool = False, checksum: DataFrame | None = None,
+    rows: DataFrame | None = None, remote: DataFrame | None = None, covered: DataFrame | None = None,
+    output_paths: dict[str, str] | None = None, supplier: str = "supplier_slug",
+) -> DataFrame:
+    """One row per supplier of a run: counters, texts, output paths and the scrape, validation and sync stages.
+
+    Every input has a supplier column; `discovered` has url, `remote` the catalogue before the run with the owner as
+    supplier, `covered` (supplier, covered_product_url_count) overrides rows plus failures where it has a supplier.
+    Counters are summed in one aggregation over stacked partial counts; rows of a hot supplier are counted where they lie.
+    Suppliers are those with a product, a failure, a discovered URL or a gate.  `errors` holds the first
+    `ERRORS_IN_SUMMARY` texts in text order, `error_count` counts all.
+    """
+    def count(df: DataFrame | None, *named) -> list[DataFrame]:
+        return [] if df is None else [df.groupBy(supplier).agg(*[c.cast("bigint").alias(n) for n, c in named])]
+
+    one = F.count(F.lit(1))
+    raw = F.count_if(F.coalesce(F.col("stage"), F.lit("detail")) != "listing") if "stage" in failures.columns else one
+    parts = [
+        *count(products, ("product_count", one)), *count(failures, ("failure_count", one), ("_raw_failures", raw)),
+        *count(discovered, ("discovered_product_url_count", F.count_distinct("url"))), *count(corrections, ("correction_count", one)),
+        *count(remote, ("old_catalog_products", one)), *count(covered, ("_covered", F.max("covered_product_url_count"))),
+        *count(rows, ("_images", F.count_if(F.col("Image") != "")), ("_rows", one)),
+        gate.select(supplier, "row_count", "passed_row_count", "error_count", F.col("is_valid").cast("bigint").alias("_valid")),
+    ]
+    counters = [*_PLAN_COUNTERS, *_CATEGORY_COUNTERS]
+    if plan_counts is not None:
+        parts.append(plan_counts.select(supplier, *[c for c in counters if c in plan_counts.columns]))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    summed = [c for c in stacked.columns if c != supplier]
+    row = stacked.groupBy(supplier).agg(*[F.sum(c).alias(c) for c in summed])
+    known = {"product_count", "failure_count", "_raw_failures", "discovered_product_url_count", "correction_count", "old_catalog_products", "_images", "_rows",
+             "row_count", "passed_row_count", "error_count", *counters}
+    row = row.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") if c in summed else F.lit(0).cast("bigint") for c in known})
+    row = row.withColumns({"is_valid": F.coalesce(F.col("_valid") == 1, F.lit(True)),
+                           "covered_product_url_count": F.coalesce(*([F.col("_covered")] if covered is not None else []), F.col("_rows") + F.col("failure_count"))})
+    # a few lines per supplier: the rank filter runs before the shuffle as well
+    first = F.row_number().over(Window.partitionBy(supplier).orderBy("message"))
+    texts = messages.filter("severity = 'error'").withColumn("_nth", first).filter(F.col("_nth") <= ERRORS_IN_SUMMARY)
+    row = row.join(texts.groupBy(supplier).agg(F.sort_array(F.collect_list("message")).alias("errors")), supplier, "left")
+    if checksum is not None:
+        row = row.join(checksum.select(supplier, "checksum"), supplier, "left")
+    number = lambda c: F.col(c).cast("string")
+    warnings = F.array_compact(F.array(
+        F.when(F.col("covered_product_url_count") < F.col("discovered_product_url_count"), F.concat(
+            F.lit("not_fully_covered: "), number("covered_product_url_count"), F.lit(" of "), number("discovered_product_url_count"))),
+        F.when(F.col("failure_count") > 0, F.concat(F.lit("failed_urls: "), number("failure_count"))),
+        F.when(F.col("_images") == 0, F.lit("no_images"))))
+    synced = F.col("is_valid") & F.lit(plan_counts is not None)
+    aborted = ~F.col("is_valid") & F.lit(mode != "scrape_only")
+    row = row.withColumns({
+        "errors": F.coalesce("errors", F.array().cast("array<string>")), "warnings": warnings, "checksum": F.coalesce("checksum", F.lit("")) if checksum is not None else F.lit(""),
+        "sync_performed": synced, "sync_aborted": aborted, "sync_reason": F.when(aborted, "validation_errors").otherwise(""),
+        "uploaded_products": F.col("created_products") + F.col("updated_products"),
+        "raw_record_count": F.col("product_count") + F.col("_raw_failures"), "interpreted_record_count": F.col("product_count")})
+    c = F.col
+    scrape = F.struct(F.lit(mode in SCRAPE_MODES).alias("performed"), *[c(n) for n in (
+        "product_count", "failure_count", "discovered_product_url_count", "covered_product_url_count", "raw_record_count", "interpreted_record_count")])
+    validation = F.struct(F.lit(True).alias("performed"), c("row_count"), c("passed_row_count"), c("error_count"), F.size("warnings").cast("bigint").alias("warning_count"), c("errors"), c("warnings"))
+    sync = F.struct(c("sync_performed").alias("performed"), F.lit(dry_run).alias("dry_run"), c("sync_aborted").alias("aborted"), c("old_catalog_products"),
+                    *[c(n) for n in counters], c("uploaded_products"), c("sync_reason").alias("reason"))
+    paths = F.map_from_arrays(F.array(*map(F.lit, output_paths or [])).cast("array<string>"),
+                              F.array(*[F.concat(F.lit(f"{p}/{supplier}="), c(supplier)) for p in (output_paths or {}).values()]).cast("array<string>"))
+    return row.select(
+        supplier, F.lit(mode).alias("mode"), F.lit(generated_at).alias("generated_at"), F.lit(dry_run).alias("dry_run"),
+        *[c(n) for n in ("product_count", "failure_count", "discovered_product_url_count", "covered_product_url_count", "raw_record_count", "interpreted_record_count",
+                         "row_count", "passed_row_count", "error_count", "is_valid", "correction_count", "checksum", "old_catalog_products", *counters,
+                         "uploaded_products", "sync_performed", "sync_aborted", "sync_reason", "errors", "warnings")],
+        paths.alias("output_paths"), F.struct(scrape.alias("scrape"), validation.alias("validation"), sync.alias("sync")).alias("stages"))
+
+
 def latest_state(states: DataFrame) -> DataFrame:
     """The last good run of each supplier from the appended run states."""
     return latest_per_key(states, ["supplier_slug"], "generated_at", ties=("checksum",))

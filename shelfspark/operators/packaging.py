@@ -368,14 +368,14 @@ def interpret_packaging(products: DataFrame) -> DataFrame:
     return apply_decisions(decide_packaging(products))
 
 
-def audit_of(decided: DataFrame, item_id: str = "item_id") -> DataFrame:
+def audit_of(decided: DataFrame, item_id: str = "item_id", keep: list[str] | None = None) -> DataFrame:
     """Old and new values of every decided product that changed or got a mode."""
     changed = F.col("decision.packaging_mode") != ""
     for name in DECIDED:
         changed = changed | (text(F.col(name)) != F.col(f"decision.{name}"))
     label = lambda name: name.replace("_", " ")
     return keep_where(decided, changed).select(
-        F.col(item_id).alias("Item ID"), F.col("item_name").alias("Item name"),
+        *(keep or []), F.col(item_id).alias("Item ID"), F.col("item_name").alias("Item name"),
         *[text(F.col(n)).alias(f"Old {label(n)}") for n in DECIDED],
         *[F.col(f"decision.{n}").alias(f"New {label(n)}") for n in DECIDED],
         F.col("decision.packaging_mode").alias("Interpretation mode"),

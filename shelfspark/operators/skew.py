@@ -15,7 +15,7 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def salted_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread: Column, how: str = "inner", salts: int = SALTS
+    rows: DataFrame, lookup: DataFrame, key: str | list[str], spread: Column, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
     """Join many rows to at most one lookup row per key, splitting every key over `salts` tasks.
 
@@ -23,7 +23,7 @@ def salted_join(
     """
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, [*([key] if isinstance(key, str) else key), "_salt"], how).drop("_salt")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

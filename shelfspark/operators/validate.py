@@ -14,8 +14,8 @@ DUPLICATES_REPORTED = 20
 
 
 def schema_findings(rows: DataFrame) -> list[str]:
-    """Column order check; metadata only, no job."""
-    present = [c for c in rows.columns if c in IMPORT_COLUMNS]
+    """Check of the columns of a file of import rows, extra ones included; metadata only, no job."""
+    present = [c for c in rows.columns if c not in ("row_number", "supplier_slug")]
     return [] if present == IMPORT_COLUMNS else ["columns do not match the required order"]
 
 
@@ -38,18 +38,19 @@ def reported_duplicates(rows: DataFrame) -> DataFrame:
     return duplicate_ids(rows).orderBy("item_id").limit(DUPLICATES_REPORTED)
 
 
-def _findings(df: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+def _findings(df: DataFrame, checks: list[tuple[str, Column, Column]], within: str | None = None) -> DataFrame:
+    own = [within] if within else []
     candidates = F.array(*[
         F.when(bad, F.struct(F.lit(rule).alias("rule"), value.alias("value"))) for rule, bad, value in checks
     ])
     return (
-        df.select(F.col("Item ID").alias("item_id"), F.explode(candidates).alias("f"))
+        df.select(*own, F.col("Item ID").alias("item_id"), F.explode(candidates).alias("f"))
         .filter("f IS NOT NULL")
-        .select(F.lit("error").alias("severity"), "f.rule", "item_id", "f.value")
+        .select(*own, F.lit("error").alias("severity"), "f.rule", "item_id", "f.value")
     )
 
 
-def row_findings(rows: DataFrame) -> DataFrame:
+def row_findings(rows: DataFrame, within: str | None = None) -> DataFrame:
     """One error per row and broken field rule.
 
     The currency test looks for single characters, so any C, H or F in a price counts.
@@ -62,13 +63,14 @@ def row_findings(rows: DataFrame) -> DataFrame:
     ]
     checks = [(rule, ~F.col(c).isin(allowed), F.col(c)) for rule, c, allowed in member]
     checks.append(("currency_in_price", F.col("Price").rlike("[CHF€$]"), F.col("Price")))
-    return _findings(rows, checks)
+    return _findings(rows, checks, within)
 
 
-def packaging_findings(rows: DataFrame, products: DataFrame, on: str = "row_number") -> DataFrame:
+def packaging_findings(rows: DataFrame, products: DataFrame, on: str = "row_number", within: str | None = None) -> DataFrame:
     """Rows whose bundle fields contradict the interpretation mode of their product."""
-    modes = products.select(on, "packaging_mode", "packaging_evidence", F.col("price").alias("_product_price"))
-    joined = rows.join(modes, on)
+    keys = [*([within] if within else []), on]
+    modes = products.select(*keys, "packaging_mode", "packaging_evidence", F.col("price").alias("_product_price"))
+    joined = rows.join(modes, keys)
     mode, bundle = F.col("packaging_mode"), F.col("Bundle size")
     divided = mode == "preserve_inner_unit_divide_price"
     evidence, none = F.col("packaging_evidence"), F.lit("")
@@ -78,7 +80,7 @@ def packaging_findings(rows: DataFrame, products: DataFrame, on: str = "row_numb
         ("missing_bundle_size", divided & (bundle == ""), none),
         ("bundle_price_not_divided", divided & (bundle == "") & (F.col("Price") == F.col("_product_price")), none),
         ("flattened_pack_has_bundle", (mode == "flatten_piece_pack") & (bundle != ""), none),
-    ])
+    ], within)
 
 
 def coverage(rows: DataFrame, discovered: DataFrame, failures: DataFrame) -> DataFrame:
@@ -109,3 +111,19 @@ def validation_gate(rows: DataFrame, findings: DataFrame, duplicates: DataFrame)
         "row_count", error_count.alias("error_count"), (error_count == 0).alias("is_valid"),
         F.when(error_count == 0, F.col("row_count")).otherwise(0).alias("passed_row_count"),
     )
+
+
+def supplier_gate(rows: DataFrame, findings: DataFrame, duplicates: DataFrame, supplier: str) -> DataFrame:
+    """The gate of every supplier that has a row or a finding: its rows pass all together or not at all.
+
+    The three inputs are stacked and summed once, map side first, so a hot supplier is one row a task.
+    """
+    def part(df: DataFrame, row: int, error: int, repeated: int) -> DataFrame:
+        return df.select(supplier, F.lit(row).alias("row"), F.lit(error).alias("error"), F.lit(repeated).alias("repeated"))
+
+    stacked = part(rows, 1, 0, 0).unionByName(part(findings, 0, 1, 0)).unionByName(part(duplicates, 0, 0, 1))
+    errors = F.col("row_errors") + F.col("duplicate_errors")
+    return stacked.groupBy(supplier).agg(
+        F.sum("row").alias("row_count"), F.sum("error").alias("row_errors"), F.max("repeated").alias("duplicate_errors")).select(
+        supplier, "row_count", errors.cast("bigint").alias("error_count"), (errors == 0).alias("is_valid"),
+        F.when(errors == 0, F.col("row_count")).otherwise(0).alias("passed_row_count"))

@@ -72,7 +72,7 @@ def is_int(e: str) -> str:
     return f"coalesce(try_cast({e} AS double) = floor(try_cast({e} AS double)), false)"
 
 
-def clean_ctes(source: str) -> str:
+def clean_ctes(source: str, within: str = "") -> str:
     sanitized = (
         r"regexp_replace(regexp_replace(regexp_replace(replace(replace("
         + strip('"Item ID"') + r", '/', '-'), chr(92), '-'), '\s+', '-', 'g'), '[^a-zA-Z0-9.~_%-]+', '-', 'g'), '-{2,}', '-', 'g')"
@@ -97,11 +97,12 @@ def clean_ctes(source: str) -> str:
         return f"regexp_extract(evidence, '{pattern}', {group}, 'i')"
 
     product = "try_cast(m_count AS double) * try_cast(m_size AS double)"
+    own, own_b, same = (f"{within}, ", f"b.{within}, ", f" AND a.{within} = b.{within}") if within else ("", "", "")
     return f"""
 s1 AS (SELECT *, CASE WHEN {sanitized} = '' THEN {rownum_tag()} ELSE {sanitized} END AS clean_id FROM {source}),
-s2 AS (SELECT *, row_number > min(row_number) OVER (PARTITION BY clean_id) AS repeated, clean_id || '-' || {rownum_tag()} AS suffixed FROM s1),
-d AS (SELECT row_number, suffixed FROM s2 WHERE repeated
-      UNION SELECT b.row_number, b.suffixed FROM s2 b JOIN d a ON a.suffixed = b.clean_id AND a.row_number < b.row_number),
+s2 AS (SELECT *, row_number > min(row_number) OVER (PARTITION BY {own}clean_id) AS repeated, clean_id || '-' || {rownum_tag()} AS suffixed FROM s1),
+d AS (SELECT {own}row_number, suffixed FROM s2 WHERE repeated
+      UNION SELECT {own_b}b.row_number, b.suffixed FROM s2 b JOIN d a ON a.suffixed = b.clean_id AND a.row_number < b.row_number{same}),
 s3 AS (SELECT *, CASE WHEN row_number IN (SELECT row_number FROM d) THEN suffixed ELSE clean_id END AS final_id FROM s2),
 s4 AS (SELECT *, concat_ws(' ', nullif("Item name", ''), nullif("Description", ''), nullif("Category name", ''), nullif("Material", '')) AS evidence, {empties} FROM s3),
 s5 AS (SELECT *, CASE WHEN n_category_name = '' THEN 'Uncategorized' ELSE n_category_name END AS e_category, {enum_sql},
@@ -140,9 +141,9 @@ FINAL = {
 }
 
 
-def clean_oracle(source: str | None = None) -> str:
+def clean_oracle(source: str | None = None, within: str = "") -> str:
     cols = ", ".join(f"{FINAL.get(c, 'n_' + tag(c))} AS {q(c)}" for c in IMPORT_COLUMNS)
-    return f"WITH RECURSIVE {clean_ctes(source or duck('feed') + ' feed')} SELECT row_number, {cols} FROM cleaned"
+    return f"WITH RECURSIVE {clean_ctes(source or duck('feed') + ' feed', within)} SELECT {within + ', ' if within else ''}row_number, {cols} FROM cleaned"
 
 
 def cleaned_subquery(source: str | None = None) -> str:

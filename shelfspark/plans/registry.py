@@ -5,11 +5,11 @@ from __future__ import annotations
 import functools
 
 from shelfspark.plans import (
-    catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries,
+    catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries, supplier_queries,
 )
 from shelfspark.session import configure
 
-_MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries]
+_MODULES = [catalog_queries, extract_queries, operations_queries, packaging_queries, relational_queries, source_queries, supplier_queries]
 
 
 def _configured(query):

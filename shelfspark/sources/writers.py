@@ -12,7 +12,7 @@ ARTIFACTS = {
     "csv": "products.csv", "corrections": "corrections.csv", "audit": "packaging_audit.csv", "raw": "products_raw.jsonl",
     "failures": "products_failures.jsonl", "diagnostics": "listing_diagnostics.jsonl", "summary": "run_summary.json",
     "report": "sync_report.json", "state": "state.json", "remote_products": "remote_products.json",
-    "remote_categories": "remote_categories.json",
+    "remote_categories": "remote_categories.json", "messages": "validation_messages.jsonl",
 }
 
 
@@ -20,13 +20,18 @@ def artifact_path(root: str, artifact: str) -> str:
     return f"{root.rstrip('/')}/{ARTIFACTS[artifact]}"
 
 
+def _of_supplier(writer, supplier: str):
+    """One folder per supplier; an overwrite replaces those of the run's suppliers and leaves all others."""
+    return writer.partitionBy(supplier).option("partitionOverwriteMode", "dynamic")
+
+
 def _csv(df: DataFrame, path: str, columns: list[str], supplier: str | None) -> None:
     kept = df.select(*([supplier] if supplier else []), *columns)
     writer = (
         kept.write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     )
-    (writer.partitionBy(supplier) if supplier else writer).csv(path)
+    (_of_supplier(writer, supplier) if supplier else writer).csv(path)
 
 
 def write_import_csv(rows: DataFrame, path: str, supplier: str | None = None) -> None:
@@ -44,7 +49,7 @@ def write_audit(audit: DataFrame, path: str, supplier: str | None = None) -> Non
 def write_jsonl(df: DataFrame, path: str, supplier: str | None = None, append: bool = False) -> None:
     """One object per line, empty fields kept, text unescaped."""
     writer = df.write.mode("append" if append else "overwrite").option("ignoreNullFields", False)
-    (writer.partitionBy(supplier) if supplier else writer).json(path)
+    (_of_supplier(writer, supplier) if supplier else writer).json(path)
 
 
 def append_state(summary: DataFrame, path: str, export_folder: str = "") -> None:
