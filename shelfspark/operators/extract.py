@@ -500,12 +500,22 @@ LISTING_ELEMENT = (
     "cover:struct<media:struct<url:string>>,media:array<struct<media:struct<url:string>>>,"
     f"seoCategory:{CATEGORY},categories:array<{CATEGORY}>,properties:array<struct<name:string,translated:struct<name:string>>>,"
     "manufacturer:struct<name:string,translated:struct<name:string>>,customFields:map<string,string>,"
-    f"extensions:struct<teaProductExtension:struct<googleLink:string,displayCategory:{CATEGORY}>>>"
+    "extensions:struct<teaProductExtension:string>>"  # an open object, kept as JSON
 )
+TEA_EXTENSION = f"struct<googleLink:string,displayCategory:{CATEGORY}>"
+# Keys of the tea extension that are no specification.
+TEA_NO_SPECS = ("translated", "displayCategory", "apiAlias", "createdAt", "updatedAt")
 LISTING_PAGE = f"struct<total:bigint,page:bigint,elements:array<{LISTING_ELEMENT}>>"
 GRAM_FIELD = "product_detail_custom_fields_weight_in_gram"
 
 
+def _named_specs(fields: Column, prefix: str) -> Column:
+    """Text, number and boolean fields that are not empty, with prefixed names; objects and lists are left out."""
+    known = F.map_filter(F.coalesce(fields, F.create_map().cast("map<string,string>")),
+                         lambda _, v: F.coalesce((collapse_space(v) != "") & ~F.ltrim(v).rlike(r"^[\[{]"), F.lit(False)))
+    return F.transform_values(F.transform_keys(known, lambda k, _: F.concat(F.lit(prefix), k)), lambda _, v: collapse_space(v))
+
+
 def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand: str, fallback_category: str) -> DataFrame:
     """Listing API pages (page_index, json) -> one record per product id, the last page wins."""
     pages = payloads.select("page_index", F.from_json("json", LISTING_PAGE).alias("l"))
@@ -516,8 +526,11 @@ def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand:
         return collapse_space(first_non_empty(node["translated"][field], node[field]))
 
     e = F.col("e")
+    extension = e["extensions"]["teaProductExtension"]
+    tea = F.from_json(extension, TEA_EXTENSION)
+    tea_fields = F.map_filter(F.from_json(extension, "map<string,string>"), lambda k, _: ~k.isin(*TEA_NO_SPECS))
     crumb_lists = F.array_compact(F.concat(
-        F.array(e["seoCategory"]), F.coalesce(e["categories"], F.array()), F.array(e["extensions"]["teaProductExtension"]["displayCategory"])))
+        F.array(e["seoCategory"]), F.coalesce(e["categories"], F.array()), F.array(tea["displayCategory"])))
     paths = F.transform(crumb_lists, lambda c: F.filter(
         F.transform(F.coalesce(c["translated"]["breadcrumb"], c["breadcrumb"], F.array()), collapse_space), lambda x: x != ""))
     paths = F.transform(paths, lambda p: F.when(F.try_element_at(p, F.lit(1)) == root_crumb, F.slice(p, F.lit(2), F.size(p))).otherwise(p))
@@ -531,7 +544,7 @@ def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand:
     grams = F.try_element_at(e["customFields"], F.lit(GRAM_FIELD))
     weight = F.nullif(e["weight"], F.lit(0.0))
     number = lambda c: F.coalesce(trimmed_four_decimals(c.cast("string")), F.lit(""))
-    region = collapse_space(text(e["extensions"]["teaProductExtension"]["googleLink"]))
+    region = collapse_space(text(tea["googleLink"]))
     url = F.concat(F.lit(f"{base_url.rstrip('/')}/shop/detail/"), F.col("id"))
     vessel_unit = F.when(packed, unit).when(has_text(grams), "g").when(weight.isNotNull(), "kg").otherwise("")
     staged = latest.withColumn("url", url)
@@ -547,9 +560,8 @@ def listing_products(payloads: DataFrame, base_url: str, root_crumb: str, brand:
         "vessel_size": F.when(packed, size).when(has_text(grams), number(grams)).otherwise(number(weight)),
         "vessel_unit": vessel_unit, "vessel_type": F.when(vessel_unit == "st", "piece").otherwise(""),
         "raw_bundle_text": pack, "total_weight": number(e["weight"]),
-    }, specs=F.map_from_arrays(
-        F.concat(F.transform(F.map_keys(F.coalesce(e["customFields"], F.create_map().cast("map<string,string>"))), lambda k: F.concat(F.lit("custom_"), k)),
-                 F.array(F.lit("product_id"), F.lit("stock"))),
-        F.concat(F.map_values(F.coalesce(e["customFields"], F.create_map().cast("map<string,string>"))), F.array(F.col("id"), number(e["stock"])))),
+    }, specs=F.map_concat(
+        _named_specs(tea_fields, "tea_"), _named_specs(e["customFields"], "custom_"),
+        F.create_map(F.lit("product_id"), F.col("id"), F.lit("stock"), number(e["stock"]))),
         labels=F.array_distinct(F.filter(F.transform(F.coalesce(e["properties"], F.array()), lambda p: collapse_space(
             first_non_empty(p["translated"]["name"], p["name"]))), lambda x: x != ""))).filter("product_name <> ''")

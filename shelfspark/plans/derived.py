@@ -291,7 +291,8 @@ LISTING_ELEMENT = (
     "'{\"id\": \"t' || cast(k - k % 2 AS string) || '\", \"productNumber\": \"N' || cast(k AS string) || '\", \"name\": \"' || noun || '\", \"translated\": {\"name\": \"' || CASE WHEN v % 2 = 0 THEN noun || ' (dt)' ELSE '' END || '\", \"packUnit\": \"' || "
     "CASE cast(v % 3 AS int) WHEN 0 THEN '100 g Beutel / 2 kg' WHEN 1 THEN '12 Stk à 5 g' ELSE '' END || '\"}, \"active\": true, \"available\": ' || CASE WHEN v % 4 = 0 THEN 'false' ELSE 'true' END || ', \"calculatedPrice\": {\"unitPrice\": ' || cast(whole AS string) || '.' || frac || '}, "
     "\"tax\": {\"taxRate\": 2.6}, \"weight\": ' || CASE WHEN v % 5 = 0 THEN '0' ELSE '0.25' END || ', \"cover\": {\"media\": {\"url\": \"https://img.example.com/t' || cast(k AS string) || '\"}}, \"categories\": [{\"breadcrumb\": [\"Root\", \"' || kind || '\", \"' || brand || '\"]}], "
-    "\"properties\": [{\"name\": \"Bio\"}, {\"name\": \"x\", \"translated\": {\"name\": \"Bio\"}}, {\"name\": \"Fair\"}], \"extensions\": {\"teaProductExtension\": {\"googleLink\": \"Japan / Uji\"}}}'"
+    "\"properties\": [{\"name\": \"Bio\"}, {\"name\": \"x\", \"translated\": {\"name\": \"Bio\"}}, {\"name\": \"Fair\"}], \"stock\": ' || cast(v % 50 AS string) || ', \"customFields\": {\"steep\": \"' || CASE WHEN v % 4 = 0 THEN ' ' ELSE cast(v % 9 AS string) || ' min' END || '\", \"nested\": {\"a\": 1}}, "
+    "\"extensions\": {\"teaProductExtension\": {\"googleLink\": \"Japan / ' || brand || '\", \"harvest\": ' || cast(v % 4 + 2020 AS string) || ', \"garden\": \"' || CASE WHEN v % 2 = 0 THEN '' ELSE '  Hill  ' || noun END || '\", \"apiAlias\": \"x\", \"translated\": {\"a\": \"b\"}}}}'"
 )
 
 # Crawl, job and log inputs.

@@ -45,7 +45,8 @@ def _listing(spark, sf):
     out = extract.listing_products(pages, "https://tea.example.com/", "Root", "Teahouse", "Tee")
     return out.select("product_url", "sku", "product_name", "price", "vat", "status", "category_path", "image_url", "vessel_size",
                       "vessel_unit", "vessel_type", "country", "region", F.array_join("labels", "|").alias("labels"),
-                      F.col("specs")["stock"].alias("stock"))
+                      *[F.col("specs")[name].alias(name) for name in ("stock", "tea_harvest", "tea_garden", "tea_googleLink", "custom_steep")],
+                      F.array_join(F.array_sort(F.map_keys("specs")), "|").alias("spec_names"))
 
 
 def _diagnostics(spark, sf):
@@ -162,7 +163,9 @@ ORACLES = {
     "listing_explode": f"""SELECT 'https://tea.example.com/shop/detail/t' || cast(k - k % 2 AS varchar) AS product_url, 'N' || cast(k AS varchar) AS sku, noun || CASE WHEN v % 2 = 0 THEN ' (dt)' ELSE '' END AS product_name, {_money()} AS price, '2.6' AS vat,
   CASE WHEN v % 4 = 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, kind || ' > ' || brand AS category_path, 'https://img.example.com/t' || cast(k AS varchar) AS image_url,
   CASE v % 3 WHEN 0 THEN '100' WHEN 1 THEN '12' ELSE CASE WHEN v % 5 = 0 THEN '' ELSE '0.25' END END AS vessel_size, CASE v % 3 WHEN 0 THEN 'g' WHEN 1 THEN 'st' ELSE CASE WHEN v % 5 = 0 THEN '' ELSE 'kg' END END AS vessel_unit,
-  CASE WHEN v % 3 = 1 THEN 'piece' ELSE '' END AS vessel_type, 'Japan' AS country, 'Japan / Uji' AS region, 'Bio|Fair' AS labels, '' AS stock
+  CASE WHEN v % 3 = 1 THEN 'piece' ELSE '' END AS vessel_type, 'Japan' AS country, 'Japan / ' || brand AS region, 'Bio|Fair' AS labels, cast(v % 50 AS varchar) AS stock,
+  cast(v % 4 + 2020 AS varchar) AS tea_harvest, CASE WHEN v % 2 <> 0 THEN 'Hill ' || noun END AS tea_garden, 'Japan / ' || brand AS "tea_googleLink", CASE WHEN v % 4 <> 0 THEN cast(v % 9 AS varchar) || ' min' END AS custom_steep,
+  CASE WHEN v % 4 <> 0 THEN 'custom_steep|' ELSE '' END || 'product_id|stock|' || CASE WHEN v % 2 <> 0 THEN 'tea_garden|' ELSE '' END || 'tea_googleLink|tea_harvest' AS spec_names
   FROM (SELECT *, row_number() OVER (PARTITION BY k - k % 2 ORDER BY k DESC) AS rn FROM {_PC}) x WHERE rn = 1""",
     "dimensions": f"""SELECT sku, CASE v % 4 WHEN 1 THEN '120' WHEN 3 THEN '60' ELSE '' END AS length, CASE v % 4 WHEN 1 THEN '80' WHEN 3 THEN '40' ELSE '' END AS width, CASE WHEN v % 4 = 1 THEN '30' ELSE '' END AS height,
   CASE WHEN v % 4 = 2 THEN '90' ELSE '' END AS diameter,
