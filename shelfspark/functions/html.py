@@ -76,9 +76,17 @@ def inners(html: str, start: re.Pattern) -> Iterator[str]:
         yield html[found.end():end[0] if end else after.start() if after else len(html)]
 
 
-def without(html: str, *tags: str) -> str:
+@functools.lru_cache(maxsize=256)
+def by_any(selectors: tuple[str, ...]) -> re.Pattern:
+    """Start tags of these elements; `.name` stands for a class."""
+    tags = "|".join(x for x in selectors if not x.startswith("."))
+    classes = [by_class(x[1:]).pattern for x in selectors if x.startswith(".")]
+    return re.compile("|".join([*([rf"<(?:{tags})(?=[\s/>])[^>]*>"] if tags else []), *classes]), re.I)
+
+
+def without(html: str, *selectors: str) -> str:
     """The page without these elements; one that never ends takes only its start tag with it."""
-    start, out, at = re.compile(rf"<(?:{'|'.join(tags)})(?=[\s/>])[^>]*>", re.I), [], 0
+    start, out, at = by_any(selectors), [], 0
     while found := start.search(html, at):
         end = _end(html, found)
         out += [html[at:found.start()], " "]

@@ -221,7 +221,7 @@ def shop_page(pages: DataFrame) -> DataFrame:
         H.table_specs(h).alias("specs"),
         H.class_text(h, "price-unit-content").alias("detail"),
         H.body_text(h, "script", "style", "head").alias("page_text"),
-        H.class_body_text(h, "product-detail-description-text", "h1", "table", "script", "style").alias("description"),
+        H.class_body_text(h, "product-detail-description-text", "h1", "table", ".mt-4", "script", "style").alias("description"),
         H.class_texts(h, "breadcrumb-title").alias("crumbs"),
         H.variant_options(h).alias("variant_options"),
     )
@@ -257,7 +257,7 @@ def shop_page(pages: DataFrame) -> DataFrame:
         "color": colour_of(name, s), "material": material_of(name, s),
         **{side: F.col(f"sides.{side}") for side in ("length", "width", "height", "diameter")},
     }, specs=s, options=F.col("variant_options"), labels=labels_of(
-        F.concat_ws(" ", name, "description", "page_text"), F.array_join(H.class_texts(h, "badge"), " ")))
+        F.concat_ws(" ", name, "description", "page_text"), F.array_join(F.concat(H.class_texts(h, "product-badges"), H.class_texts(h, "badge")), " ")))
 
 
 def article_page(pages: DataFrame) -> DataFrame:

@@ -233,13 +233,13 @@ SHOP_HTML = (
     "<span class=\"small breadcrumb-title\">' || brand || ' &amp; Co</span></nav>"
     "<div class=\"' || CASE WHEN v % 10 = 9 THEN 'other' ELSE 'product-detail-content' END || '\"><h1 class=\"product-detail-name\">  ' || title || ' </h1>"
     "<span class=\"badge\">' || CASE WHEN v % 3 = 0 THEN 'NEU' ELSE 'Saison' END || '</span>"
-    "<p class=\"product-detail-price\">CHF ' || cast(whole AS string) || '.' || frac || '*</p><span class=\"price-unit-content\">' || detail || '</span>"
+    "' || CASE WHEN v % 5 = 0 THEN '<div class=\"product-badges\"><i>Aktion</i></div>' ELSE '' END || '<p class=\"product-detail-price\">CHF ' || cast(whole AS string) || '.' || frac || '*</p><span class=\"price-unit-content\">' || detail || '</span>"
     "<span class=\"product-detail-ordernumber\">A-' || cast(k AS string) || '</span><p class=\"delivery-information\">' || "
     "CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END || '</p>"
     "<fieldset class=\"product-detail-configurator-group\"><legend>Form auswählen</legend><input type=\"radio\" id=\"f\"><label for=\"f\">rund</label></fieldset>"
     "<fieldset class=\"product-detail-configurator-group\"><legend>Farbe auswählen</legend><input type=\"radio\" id=\"c\"><label for=\"c\">gelb</label>"
     "<input type=\"radio\" id=\"a\" checked><label for=\"a\">' || CASE WHEN v % 2 = 0 THEN 'rot' ELSE 'blau' END || '</label></fieldset>"
-    "<section class=\"product-detail-description-text\"><script>var a=1;</script>Aus <b>' || noun || '</b>&nbsp;&nbsp;<section>nachhaltig</section>, MwSt 8,1 &#37; &ndash; &#xE4;</section>"
+    "<section class=\"product-detail-description-text\"><script>var a=1;</script><div class=\"small mt-4\">Hinweis <div>innen</div></div>Aus <b>' || noun || '</b>&nbsp;&nbsp;<section>nachhaltig</section>, MwSt 8,1 &#37; &ndash; &#xE4;</section>"
     "<table><tr><td>Stückzahl:</td><td>' || piece || '</td></tr><tr><td>Material</td><td>' || CASE WHEN v % 5 = 0 THEN 'Holz' ELSE '' END || '</td></tr>"
     "<tr><th>EAN</th><td>76 ' || lpad(cast(k AS string), 9, '0') || '</td></tr><tr><td>Land</td><td>Schweiz</td></tr></table>"
     "<a href=\"/docs/' || cast(k AS string) || '.PDF\">Blatt</a></div></body></html>'"

@@ -134,7 +134,7 @@ ORACLES = {
     "category_path": f"SELECT sku, kind || ' > ' || brand || ' & Co' AS category_path FROM {_SHOP}",
     "item_name": f"SELECT sku, title AS product_name, CASE WHEN contains(lower(title), {_OPT}) THEN title ELSE title || ' - ' || {_OPT} END AS item_name, {_OPT} AS variant_name FROM {_SHOP}",
     "keyword_infer": f"""SELECT sku, CASE {_COLOUR} ELSE '' END AS color, CASE WHEN v % 5 = 0 THEN 'Holz' {_MATERIAL} ELSE '' END AS material, 'cup' AS vessel_type,
-  CASE WHEN v % 7 = 0 THEN 'OUT_OF_STOCK' WHEN v % 7 = 1 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, CASE WHEN v % 3 = 0 THEN 'BIO|NEW' ELSE 'BIO|SEASONAL' END AS labels FROM {_SHOP}""",
+  CASE WHEN v % 7 = 0 THEN 'OUT_OF_STOCK' WHEN v % 7 = 1 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, CASE WHEN v % 5 = 0 THEN 'BIO|DISCOUNTED|' ELSE 'BIO|' END || CASE WHEN v % 3 = 0 THEN 'NEW' ELSE 'SEASONAL' END AS labels FROM {_SHOP}""",
     "gtin_pick": f"SELECT sku, '76' || lpad(cast(k AS varchar), 9, '0') AS gtin, '8.1' AS vat FROM {_SHOP}",
     "extract_pages": f"SELECT sku, 'Aus ' || noun || ' nachhaltig , MwSt 8,1 % – ä' AS description, CASE WHEN v % 7 = 0 THEN 'Leider ausverkauft' WHEN v % 7 = 1 THEN 'Produkt eingestellt' ELSE 'Lieferzeit 2 Tage' END AS raw_availability_text, 'Schweiz' AS country, piece AS raw_spec_piece_text, detail AS raw_detail_price_unit_text FROM {_SHOP}",
     "extract_failures": f"SELECT 'detail' AS stage, url, 'not-a-product-page' AS reason FROM {_PC} WHERE v % 10 = 9",
