@@ -7,8 +7,8 @@
    third of all documents costs one row each.
 2. A later document is aligned with each such owner, over all lines that both hold, by
    patience diff: lines unique in both are anchors, the longest run of anchors in the same
-   order is kept and each grown over equal neighbours; what is left is aligned again,
-   so blocks that moved are found as well.
+   order is kept and each grown over equal neighbours; what is left goes to the longest common
+   blocks first, so blocks that moved and repeated lines are found as well.
 3. Lines that follow each other in both documents form a block.  Blocks of at least
    `min_words` words are deleted from the later document; shorter ones, such as a lone heading, stay.
 
@@ -22,6 +22,7 @@ columns stay, clashing names get an underscore.
 from __future__ import annotations
 
 from bisect import bisect_left
+from heapq import heapify, heappop, heappush
 
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -62,9 +63,19 @@ def _longest_rising(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def aligned_blocks(mine: dict[int, int], other: dict[int, int]) -> list[list[int]]:
-    """Blocks of places whose lines follow each other in both documents; both map place to line."""
-    left, blocks = dict(mine), []
+def aligned_blocks(mine: dict[int, int], other: dict[int, int], places: dict[int, list[int]] | None = None) -> list[list[int]]:
+    """Blocks of places whose lines follow each other in both documents; both map place to line.
+
+    `places` maps each line of `mine` to its places, where a caller has it for several others.  Unique lines
+    are anchors; what they leave is taken by the longest blocks first.  Time grows with the lines, not their square.
+    """
+    held: dict[int, list[int]] = {}
+    for there, line in sorted(other.items()):
+        held.setdefault(line, []).append(there)
+    if places is None:
+        places = places_of(mine)
+    left = {place: line for line in held for place in places.get(line, ())}
+    blocks = []
 
     def grow(place: int, there: int) -> None:
         low, high = place, place + 1
@@ -76,34 +87,107 @@ def aligned_blocks(mine: dict[int, int], other: dict[int, int]) -> list[list[int
         for at in blocks[-1]:
             del left[at]
 
-    held: dict[int, list[int]] = {}
-    for there, line in sorted(other.items()):
-        held.setdefault(line, []).append(there)
-    left = {place: line for place, line in left.items() if line in held}
-    while left:
-        times: dict[int, int] = {}
-        for line in left.values():
-            times[line] = times.get(line, 0) + 1
-        anchors = [(place, held[line][0]) for place, line in sorted(left.items()) if times[line] == 1 and len(held[line]) == 1]
-        if not anchors:  # repeated lines only: the longest block first, then the rest again
-            place, there = _longest_block(left, held)
+    anchors = sorted((places[line][0], theres[0]) for line, theres in held.items() if len(theres) == 1 and len(places.get(line, ())) == 1)
+    for place, there in _longest_rising(anchors):
+        if place in left:
             grow(place, there)
-        for place, there in _longest_rising(anchors):
-            if place in left:
-                grow(place, there)
+    blocks += _longest_first(left, other)
     return sorted(blocks)
 
 
-def _longest_block(left: dict[int, int], held: dict[int, list[int]]) -> tuple[int, int]:
-    """First places, in both documents, of the longest block of lines."""
-    best, size, before, last = (-1, -1), 0, {}, -2
-    for place, line in sorted(left.items()):
-        now = {there: (before.get(there - 1, 0) if last == place - 1 else 0) + 1 for there in held[line]}
-        for there, length in now.items():
-            if length > size:
-                best, size = (place - length + 1, there - length + 1), length
-        before, last = now, place
-    return best
+def places_of(mine: dict[int, int]) -> dict[int, list[int]]:
+    places: dict[int, list[int]] = {}
+    for place, line in sorted(mine.items()):
+        places.setdefault(line, []).append(place)
+    return places
+
+
+def _longest_first(left: dict[int, int], other: dict[int, int]) -> list[list[int]]:
+    """Cover the places by blocks that the other document has too, the longest first, of equal ones the earlier."""
+    lengths = _match_lengths(left, other)
+    heap = [(-length, place) for place, length in lengths.items()]
+    heapify(heap)
+    taken: set[int] = set()
+    starts: list[int] = []
+    blocks = []
+    while heap:
+        length, place = heappop(heap)
+        if place in taken:
+            continue
+        # a block taken since may begin inside; that happens once, as what follows is shorter
+        at = bisect_left(starts, place)
+        free = min(-length, starts[at] - place) if at < len(starts) else -length
+        if free < -length:
+            heappush(heap, (-free, place))
+            continue
+        blocks.append(list(range(place, place + free)))
+        taken.update(blocks[-1])
+        starts.insert(at, place)
+    return blocks
+
+
+def _match_lengths(left: dict[int, int], other: dict[int, int]) -> dict[int, int]:
+    """How many lines from each place on follow each other in the other document as well.
+
+    A suffix automaton of the other's lines, last one first, is walked along the places, last one first.
+    """
+    follow: list[dict[int, int]] = [{}]
+    link, longest = [-1], [0]
+    last, before = 0, None
+    for there, line in sorted(other.items(), reverse=True):
+        if before is not None and there != before - 1:
+            last = 0  # a gap: no block spans it
+        before = there
+        known = follow[last].get(line)
+        if known is not None and longest[known] == longest[last] + 1:
+            last = known
+            continue
+        if known is not None:  # after a gap the state may exist as part of a longer one
+            copy = len(follow)
+            follow.append(dict(follow[known]))
+            longest.append(longest[last] + 1)
+            link.append(link[known])
+            link[known] = copy
+            at = last
+            while at != -1 and follow[at].get(line) == known:
+                follow[at][line] = copy
+                at = link[at]
+            last = copy
+            continue
+        new = len(follow)
+        follow.append({})
+        longest.append(longest[last] + 1)
+        link.append(0)
+        at = last
+        while at != -1 and line not in follow[at]:
+            follow[at][line] = new
+            at = link[at]
+        if at != -1:
+            known = follow[at][line]
+            if longest[known] == longest[at] + 1:
+                link[new] = known
+            else:
+                copy = len(follow)
+                follow.append(dict(follow[known]))
+                longest.append(longest[at] + 1)
+                link.append(link[known])
+                link[known] = link[new] = copy
+                while at != -1 and follow[at].get(line) == known:
+                    follow[at][line] = copy
+                    at = link[at]
+        last = new
+    lengths, state, size, before = {}, 0, 0, None
+    for place, line in sorted(left.items(), reverse=True):
+        if before is not None and place != before - 1:
+            state = size = 0
+        before = place
+        while state and line not in follow[state]:
+            state = link[state]
+            size = longest[state]
+        if line in follow[state]:
+            state, size = follow[state][line], size + 1
+        lengths[place] = size
+    return lengths
 
 
 def align(places: dict[int, int]) -> set[int]:
@@ -120,8 +204,9 @@ def without_blocks(text: str, owners: list[tuple[int, int, int]], min_words: int
     for line, owner, place in owners:
         others.setdefault(owner, {})[place] = line
     gone: set[int] = set()
+    places = places_of(mine)
     for other in others.values():
-        for block in aligned_blocks(mine, other):
+        for block in aligned_blocks(mine, other, places):
             if sum(len(lines[full[place]].split()) for place in block) >= min_words:
                 gone.update(full[place] for place in block)
     if not gone:

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -141,6 +142,41 @@ def test_every_close_pair_shares_a_part():
                 assert any(len(flips & set(own)) <= t for own, t in parts)
 
 
+def plain_lengths(left, other):
+    def common(place, there):
+        size = 0
+        while place + size in left and left[place + size] == other.get(there + size):
+            size += 1
+        return size
+    return {place: max((common(place, there) for there in other), default=0) for place in left}
+
+
+def test_blocks_equal_plain_matching():
+    rng = random.Random(1)
+    for _ in range(1500):
+        size, kinds = rng.randrange(0, 14), rng.choice([1, 2, 3, 6])
+        left, other = ({i: rng.randrange(kinds) for i in range(size) if rng.random() < 0.85} for _ in range(2))
+        lengths = linededup._match_lengths(left, other)
+        assert lengths == plain_lengths(left, other)
+        blocks = linededup._longest_first({p: x for p, x in left.items() if lengths[p]}, other)
+        rest, expected = dict(left), []
+        while longest := max(((n, -p) for p, n in plain_lengths(rest, other).items() if n), default=None):
+            expected.append([*range(-longest[1], -longest[1] + longest[0])])
+            rest = {p: x for p, x in rest.items() if p not in expected[-1]}
+        assert [len(b) for b in blocks] == [len(b) for b in expected] and blocks == expected
+        for block in linededup.aligned_blocks(left, other):
+            assert any(all(other.get(there + i) == left[p] for i, p in enumerate(block)) for there in other)
+
+
+def test_repeated_lines_take_linear_time():
+    rng = random.Random(2)
+    two = [[rng.randrange(2) for _ in range(100_000)] for _ in range(2)]
+    start = time.time()
+    for mine, other in (two, ([7] * 100_000,) * 2, (range(100_000), range(100_000, -1, -1)), ([*range(50_000), *([1, 2] * 25_000)], [*([1, 2] * 25_000), *range(50_000), 1, 2])):
+        linededup.aligned_blocks(dict(enumerate(mine)), dict(enumerate(other)))
+    assert time.time() - start < 40
+
+
 def test_alignment():
     assert linededup.align({0: 5, 1: 6, 2: 7}) == {0, 1, 2}
     assert linededup.align({0: 9, 1: 1, 2: 2, 5: 1}) == {0, 1, 2, 5}  # moved and repeated lines as well
