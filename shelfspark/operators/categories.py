@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.ids import category_id, short_hash
 from shelfspark.functions.text import strip
+from shelfspark.operators.skew import landed, salted_join
 
 MAX_NAME = 64
 
@@ -88,12 +89,14 @@ def category_changes(reconciled: DataFrame) -> DataFrame:
 def remap_categories(payloads: DataFrame, reconciled: DataFrame) -> DataFrame:
     """Replace a payload's category by the remote category it was aliased to.
 
-    Only aliased categories travel; the join strategy is left to runtime statistics.
+    Only aliased categories travel.  A category with more payloads than a task's fair part is split by
+    measured salts, so one category may hold any share of the catalogue.
     """
     aliases = reconciled.filter("action = 'alias'").select(
         F.col("id").alias("category"), F.col("remote_id").alias("_alias")
     ).dropDuplicates(["category"])
+    rows = landed(payloads, "payloads")  # counted by category first
     return (
-        payloads.join(aliases, "category", "left")
-        .withColumn("category", F.coalesce("_alias", "category")).drop("_alias")
+        salted_join(rows, aliases, "category", F.col("id"), "left")
+        .withColumn("category", F.coalesce("_alias", "category")).select(*payloads.columns)
     )

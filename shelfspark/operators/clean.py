@@ -93,15 +93,11 @@ def with_unique_ids(rows: DataFrame, row_number: str = "row_number", within: str
 def _renamed_ids(ids: DataFrame, n: str, within: str | None = None) -> DataFrame:
     own = [within] if within else []
     names_of = [*own, "clean_id"]
-    repeated = (
-        ids.groupBy(*names_of)
-        .agg(F.min(n).alias("first_row"), F.count(F.lit(1)).alias("copies"))
-        .filter("copies > 1")
-        .select(*names_of, "first_row")
-    )
+    counted = landed(ids.groupBy(*names_of).agg(F.min(n).alias("first_row"), F.count(F.lit(1)).alias("_rows")), "id-counts")
+    repeated = counted.filter("_rows > 1").select(*names_of, "first_row")
     suffixed = F.concat_ws("-", "clean_id", row_tag(F.col(n)))
     renames = (
-        salted_join(ids, repeated, names_of, F.col(n))
+        salted_join(ids, repeated, names_of, F.col(n), counted=counted.select(*names_of, "_rows"))
         .filter(F.col(n) > F.col("first_row"))
         .select(*own, n, suffixed.alias("renamed_id"))
     )

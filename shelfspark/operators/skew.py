@@ -9,21 +9,51 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SALTS = 8
+# Rows that one task sorts to number them: their keys and row ids fit a task's memory with room to spare.
+ROWS_PER_SORT = 500_000
 # What may be sent to every executor: at most so many lookup rows with so many bytes as JSON.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
+def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, `_rows`): map-side partial sums over the key columns alone."""
+    return landed(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key-counts")
+
+
+def hot_keys(counted: DataFrame, keys: list[str], share: int) -> DataFrame:
+    """(keys, `_salts`) of the keys with more than 1/share of all rows, from their landed `_rows`; null keys left out.
+
+    There are fewer than `share` of them whatever the input; `_salts` is how many such parts a key fills.
+    """
+    known = F.lit(True)
+    for c in keys:
+        known = known & F.col(c).isNotNull()
+    total = counted.agg(F.sum("_rows")).first()[0] or 0
+    return counted.filter(known & (F.col("_rows") * share > F.lit(total))).select(
+        *keys, F.ceil(F.col("_rows") * share / F.lit(total or 1)).cast("int").alias("_salts"))
+
+
 def salted_join(
-    rows: DataFrame, lookup: DataFrame, key: str | list[str], spread: Column, how: str = "inner", salts: int = SALTS
+    rows: DataFrame, lookup: DataFrame, key: str | list[str], spread: Column, how: str = "inner", counted: DataFrame | None = None
 ) -> DataFrame:
-    """Join many rows to at most one lookup row per key, splitting every key over `salts` tasks.
+    """Join many rows to at most one lookup row per key, splitting measured hot keys over tasks.
 
-    `spread` must vary within a key (a row number or a hash of the row).
+    `how` is inner or left.  `spread` must vary within a key (a row number or a hash of the row).  A key is hot above
+    a shuffle partition's fair part of the rows; it gets as many salts as parts it fills, and only its lookup row is
+    copied.  A null key meets nothing and is spread over all partitions.  `counted` has the landed `_rows` of each
+    key, where the caller knows them; else `rows`, which should be landed, are counted first.
     """
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*([key] if isinstance(key, str) else key), "_salt"], how).drop("_salt")
+    keys = [key] if isinstance(key, str) else list(key)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(counted if counted is not None else key_counts(rows, keys), keys, parts))  # fewer rows than shuffle partitions
+    empty = F.lit(False)
+    for c in keys:
+        empty = empty | F.col(c).isNull()
+    salts = F.when(empty, F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = rows.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int")).drop("_salts")
+    right = lookup.join(hot, keys, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -104,31 +134,36 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
 def with_sequence(
     df: DataFrame, order_by: list[Column], name: str, within: list[str] | None = None, start: int = 1
 ) -> DataFrame:
-    """Consecutive numbers in sort order, per `within` group, without a one-task window.
+    """Consecutive numbers in sort order, per `within` group, without a one-task window; ties go by input order.
 
-    Rows are range-partitioned and sorted, so a group of any size spans many tasks.  The
-    sorted rows are landed to freeze their partition and position; only one row per
-    (partition, group) is then needed to turn local positions into global numbers.
+    The rows are landed as they are, with a row id.  Only group, order and row id are range-partitioned,
+    sorted and landed, one partition for each `ROWS_PER_SORT` rows, so a group of any size spans many tasks and the
+    split points come from a sample of narrow rows.  One count per (partition, group) turns places into numbers,
+    which the wide rows meet on the unique row id: broadcast while small, in an unsorted hash join otherwise.
     """
     within = within or []
-    spark = df.sparkSession
-    keys = [F.col(c) for c in within] + list(order_by)
+    rows = landed(df.withColumn("_seq_row", F.monotonically_increasing_id()), "unnumbered")
+    groups = [f"_g{at}" for at in range(len(within))]
+    orders = [f"_o{at}" for at in range(len(order_by))]
+    narrow = rows.select(*[F.col(c).alias(g) for c, g in zip(within, groups)], *[c.alias(o) for c, o in zip(order_by, orders)], "_seq_row")
+    total = rows.count()
+    parts = max(1, -(-total // ROWS_PER_SORT))
+    sorted_ids = narrow.repartitionByRange(parts, *groups, *orders, "_seq_row").sortWithinPartitions(*groups, *orders, "_seq_row")
     frozen = landed(
-        df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_position", F.monotonically_increasing_id()), "sequence",
+        sorted_ids.select(*groups, "_seq_row", F.monotonically_increasing_id().alias("_position")), "sequence",
     ).withColumn("_part", F.shiftrightunsigned("_position", 33).cast("int"))
-    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    groups = [F.col(c).alias(f"_g_{c}") for c in within]
     # at most (partitions + groups) rows: neighbouring groups share a partition
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        frozen.groupBy("_part", *within)
+        frozen.groupBy("_part", *groups)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select(F.col("_part").alias("_g_part"), *groups, "_first", "_before")
+        .select(F.col("_part").alias("_in"), *[F.col(g).alias(f"{g}_in") for g in groups], "_first",
+                F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    on = F.col("_part") == F.col("_g_part")
-    for c in within:
-        on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    on = F.col("_part") == F.col("_in")
+    for g in groups:
+        on = on & F.col(g).eqNullSafe(F.col(f"{g}_in"))
     number = F.col("_before") + F.col("_position") - F.col("_first") + start
-    return join_checked(frozen, offsets, on, "inner").select(*df.columns, number.alias(name))
+    numbers = join_checked(frozen, offsets, on, "inner").select("_seq_row", number.alias("_number"))
+    numbers = F.broadcast(numbers) if total <= BROADCAST_ROWS else numbers.hint("shuffle_hash")  # two longs a row
+    return rows.join(numbers, "_seq_row").select(*df.columns, F.col("_number").alias(name))

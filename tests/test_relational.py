@@ -16,6 +16,41 @@ def test_sequence_matches_sort_order(spark):
     assert [r["n"] for r in whole] == list(range(2, 5002))
 
 
+def test_sequence_over_many_sorted_parts(spark, monkeypatch):
+    from shelfspark.operators import skew
+    monkeypatch.setattr(skew, "ROWS_PER_SORT", 700)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 100)
+    df = spark.range(5000).select((F.col("id") % 40).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.col("id").alias("wide"))
+    got = with_sequence(df.coalesce(1), [F.col("k")], "n", within=["g"]).collect()
+    assert len(got) == 5000
+    groups = {}
+    for row in sorted(got, key=lambda r: (r["g"] or 0, r["k"], r["wide"])):  # ties by input order, null is a group
+        groups[row["g"]] = groups.get(row["g"], 0) + 1
+        assert row["n"] == groups[row["g"]]
+    assert with_sequence(df.limit(0), [F.col("k")], "n").collect() == []
+
+
+def test_salted_join_splits_measured_hot_keys(spark):
+    from shelfspark.operators import skew
+    key = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.col("id").cast("string"))
+    rows = spark.range(4000).select("id", key.alias("k"))
+    lookup = rows.select("k").distinct().withColumn("v", F.upper("k")).filter("k is null or k <> '3'")
+    hot = {r["k"]: r["_salts"] for r in skew.hot_keys(skew.key_counts(rows, ["k"]), ["k"], 16).collect()}
+    assert hot == {"hot": 8}
+    left = skew.salted_join(rows, lookup, "k", F.col("id"), "left")
+    assert sorted((r["id"], r["v"]) for r in left.collect()) == [
+        (i, "HOT" if i % 2 == 0 else None if i % 10 == 1 or i == 3 else str(i)) for i in range(4000)]
+    assert skew.salted_join(rows, lookup, "k", F.col("id")).count() == 4000 - 400 - 1
+    assert skew.salted_join(rows.limit(0), lookup, "k", F.col("id")).count() == 0
+
+
+def test_half_of_all_payloads_in_one_category(spark):
+    payloads = spark.range(2000).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 2 == 0, "c0").otherwise(F.concat(F.lit("c"), F.col("id"))).alias("category"))
+    reconciled = spark.createDataFrame([("s", "c0", "n", "r0", "alias"), ("s", "c5", "n", "c5", "create")], "supplier_slug string, id string, name string, remote_id string, action string")
+    got = {r["id"]: r["category"] for r in categories.remap_categories(payloads, reconciled).collect()}
+    assert got == {str(i): "r0" if i % 2 == 0 else f"c{i}" for i in range(2000)}
+
+
 def test_category_names(spark):
     paths = ["A > Cups", "B > Cups", "B > Lids", "x" * 70 + " > " + "y" * 70, ""]
     rows = spark.createDataFrame([("s", p) for p in paths], "supplier_slug string, category_path string")
