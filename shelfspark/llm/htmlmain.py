@@ -16,12 +16,14 @@ with a third of all pages sends no more than others.  Bits can only coincide, wh
 
 Cases: null or empty html, or no text left: empty text; a page cut off inside a tag or comment
 loses that tag only; unclosed elements end with their parents; repeated pages are one
-content; a null or unreadable url counts as one host.  Pages are read whole.
+content; a null or unreadable url counts as one host.  Pages are read whole, in time that grows with their length, whatever
+the number of blocks and the depth of elements.  Other columns of the pages are left out of the result.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import xxhash
@@ -60,11 +62,12 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "label", "parts", "skipped", "main")
+    __slots__ = ("tag", "parent", "label", "parts", "skipped", "main", "low")
 
     def __init__(self, tag, parent, label, skipped, main):
         self.tag, self.parent, self.label, self.skipped, self.main = tag, parent, label, skipped, main
         self.parts: list = []
+        self.low = 0
 
 
 def _boilerplate(tag: str, attributes: str, in_main: bool) -> tuple[bool, str]:
@@ -87,12 +90,22 @@ def _boilerplate(tag: str, attributes: str, in_main: bool) -> tuple[bool, str]:
     return bad, label
 
 
-def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[int, int]]:
-    """A page's text blocks (text, hashes of the elements around it, in an article), and the content outside of each hash."""
+def blocks(html: str | None) -> tuple[list[tuple[str, bool]], list[tuple[int, int, int]], dict[int, int]]:
+    """A page's text blocks (text, in an article), its elements (hash, first block, block after the last), and the content outside of each hash.
+
+    The blocks of an element follow each other, so an element is a span of them, however deep it lies.
+    """
     if not html:
-        return [], {}
+        return [], [], {}
     root = _Element("#page", None, "", False, False)
     elements, here, found, text = [root], root, [], []
+    open_tags: Counter[str] = Counter()
+
+    def leave(level):  # close all elements inside of `level`
+        nonlocal here
+        while here is not level:
+            open_tags[here.tag] -= 1
+            here = here.parent
 
     def flush():
         if text:
@@ -130,12 +143,12 @@ def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[in
         if match[1]:  # an end tag
             if tag in INLINE:
                 continue
-            level = here
-            while level is not None and level.tag != tag:
-                level = level.parent
             flush()
-            if level is not None and level.parent is not None:
-                here = level.parent
+            if open_tags[tag]:
+                level = here
+                while level.tag != tag:
+                    level = level.parent
+                leave(level.parent)
             continue
         if tag in INLINE or tag == "br" or tag in VOID:
             if tag in ("br", "img", "input"):
@@ -146,27 +159,24 @@ def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[in
         flush()
         shut = CLOSES.get(tag)
         if here.tag == "p":  # a block ends an open paragraph
-            here = here.parent
-        if shut:
+            leave(here.parent)
+        if shut and any(open_tags[name] for name in shut):
             level = here
             while level is not None and level.tag not in shut and level.tag not in ("ul", "ol", "dl", "table", "select", "body"):
                 level = level.parent
             if level is not None and level.tag in shut:
-                here = level.parent
-        if tag in ("html", "body") and here is not root:
+                leave(level.parent)
+        if tag == "body" and open_tags["head"]:
             level = here
-            while level is not None and level.tag != "head":
+            while level.tag != "head":
                 level = level.parent
-            if level is not None and tag == "body":
-                here = level.parent
-        elif here.tag == "head" and tag not in RAW:
-            here = here.parent
+            leave(level.parent)
+        elif here.tag == "head" and tag not in ("html", "body") and tag not in RAW:
+            leave(here.parent)
         bad, label = _boilerplate(tag, match[3] or "", here.main)
         own = _Element(tag, here, label, here.skipped or bad, here.main or tag in ("article", "main"))
         here.parts.append(own)
         elements.append(own)
-        if (match[3] or "").endswith("/") and tag not in RAW:
-            pass  # HTML ignores a slash that closes an ordinary element
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             at = end.start() if end else size
@@ -174,6 +184,8 @@ def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[in
             at = close + 1 if close >= 0 else size
             continue
         here = own
+        own.low = len(found)
+        open_tags[tag] += 1
     flush()
     hashes: dict[int, int] = {}
     for own in reversed(elements):  # children come after their parents
@@ -181,52 +193,94 @@ def blocks(html: str | None) -> tuple[list[tuple[str, list[int], bool]], dict[in
         value = xxhash.xxh64_intdigest(f"{own.tag}\x00{own.label}\x00{body}".encode("utf-8", "surrogatepass"), 42)
         hashes[id(own)] = value - (1 << 64) if value >> 63 else value
 
+    last: dict[int, int] = {}  # the block after each element's last one
+    for at, (_, own) in enumerate(found):
+        last[id(own)] = at + 1
+    for own in reversed(elements[1:]):
+        if id(own) in last:
+            last[id(own.parent)] = max(last.get(id(own.parent), 0), last[id(own)])
+
     def counted(own: _Element) -> bool:
-        return own.tag not in ("#page", "html", "body", "article", "main", "head") and bool(own.parts) and not (own.main and own.tag in LEAF)
-
-    out = []
-    for value, own in found:
-        around, level = [], own
-        while level is not None:
-            if counted(level):
-                around.append(hashes[id(level)])
-            level = level.parent
-        out.append((value, around, own.main))
-    return out, contents(out)
-
-
-def contents(found: list[tuple[str, list[int], bool]]) -> dict[int, int]:
-    """For each hash around blocks the hash of all text outside; of the article's, if there is one."""
-    pool = [b for b in found if b[2]] or found
-    marks = [xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42) for text, _, _ in pool]
+        return own.tag not in ("#page", "html", "body", "article", "main", "head") and not (own.main and own.tag in LEAF)
+
+    spans = [(hashes[id(own)], own.low, last[id(own)]) for own in elements if id(own) in last and counted(own)]
+    out = [(value, own.main) for value, own in found]
+    return out, spans, contents(out, spans)
+
+
+_PRIME, _BASE = (1 << 61) - 1, 0x1F3D5B79A2C4E687
+
+
+def contents(found: list[tuple[str, bool]], spans: list[tuple[int, int, int]]) -> dict[int, int]:
+    """For each hash of an element the hash of all text outside of its spans; of the article's, if there is one.
+
+    Hashes of block sequences are polynomials modulo a prime, so that those of the stretches between a hash's spans
+    come from prefix hashes and join without another look at the blocks: the time is that of the elements.
+    """
+    in_pool = [main for _, main in found]
+    if not any(in_pool):
+        in_pool = [True] * len(found)
+    place, prefix, power = [0], [0], [1]
+    for (text, _), chosen in zip(found, in_pool):
+        place.append(place[-1] + chosen)
+        if chosen:
+            mark = xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), 42)
+            prefix.append((prefix[-1] * _BASE + mark + 1) % _PRIME)
+            power.append(power[-1] * _BASE % _PRIME)
+    size = place[-1]
+    by_hash: dict[int, list[tuple[int, int]]] = {}
+    for value, low, high in spans:
+        by_hash.setdefault(value, []).append((place[low], place[high]))
     outside = {}
-    for value in {value for _, around, _ in found for value in around}:
-        rest = [mark for mark, (_, around, _) in zip(marks, pool) if value not in around]
-        if rest:
-            outside[value] = xxhash.xxh64_intdigest(b"".join(mark.to_bytes(8, "little") for mark in rest), 42) >> 1
+    for value, cut in by_hash.items():
+        joined = length = at = 0
+        for low, high in [*cut, (size, size)]:  # in page order; equal subtrees do not hold each other
+            if low > at:
+                joined = (joined * power[low - at] + prefix[low] - prefix[at] * power[low - at]) % _PRIME
+                length += low - at
+            at = max(at, high)
+        if length:
+            outside[value] = joined
     return outside
 
 
+def without(texts: list[str], mains: list[bool], spans: list[tuple[int, int, int]], gone: set[int]) -> str:
+    """The blocks outside of all elements whose hash is gone; of those in an article, if any is left."""
+    cover = [0] * (len(texts) + 1)
+    for value, low, high in spans:
+        if value in gone:
+            cover[low] += 1
+            cover[high] -= 1
+    left, depth = [], 0
+    for text, main, step in zip(texts, mains, cover):
+        depth += step
+        if not depth:
+            left.append((text, main))
+    return "\n".join(text for text, main in [b for b in left if b[1]] or left)
+
+
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
 
 
 def parsed(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """One row per page: uid, key, url, host, blocks, hashes (with contents); written once, as it is read three times."""
-    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("around", T.ArrayType(T.LongType())),
-                          T.StructField("main", T.BooleanType())])
+    """One row per page: uid, key, url, host, blocks, spans, hashes (with contents); written once, as it is read three times."""
     outside = T.StructType([T.StructField("hash", T.LongType()), T.StructField("content", T.LongType())])
+    fields = [("texts", T.ArrayType(T.StringType())), ("mains", T.ArrayType(T.BooleanType())), ("span_hashes", T.ArrayType(T.LongType())),
+              ("lows", T.ArrayType(T.IntegerType())), ("highs", T.ArrayType(T.IntegerType())), ("hashes", T.ArrayType(outside))]
 
     def start():
         def work(htmls):
-            found = [blocks(value) for value in htmls]
-            return {"blocks": [[{"text": t, "around": a, "main": m} for t, a, m in own] for own, _ in found],
-                    "hashes": [[{"hash": value, "content": content} for value, content in sorted(outside.items())] for _, outside in found]}
+            read = [blocks(value) for value in htmls]
+            return {"texts": [[text for text, _ in found] for found, _, _ in read], "mains": [[main for _, main in found] for found, _, _ in read],
+                    "span_hashes": [[s[0] for s in spans] for _, spans, _ in read], "lows": [[s[1] for s in spans] for _, spans, _ in read],
+                    "highs": [[s[2] for s in spans] for _, spans, _ in read],
+                    "hashes": [[{"hash": value, "content": content} for value, content in sorted(own.items())] for _, _, own in read]}
         return work
 
     rows = pages.select(F.col(f"`{key}`").alias("page"), F.col(f"`{url}`").alias("url"), host_of(F.col(f"`{url}`")).alias("host"),
                         F.col(f"`{html}`").alias("html"))
-    rows = add_columns(rows, "html", [("blocks", T.ArrayType(block)), ("hashes", T.ArrayType(outside))], start).drop("html")
+    rows = add_columns(rows, "html", fields, start).drop("html")
     return landed(rows.withColumn("uid", F.monotonically_increasing_id()), "pages")
 
 
@@ -245,11 +299,15 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     found = templates(rows, min_contents)
     gone = (rows.select("uid", "host", F.explode("hashes.hash").alias("hash")).join(found, ["host", "hash"])
             .groupBy("uid").agg(F.collect_set("hash").alias("gone")))
-    kept = rows.join(landed(gone, "gone"), "uid", "left").select(
-        "page", "url", F.filter("blocks", lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["around"], F.col("gone"))).alias("blocks"))
-    articles = F.exists("blocks", lambda b: b["main"])
-    chosen = F.when(articles, F.filter("blocks", lambda b: b["main"])).otherwise(F.col("blocks"))
-    return kept.select(F.col("page").alias(key), F.col("url").alias(url), F.array_join(F.transform(chosen, lambda b: b["text"]), "\n").alias("text"))
+    kept = rows.join(landed(gone, "gone"), "uid", "left").select("page", "url", "texts", "mains", "span_hashes", "lows", "highs", "gone")
+
+    def start():
+        def work(*columns):
+            return {"text": [without(texts, mains, zip(hashes, lows, highs), set(out or ())) for texts, mains, hashes, lows, highs, out in zip(*columns)]}
+        return work
+
+    done = add_columns(kept, "texts", [("text", T.StringType())], start, also=("mains", "span_hashes", "lows", "highs", "gone"))
+    return done.select(F.col("page").alias(key), F.col("url").alias(url), "text")
 
 
 def report(pages: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import time
 from html import unescape
 
 import numpy as np
+import pytest
 import sentencepiece
 import xxhash
 
@@ -204,9 +205,8 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 
 def page_text(html):
-    found, _ = htmlmain.blocks(html)
-    main = [b for b in found if b[2]]
-    return "\n".join(text for text, _, _ in main or found)
+    found, spans, _ = htmlmain.blocks(html)
+    return htmlmain.without([text for text, _ in found], [main for _, main in found], spans, set())
 
 
 def test_main_text_of_a_page():
@@ -219,6 +219,43 @@ def test_main_text_of_a_page():
     assert page_text("<div>&lt;b&gt; " + "w " * 5000 + "</div>") == unescape("&lt;b&gt;") + " w" * 5000
 
 
+def plain_contents(found, spans):
+    """Which blocks each hash leaves, by looking at every block for every hash."""
+    pool = [at for at, (_, main) in enumerate(found) if main] or list(range(len(found)))
+    left = {}
+    for value in {s[0] for s in spans}:
+        inside = {at for hash_, low, high in spans if hash_ == value for at in range(low, high)}
+        left[value] = tuple(found[at][0] for at in pool if at not in inside)
+    return left
+
+
+def test_contents_outside_of_elements_equal_a_plain_pass():
+    rng = random.Random(5)
+    texts, seen = {}, 0
+    for _ in range(1000):
+        html = ""
+        for _ in range(rng.randrange(40)):
+            html += rng.choice(["<div>", "</div>", "<ul>", "</ul>", "<li>", "<p>", "</p>", "<section class=a>", "</section>", "<article>", "</article>", "<nav>", "</nav>", "a", "b ", "c d"])
+        found, spans, outside = htmlmain.blocks(html)
+        left = plain_contents(found, spans)
+        assert set(outside) == {value for value, rest in left.items() if rest}
+        for value, content in outside.items():  # equal hashes for equal texts, different ones for different texts
+            assert texts.setdefault(left[value], content) == content
+            seen += 1
+        gone = {s[0] for s in spans if rng.random() < 0.3}
+        inside = {at for value, low, high in spans if value in gone for at in range(low, high)}
+        rest = [b for at, b in enumerate(found) if at not in inside]
+        assert htmlmain.without([b[0] for b in found], [b[1] for b in found], spans, gone) == "\n".join(b[0] for b in [b for b in rest if b[1]] or rest)
+    assert len(set(texts.values())) == len(texts) > 100 and seen > 500
+
+
+@pytest.mark.parametrize("page", ["<tr><td>cell {0}</td></tr>", "<div>open {0}", "<div>same</div>", "<li>item {0}</b2>", "<div><p>x</section>"])
+def test_long_pages_take_linear_time(page):
+    began = time.time()
+    found, spans, outside = htmlmain.blocks("<table>" + "".join(page.format(i) for i in range(40_000)))
+    assert len(found) == 40_000 and time.time() - began < 10
+
+
 def test_search_block_equals_brute_force():
     rng = np.random.default_rng(6)
     c = np.floor(rng.normal(size=(400, 8)) * 20)
