@@ -136,3 +136,8 @@ def test_snapshot_arrays_stay_bounded(spark, sf_dir, monkeypatch):
     rows = source_queries._snapshot(spark, sf_dir).count()
     sizes = [len(json.loads(r["value"])) for r in spark.read.text(folders[0], wholetext=True).collect()]
     assert sum(sizes) == rows > 100 and max(sizes) < 60
+
+
+def test_references_need_their_semicolon():
+    assert html.plain("<h1>a&amp;b &lt; c&#37; des&amp</h1>") == "a&b < c% des&amp"
+    assert html.resolve("/z?a=1&copy=2&amp;b=3&nope;&ampx;") == "/z?a=1&copy=2&b=3&nope;&ampx;"
