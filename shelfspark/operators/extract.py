@@ -363,9 +363,9 @@ def extract_products(pages: DataFrame, family: str) -> tuple[DataFrame, DataFram
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Distinct absolute links per page."""
+    """Distinct absolute links per page URL, of all its snapshots."""
     found = F.array_distinct(F.transform(H.links(F.col("html")), lambda href: absolute_url(F.col("url"), href)))
-    return pages.select(F.col("url").alias("page_url"), F.explode(found).alias("url")).filter("url <> ''")
+    return pages.select(F.col("url").alias("page_url"), F.explode(found).alias("url")).filter("url <> ''").distinct()
 
 
 def listing_diagnostics(pages: DataFrame) -> DataFrame:

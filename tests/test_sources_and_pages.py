@@ -141,3 +141,10 @@ def test_snapshot_arrays_stay_bounded(spark, sf_dir, monkeypatch):
 def test_references_need_their_semicolon():
     assert html.plain("<h1>a&amp;b &lt; c&#37; des&amp</h1>") == "a&b < c% des&amp"
     assert html.resolve("/z?a=1&copy=2&amp;b=3&nope;&ampx;") == "/z?a=1&copy=2&b=3&nope;&ampx;"
+
+
+def test_links_of_repeated_snapshots_are_one(spark):
+    rows = [("https://h.ch/p", "<a href='/q'>x</a><a href='/r'>y</a>"), ("https://h.ch/p", "<a href='/r'>y</a>"), ("https://h.ch/s", "<a href='/q'>x</a>")]
+    links = extract.page_links(spark.createDataFrame(rows, "url string, html string"))
+    assert sorted(tuple(r) for r in links.collect()) == [
+        ("https://h.ch/p", "https://h.ch/q"), ("https://h.ch/p", "https://h.ch/r"), ("https://h.ch/s", "https://h.ch/q")]
