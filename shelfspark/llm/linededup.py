@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from shelfspark.llm.common import add_columns, fresh, landed
 
 MIN_WORDS = 10
+# Rows whose lists of lines are Python objects at the same time (about 20 times their size in Arrow).
+LISTS_AT_ONCE = 16
 _BLANK = " \t\r"
 # What Python's split() takes as space, or more.
 _SPACES = r"[\s\p{Z}\x{85}\x{1c}-\x{1f}]+"
@@ -218,12 +220,19 @@ def _order(key: Column) -> Column:
     return F.coalesce(key, F.lit(_LAST))
 
 
+def _slices(batches):
+    """Few rows at a time, however many an Arrow batch holds."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, LISTS_AT_ONCE):
+            yield batch.slice(low, LISTS_AT_ONCE)
+
+
 def _runs(rows: DataFrame, min_words: int) -> DataFrame:
     """(k, part, unit) for lines, and pairs of neighbours, in runs of earlier documents' lines with enough words."""
 
     def work(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in _slices(batches):
             keys, parts, units = [], [], []
             for k, part, held in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2))):
                 run, found = [], set()
@@ -253,7 +262,7 @@ def _units(rows: DataFrame) -> DataFrame:
 
     def work(batches):
         import pyarrow as pa
-        for batch in batches:
+        for batch in _slices(batches):
             keys, units = [], []
             for k, held in zip(*(batch.column(i).to_pylist() for i in (0, 2))):
                 held.sort(key=lambda x: x["place"])
@@ -298,7 +307,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
             return {new: [value for value, _ in done], removed: [count for _, count in done]}
         return work
 
-    out = add_columns(rows, text, [(new, T.StringType()), (removed, T.LongType())], start, (owners,))
+    out = add_columns(rows, text, [(new, T.StringType()), (removed, T.LongType())], start, (owners,), LISTS_AT_ONCE)
     return out.select(*[F.col(f"`{new}`").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], removed), removed
 
 

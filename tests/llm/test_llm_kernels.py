@@ -284,3 +284,11 @@ def test_language_counts_do_not_depend_on_pieces(monkeypatch):
 
 def test_digest_of_no_items_is_that_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_lists_of_lines_come_in_few_rows():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"k": list(range(100)), "held": [[1, 2]] * 100})
+    slices = list(linededup._slices([batch, batch]))
+    assert sum(x.num_rows for x in slices) == 200 and max(x.num_rows for x in slices) == linededup.LISTS_AT_ONCE
