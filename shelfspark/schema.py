@@ -89,6 +89,7 @@ REMOTE_PAGE_SCHEMA = f"products array<{REMOTE_PRODUCT_STRUCT}>, cursor string"
 REMOTE_CATEGORY_SCHEMA = "id string, name string"
 
 FAILURE_SCHEMA = "stage string, url string, reason string"
+PAGE_BUNDLE_SCHEMA = "snapshot_name string, html string"
 MANIFEST_SCHEMA = (
     "fetched_at timestamp, kind string, status_code int, snapshot_path string, "
     "url string, final_url string"

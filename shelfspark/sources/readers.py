@@ -9,7 +9,7 @@ from shelfspark.functions.text import strip
 from shelfspark.functions.urls import without_query
 from shelfspark.operators.skew import join_checked, landed, with_sequence
 from shelfspark.schema import (
-    IMPORT_COLUMNS, LOG_EVENT_SCHEMA, MANIFEST_SCHEMA, REMOTE_CATEGORY_SCHEMA, REMOTE_PAGE_SCHEMA, REMOTE_PRODUCT_STRUCT,
+    IMPORT_COLUMNS, LOG_EVENT_SCHEMA, MANIFEST_SCHEMA, PAGE_BUNDLE_SCHEMA, REMOTE_CATEGORY_SCHEMA, REMOTE_PAGE_SCHEMA, REMOTE_PRODUCT_STRUCT,
     STATE_SCHEMA, SUPPLIER_CONFIG_STRUCT, import_row_schema, product_schema,
 )
 
@@ -62,6 +62,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_name").alias("snapshot_name"), F.col("value").alias("html"))
 
 
+def read_page_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """Landed HTML snapshots, many to a file (writers.write_page_bundles): a crawl of any size is few files."""
+    return spark.read.schema(PAGE_BUNDLE_SCHEMA).json(path)
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """All <loc> entries of plain or gzipped sitemaps, with whether the entry has an image."""
     entries = spark.read.format("xml").option("rowTag", "url").schema("loc string, `image:image` string, image string").load(path)
@@ -116,26 +121,32 @@ def read_manifest(spark: SparkSession, path: str, streaming: bool = False) -> Da
     return reader.schema(MANIFEST_SCHEMA).json(path)
 
 
-def _raw_logs(reader, path: str, job: Column | None) -> DataFrame:
+def _raw_logs(reader, path: str, job: Column | None, line: Column | None = None) -> DataFrame:
     """Lines as scanned, with their file and the block it was read in; by default a file is named after its job."""
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[A-Za-z]+)*$", 1)
     return reader.text(path).select(
         (name if job is None else job).alias("job_id"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.col("value").alias("line"))
+        F.col("_metadata.file_block_start").alias("block"), (F.col("value") if line is None else line).alias("line"))
+
+
+def _bundled() -> tuple[Column, Column]:
+    """(job, line) of a line in a bundle: the job stands before the first tab."""
+    return F.substring_index("value", "\t", 1), F.expr(r"substring(value, locate('\t', value) + 1)")
 
 
 def numbered_lines(raw: DataFrame) -> DataFrame:
-    """(job_id, ord, line) of scanned log lines, blank ones dropped; `ord` is the line's number in its file.
+    """(job_id, ord, line) of scanned log lines, blank ones dropped; `ord` is the line's number in its job's log.
 
-    The number does not depend on how files are split or packed into tasks, nor on other files, so it
-    is the same in batch and stream and after a restart.  Lines are landed with their position in
-    the scan; one row per block then says how many lines precede it in its file.
+    A file holds one job's log, or those of several jobs one after the other.  The number does not depend on how
+    files are split or packed into tasks, nor on other files, so it is the same in batch and stream and
+    after a restart.  Lines are landed with their position in the scan; one row per job and block then says how
+    many lines of the job precede the block in its file.
     """
     scanned = landed(raw.withColumn("_at", F.monotonically_increasing_id()), "log-lines")
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = scanned.groupBy("file", "block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_lines")).select(
-        "file", "block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
-    return join_checked(scanned.filter(F.trim("line") != ""), blocks, ["file", "block"], "inner").select(
+    earlier = Window.partitionBy("file", "job_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = scanned.groupBy("file", "job_id", "block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_lines")).select(
+        "file", "job_id", "block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"))
+    return join_checked(scanned.filter(F.trim("line") != ""), blocks, ["file", "job_id", "block"], "inner").select(
         "job_id", (F.col("_before") + F.col("_at") - F.col("_first")).alias("ord"), "line")
 
 
@@ -144,6 +155,16 @@ def read_logs(spark: SparkSession, path: str, job: Column | None = None) -> Data
     return numbered_lines(_raw_logs(spark.read, path, job))
 
 
+def read_log_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """The same rows from files that each hold the logs of many jobs (writers.write_log_bundles)."""
+    return numbered_lines(_raw_logs(spark.read, path, *_bundled()))
+
+
+def read_log_bundle_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Bundles as a stream, to be numbered batch by batch like read_log_stream."""
+    return _raw_logs(spark.readStream, path, *_bundled())
+
+
 def read_log_stream(spark: SparkSession, path: str, job: Column | None = None) -> DataFrame:
     """The same files as a stream; a batch gets its numbers from `numbered_lines`.  A file arrives whole."""
     return _raw_logs(spark.readStream, path, job)

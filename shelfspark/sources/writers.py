@@ -52,6 +52,22 @@ def write_jsonl(df: DataFrame, path: str, supplier: str | None = None, append: b
     (_of_supplier(writer, supplier) if supplier else writer).json(path)
 
 
+def write_page_bundles(pages: DataFrame, path: str) -> None:
+    """Page snapshots (snapshot_name, html), many to a file, one JSON object each."""
+    pages.select("snapshot_name", "html").write.mode("append").json(path)
+
+
+def write_log_bundles(lines: DataFrame, path: str) -> None:
+    """Logs (job_id, ord, line) as a collector ships them: each file holds the whole logs of many jobs.
+
+    A job's lines follow each other by `ord`, each behind its job and a tab.  So there are as many files as
+    tasks that write, not as many as jobs.
+    """
+    files = lines.repartition("job_id").sortWithinPartitions("job_id", "ord")
+    job = F.coalesce(F.col("job_id").cast("string"), F.lit(""))
+    files.select(F.concat(job, F.lit("\t"), F.coalesce("line", F.lit(""))).alias("value")).write.mode("append").text(path)
+
+
 def append_state(summary: DataFrame, path: str, export_folder: str = "") -> None:
     """Append the run state of suppliers whose run was no dry run and had no sync error."""
     good = summary.filter(~F.col("dry_run") & F.col("sync_performed") & F.col("is_valid"))

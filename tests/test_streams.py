@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shelfspark.operators import coverage, diff, identity
 from shelfspark.operators import operations as ops
 from shelfspark.plans.derived import remote_products, view
-from shelfspark.sources import folders, readers
+from shelfspark.sources import folders, readers, writers
 from shelfspark.streaming import streams
 from shelfspark.streaming.state import KeyedTable
 
@@ -90,6 +90,21 @@ def test_line_numbers_do_not_depend_on_splits(spark):
     assert {(r["job_id"], r["line"], r["ord"]) for r in found.collect()} == {("job1", "ERROR a", 2), ("job1", "ERROR b", 4), ("job2", "FAILED z", 1)}
 
 
+def test_bundles_hold_whole_logs_of_many_jobs(spark):
+    rows = [(job, at, text) for job in range(200) for at, text in enumerate(["start", " ", f"ERROR a\t{job}", "", "FAILED b", "ERROR c " + "x" * 300])]
+    landing = streams.workspace(spark, "logs")
+    writers.write_log_bundles(spark.createDataFrame(rows, "job_id long, ord long, line string").repartition(5), landing)
+    files = [n for n in folders.children(spark, landing) if n.startswith("part-")]
+    assert len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    expected = sorted((str(job), at, text) for job, at, text in rows if text.strip())
+    for size in ("1000", "128m"):
+        with streams._setting(spark, "spark.sql.files.maxPartitionBytes", size), streams._setting(spark, "spark.sql.files.openCostInBytes", "1"):
+            logs = readers.read_log_bundles(spark, landing)
+            assert sorted((r["job_id"], r["ord"], r["line"]) for r in logs.collect()) == expected
+    found = streams.run_errors(readers.read_log_bundle_stream(spark, landing), streams.workspace(spark, "e"))
+    assert plain(found.select("job_id", "line", "ord", "rank")) == plain(ops.log_errors(logs).select("job_id", "line", "ord", "rank"))
+
+
 def test_old_error_lines_do_not_come_back(spark):
     folder, landing = streams.workspace(spark, "e"), streams.workspace(spark, "l")
     schema = "job_id string, ord long, line string"
