@@ -159,3 +159,15 @@ def test_page_bundles_hold_many_snapshots(spark):
     writers.write_page_bundles(spark.createDataFrame(pages, "snapshot_name string, html string").repartition(3), folder)
     assert len([n for n in folders.children(spark, folder) if n.startswith("part-")]) == 3
     assert sorted(((r["snapshot_name"], r["html"]) for r in readers.read_page_bundles(spark, folder).collect()), key=str) == sorted(pages, key=str)
+
+
+def test_pages_reach_python_in_small_batches(spark):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    pages = spark.range(0, 3000, 1, 1).select(F.expr("repeat('<p>x</p>', cast(id % 2 * 10000 AS int))").alias("html"))
+    seen = pages.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in seen) == 3000 and max(r["rows"] for r in seen) <= 256 and max(r["bytes"] for r in seen) <= 8 << 20
