@@ -16,10 +16,12 @@ from shelfspark.functions import units as U
 from shelfspark.functions.numbers import (
     as_double, digits_only, feed_number, is_integral, six_significant, two_decimals,
 )
-from shelfspark.functions.text import UNICODE, UNICODE_CI, blank_to_null, has_text, join_non_empty, strip, text
-from shelfspark.operators.skew import join_checked, landed, salted_join
+from shelfspark.functions.text import UNICODE_CI, blank_to_null, has_text, join_non_empty, strip, text
+from shelfspark.operators.skew import BROADCAST_ROWS, join_checked, landed, salted_join
 from shelfspark.schema import CORRECTION_COLUMNS, IMPORT_COLUMNS
 
+# Rows that share a text, on average, from which texts are read once each.
+SHARED_BY = 4
 # Patterns of the import format.
 NUMBER = r"[-+]?\d+(?:[.,]\d+)?"
 SIZE_UNITS = "l|liter|litre|dl|cl|ml|kg|kilo|g|gramm|stück|stk|pcs?|pieces?|piece|quantity"
@@ -58,9 +60,8 @@ def _tag(field: str) -> str:
 
 
 def sanitize_id(c: Column) -> Column:
-    """Slashes, whitespace and characters outside the id alphabet become single dashes."""
-    dashed = F.regexp_replace(F.translate(strip(text(c)), "/\\", "--"), UNICODE + r"\s+", "-")
-    return strip(F.regexp_replace(F.regexp_replace(dashed, r"[^a-zA-Z0-9.~_%-]+", "-"), "-{2,}", "-"))
+    """Runs of slashes, whitespace, dashes and characters outside the id alphabet become single dashes."""
+    return F.regexp_replace(strip(text(c)), r"[^a-zA-Z0-9.~_%]+", "-")
 
 
 def row_tag(row_number: Column) -> Column:
@@ -77,17 +78,22 @@ def with_unique_ids(rows: DataFrame, row_number: str = "row_number", within: str
     Only (row number, id) travels through the repeat search: first row numbers per id are
     map-side aggregates, so an id shared by a third of the rows costs one buffer entry per
     task.  The wide rows meet the resulting rename table on the unique row number, without
-    a shuffle when few ids repeat.
+    a shuffle when few ids repeat and unsorted otherwise.
     """
-    keys = [*([within] if within else []), row_number]
-    ids = landed(rows.select(*keys, sanitize_id(F.col("Item ID")).alias("clean_id")).withColumn(
-        "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id"))), "ids")
-    sanitized = rows.withColumn("clean_id", sanitize_id(F.col("Item ID")))
-    tagged = sanitized.withColumn(
+    return _with_final_ids(landed(_with_clean_ids(rows, row_number), "rows"), row_number, within)
+
+
+def _with_clean_ids(rows: DataFrame, row_number: str) -> DataFrame:
+    return rows.withColumn("clean_id", sanitize_id(F.col("Item ID"))).withColumn(
         "clean_id", F.when(F.col("clean_id") == "", row_tag(F.col(row_number))).otherwise(F.col("clean_id")))
-    return join_checked(tagged, _renamed_ids(ids, row_number, within), keys).withColumn(
-        "final_id", F.coalesce("renamed_id", "clean_id")
-    ).drop("renamed_id")
+
+
+def _with_final_ids(tagged: DataFrame, row_number: str, within: str | None) -> DataFrame:
+    """`tagged` is landed: what made the rows (numbering, sanitised ids) runs once for both sides of the join."""
+    keys = [*([within] if within else []), row_number]
+    renamed = _renamed_ids(tagged.select(*keys, "clean_id"), row_number, within)
+    return join_checked(tagged, renamed, keys, unsorted=True).withColumn(
+        "final_id", F.coalesce("renamed_id", "clean_id")).drop("renamed_id")
 
 
 def _renamed_ids(ids: DataFrame, n: str, within: str | None = None) -> DataFrame:
@@ -120,19 +126,64 @@ def _first_number(c: Column) -> Column:
     return feed_number(F.regexp_extract(c, NUMBER, 0))
 
 
+def _read_texts(rows: DataFrame) -> DataFrame:
+    """Sizes, counts and types that the column `evidence` names, beside the columns there are."""
+    # One scan of the long text per pattern; groups are read from the short match below.
+    scanned = rows.select("*", *[
+        F.regexp_extract("evidence", UNICODE_CI + pattern, 0).alias(name)
+        for name, pattern in [("multi", MULTIPACK), ("single", SINGLE_SIZE), ("counted", BUNDLE_COUNT)]
+    ])
+
+    def group(match: str, pattern: str, index: int) -> Column:
+        return F.regexp_extract(match, UNICODE_CI + pattern, index)
+
+    grouped = scanned.select(
+        *rows.columns,
+        feed_number(group("multi", MULTIPACK, 1)).alias("multi_count"),
+        feed_number(group("multi", MULTIPACK, 2)).alias("multi_size"),
+        U.unit_code(group("multi", MULTIPACK, 3)).alias("multi_unit"),
+        feed_number(group("single", SINGLE_SIZE, 1)).alias("single_size"),
+        U.unit_code(group("single", SINGLE_SIZE, 2)).alias("single_unit"),
+        group("counted", BUNDLE_COUNT, 1).alias("text_count"),
+        U.type_code(group("counted", BUNDLE_COUNT, 2), allow_pallet=True).alias("text_type"),
+    )
+    pieces = (F.col("multi_unit") == "quantity") & has_text(F.col("multi_count")) & has_text(F.col("multi_size"))
+    total = six_significant(as_double(F.col("multi_count")) * as_double(F.col("multi_size")))
+    return grouped.select(
+        "*",
+        F.when(pieces, total).otherwise(F.col("multi_count")).alias("pack_count"),
+        F.when(pieces, "1").otherwise(F.col("multi_size")).alias("pack_size"),
+    ).drop("multi_count", "multi_size")
+
+
+def _with_texts_read(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """`_read_texts` of the rows, whose landed `texts` hold the same `evidence`.
+
+    Offers of one product repeat its texts.  Where at least `SHARED_BY` rows share a text on average and all texts fit a
+    broadcast, each text is read once and looked up; otherwise every row reads its own.
+    """
+    n, distinct = texts.agg(F.count(F.lit(1)), F.approx_count_distinct("evidence")).first()
+    if distinct * SHARED_BY > n or distinct > BROADCAST_ROWS:
+        return _read_texts(rows)
+    return join_checked(rows, _read_texts(texts.select("evidence").distinct()), "evidence")
+
+
 def clean_steps(rows: DataFrame, row_number: str = "row_number", within: str | None = None) -> tuple[DataFrame, dict[str, str], list[Step]]:
     """Apply every rule; returns the staged frame, the final column per field, the steps."""
     final: dict[str, str] = {}
     steps: list[Step] = []
 
-    staged = with_unique_ids(rows, row_number, within)
-    steps.append(Step("Item ID", "sanitize_item_id", "raw_item_id", "clean_id"))
-    steps.append(Step("Item ID", "deduplicate_sanitized_item_id", "clean_id", "final_id"))
-
+    own = [*([within] if within else []), row_number]
     evidence = join_non_empty(
         " ", *[F.col(c) for c in ("Item name", "Description", "Category name", "Material")]
     )
-    stage = [*([within] if within else []), F.col(row_number), F.col("clean_id"), F.col("final_id"), evidence.alias("evidence")]
+    tagged = _with_clean_ids(rows.select(*own, *[F.col(c) for c in IMPORT_COLUMNS], evidence.alias("evidence")), row_number)
+    tagged = landed(tagged, "rows")
+    staged = _with_final_ids(tagged, row_number, within)
+    steps.append(Step("Item ID", "sanitize_item_id", "raw_item_id", "clean_id"))
+    steps.append(Step("Item ID", "deduplicate_sanitized_item_id", "clean_id", "final_id"))
+
+    stage = [*[F.col(c) for c in own], F.col("clean_id"), F.col("final_id"), F.col("evidence")]
     for name in IMPORT_COLUMNS:
         tag = _tag(name)
         source = "final_id" if name == "Item ID" else name
@@ -167,40 +218,14 @@ def clean_steps(rows: DataFrame, row_number: str = "row_number", within: str | N
         stage.append(put(field, "normalize_url", F.when(now(field).rlike("^https?://"), now(field)).otherwise("")))
     for field in NUMERIC_FIELDS:
         stage.append(put(field, "normalize_numeric_field", _first_number(now(field))))
-    # One scan of the long text per pattern; groups are read from the short match below.
-    stage += [
-        F.regexp_extract("evidence", UNICODE_CI + pattern, 0).alias(name)
-        for name, pattern in [("multi", MULTIPACK), ("single", SINGLE_SIZE), ("counted", BUNDLE_COUNT)]
-    ]
-    staged = staged.select("*", *stage)
-
-    def group(match: str, pattern: str, index: int) -> Column:
-        return F.regexp_extract(match, UNICODE_CI + pattern, index)
-
-    staged = staged.select(
-        "*",
-        feed_number(group("multi", MULTIPACK, 1)).alias("multi_count"),
-        feed_number(group("multi", MULTIPACK, 2)).alias("multi_size"),
-        U.unit_code(group("multi", MULTIPACK, 3)).alias("multi_unit"),
-        feed_number(group("single", SINGLE_SIZE, 1)).alias("single_size"),
-        U.unit_code(group("single", SINGLE_SIZE, 2)).alias("single_unit"),
-        group("counted", BUNDLE_COUNT, 1).alias("text_count"),
-        U.type_code(group("counted", BUNDLE_COUNT, 2), allow_pallet=True).alias("text_type"),
-    )
-    pieces = (F.col("multi_unit") == "quantity") & has_text(F.col("multi_count")) & has_text(F.col("multi_size"))
-    total = six_significant(as_double(F.col("multi_count")) * as_double(F.col("multi_size")))
+    staged = _with_texts_read(staged, tagged).select("*", *stage)
     unit = F.coalesce(
         blank_to_null(U.unit_code(now("Vessel unit"))),
         blank_to_null(F.col("multi_unit")),
         blank_to_null(F.col("single_unit")),
         F.lit("quantity"),
     )
-    staged = staged.select(
-        "*",
-        F.when(pieces, total).otherwise(F.col("multi_count")).alias("pack_count"),
-        F.when(pieces, "1").otherwise(F.col("multi_size")).alias("pack_size"),
-        put("Vessel unit", "normalize_vessel_unit", unit),
-    )
+    staged = staged.select("*", put("Vessel unit", "normalize_vessel_unit", unit))
     size = F.coalesce(
         blank_to_null(now("Vessel size")),
         blank_to_null(F.col("pack_size")),

@@ -88,18 +88,19 @@ def landed(df: DataFrame, name: str = "landed") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def join_checked(rows: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+def join_checked(rows: DataFrame, lookup: DataFrame, on, how: str = "left", unsorted: bool = False) -> DataFrame:
     """Join with a lookup that is usually, but not provably, small.
 
     The lookup is landed, and its rows and bytes are counted first; only below both limits is
     it broadcast, so the wide rows are not shuffled.  A larger lookup takes the ordinary
-    shuffled join, in which adaptive execution can split hot keys.
+    shuffled join, in which adaptive execution can split hot keys; with `unsorted` (narrow lookup, one row
+    a key) by hash, so the wide rows are not sorted.
     """
     lookup = landed(lookup, "lookup")
     size = lookup.limit(BROADCAST_ROWS + 1).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
     small = size["rows"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES
-    return rows.join(F.broadcast(lookup) if small else lookup, on, how)
+    return rows.join(F.broadcast(lookup) if small else lookup.hint("shuffle_hash") if unsorted else lookup, on, how)
 
 
 def spread(df: DataFrame) -> DataFrame:

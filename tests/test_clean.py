@@ -98,3 +98,21 @@ def test_both_outputs_equal_the_single_ones(spark):
     table, corrections = clean.clean_both(rows)
     assert sorted(table.collect()) == sorted(clean.clean_catalog(rows).collect())
     assert sorted(map(str, corrections.collect())) == sorted(map(str, clean.clean_corrections(rows).collect()))
+
+
+def test_shared_texts_are_read_once_each(spark, monkeypatch):
+    """Rows that share texts give what rows that read their own texts give, and the texts are scanned below a lookup."""
+    texts = ["6 x 0,75 l Flasche", "8 x 250 Stk", "24 Stk / Karton", "", "1,5 kg", "3 x 16.6 g", "12 Pieces/Box 2 x 5 Stück"]
+    rows = [{"Item ID": f"i{n % 31}", "Item name": texts[n % 7], "Material": texts[n % 2], "Vessel unit": ["", "ml"][n % 2], "Price": str(n)} for n in range(140)]
+    shared = clean.clean_catalog(feed(spark, rows))
+    read_once = [r.asDict() for r in shared.orderBy("row_number").collect()]
+    assert "regexp_extract(evidence" not in shared._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(clean, "SHARED_BY", 1000)
+    assert read_once == [r.asDict() for r in clean.clean_catalog(feed(spark, rows)).orderBy("row_number").collect()]
+
+
+def test_ids_take_one_pass(spark):
+    rows = spark.createDataFrame([(" a//b \\ c ",), ("-x--y-",), ("ü (neu)",), ("\xa0/\xa0",), (None,)], "id string")
+    made = rows.select(clean.sanitize_id(F.col("id")).alias("id"))
+    assert [r["id"] for r in made.collect()] == ["a-b-c", "-x-y-", "-neu-", "-", ""]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
