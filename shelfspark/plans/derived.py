@@ -7,12 +7,13 @@ integers so that no engine prints a floating-point number.
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.ids import category_id
-from shelfspark.operators.skew import spread, with_sequence
+from shelfspark.operators.skew import with_sequence
 from shelfspark.schema import IMPORT_COLUMNS, PRODUCT_TEXT_DEFAULTS
 
 BASE_TABLES = [
@@ -370,7 +371,7 @@ DERIVED = {
 
 
 # Inputs of jobs with expensive per-row rules.
-HEAVY = {"feed", "products", "listing", "shop_pages", "article_pages", "wine_pages", "food_pages", "embedded_pages"}
+HEAVY = {"feed", "products", "items", "remote", "listing", "shop_pages", "article_pages", "wine_pages", "food_pages", "embedded_pages"}
 
 
 def sql_text(name: str, resolve, quote: str) -> str:
@@ -395,8 +396,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a Spark DataFrame over the parquet tables."""
-    df = spark.sql(sql_text(name, lambda t: f"parquet.`{sf_dir}/{t}.parquet` {t}", "`"))
-    return spread(df) if name in HEAVY else df
+    source = spread_table if name in HEAVY else lambda _, folder, t: f"parquet.`{folder}/{t}.parquet`"
+    return spark.sql(sql_text(name, lambda t: f"{source(spark, sf_dir, t)} {t}", "`"))
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Name of a base table's rows dealt to every core, before anything is derived from them.
+
+    A file may be one row group, which one task reads whole, in whatever splits it is planned; so
+    splits are not looked at.  A table of at least as many files as cores is left alone.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(rows.inputFiles()) < cores:
+        rows = rows.repartition(max(cores, rows.rdd.getNumPartitions()))
+    called = f"spread_{name}_{zlib.crc32(sf_dir.encode()):08x}"
+    rows.createOrReplaceTempView(called)
+    return called
 
 
 def offer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,3 +117,14 @@ def test_repeated_feed_rows_make_one_plan_row(spark, sf_dir):
     twice = row.withColumn("name", F.lit("first")).unionByName(row.withColumn("name", F.lit("last"))).coalesce(1)
     plan = diff.catalog_plan(twice, remote_products(spark, sf_dir).limit(0)).collect()
     assert [r["action"] for r in plan] == ["create"] and '"name":"last"' in plan[0]["payload"]
+
+
+def test_base_rows_are_spread_before_anything_is_derived(spark, sf_dir):
+    """One file is one row group here, so what is derived before a shuffle is derived by one task."""
+    from shelfspark.plans.derived import HEAVY, view
+    assert {"items", "remote"} <= HEAVY
+    for name, made in [("shop_pages", " AS html"), ("items", " AS Item ID"), ("remote", " AS status")]:
+        rows = view(spark, sf_dir, name)
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index(made) < plan.index("Repartition"), name
+        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
