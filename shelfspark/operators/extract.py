@@ -14,6 +14,7 @@ from shelfspark.functions.text import (
 )
 from shelfspark.functions.units import measure_unit, piece_unit
 from shelfspark.functions.urls import absolute_url, last_segment, without_query
+from shelfspark.operators.skew import keep_where
 from shelfspark.schema import PRODUCT_TEXT_DEFAULTS
 
 # ---------------------------------------------------------------------------
@@ -357,9 +358,10 @@ PAGE_FAMILIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 def extract_products(pages: DataFrame, family: str) -> tuple[DataFrame, DataFrame]:
     """(products, failures); a page without a product name is a failure."""
     records = PAGE_FAMILIES[family](pages)
-    failed = records.filter("product_name = ''").select(
+    # a plain filter would read names below the shuffle that deals the pages, and again above it
+    failed = keep_where(records, F.col("product_name") == "").select(
         F.lit("detail").alias("stage"), F.col("product_url").alias("url"), F.lit("not-a-product-page").alias("reason"))
-    return records.filter("product_name <> ''"), failed
+    return keep_where(records, F.col("product_name") != ""), failed
 
 
 def page_links(pages: DataFrame) -> DataFrame:

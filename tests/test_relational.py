@@ -128,3 +128,11 @@ def test_base_rows_are_spread_before_anything_is_derived(spark, sf_dir):
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert plan.index(made) < plan.index("Repartition"), name
         assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_names_are_read_above_the_dealing_of_pages(spark, sf_dir):
+    from shelfspark.operators.extract import extract_products
+    from shelfspark.plans.derived import view
+    for rows in extract_products(view(spark, sf_dir, "shop_pages"), "shop"):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "ArrowEvalPython" in plan[:plan.index("Repartition")] and "ArrowEvalPython" not in plan[plan.index("Repartition"):]
